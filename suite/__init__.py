@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("address",)
+_MODULES = ("address", "tables")
 
 
 def _load():
