@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("address", "tables")
+_MODULES = ("address", "tables", "scanning", "tags")
 
 
 def _load():
