@@ -76,14 +76,18 @@ def landed_log(spark: SparkSession, log_base: str, kind: str, schema: T.StructTy
 
 
 def fold(registry: Registry, log_base: str) -> tuple[DataFrame, DataFrame]:
-    """Merge the landed micro-batches into queue and raw table; later micro-batches win."""
+    """Merge the landed micro-batches into queue and raw table.
+
+    Of several outcomes of a key the one queried last counts, in whatever order they landed; so
+    folding the same micro-batches again changes nothing.
+    """
     spark = registry.spark
     status = landed_log(spark, log_base, "status", schemas.SCAN_QUEUE)
     raw = landed_log(spark, log_base, "raw", schemas.COMPANIES_RAW)
     queue = registry.queue.write(
-        scan.apply_outcomes(registry.queue.read(), status, order_by=("epoch", "queried_at"))
+        scan.apply_outcomes(registry.queue.read(), status, order_by=("queried_at", "epoch"))
     )
-    order = ("epoch", "fetched_at")
+    order = ("fetched_at", "epoch")
     table = registry.raw.write(keyed.upsert(registry.raw.read(), raw, "cr_no", order_by=order))
     return queue, table
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("address", "tables", "scanning", "tags")
+_MODULES = ("address", "tables", "scanning", "tags", "flows")
 
 
 def _load():
