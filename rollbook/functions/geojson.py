@@ -9,14 +9,18 @@ from rollbook.functions.keys import non_empty
 from rollbook.schemas import GEOCODE_FIELDS, GEOCODE_RESPONSE
 
 
-def geocode_fields(response: Column) -> Column:
-    """A struct of the eight address fields of the first suggestion.
+def geocode_document(response: Column) -> Column:
+    """The answer as a struct; text of another shape is kept in its ``_malformed`` field."""
+    return F.from_json(response, GEOCODE_RESPONSE, {"columnNameOfCorruptRecord": "_malformed"})
+
+
+def geocode_fields(doc: Column) -> Column:
+    """A struct of the eight address fields of the first suggestion of a parsed answer.
 
     The zh block is used whenever it is present, the en block only without it; inside a block an
     empty zh value falls back to the en value. A response that is not JSON, has another shape, no
     suggestion or a score that is no number gives the empty record: score 0, everything else null.
     """
-    doc = F.from_json(response, GEOCODE_RESPONSE, {"columnNameOfCorruptRecord": "_malformed"})
     top = F.get(doc["SuggestedAddress"], F.lit(0))
     premises = top["Address"]["PremisesAddress"]
     block = F.coalesce(premises["ChiPremisesAddress"], premises["EngPremisesAddress"])

@@ -39,11 +39,11 @@ def non_empty(text: Column) -> Column:
 
 
 def percent_text(share: Column) -> Column:
-    return F.format_string("%.1f%%", share * 100)
+    return F.when(share.isNotNull(), F.format_string("%.1f%%", share * 100))
 
 
 def one_decimal_text(value: Column) -> Column:
-    return F.format_string("%.1f", value)
+    return F.when(value.isNotNull(), F.format_string("%.1f", value))
 
 
 def snake_header(name: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollbook import schemas
 from rollbook.functions import fixed_values as fv
-from rollbook.functions.geojson import geocode_fields
+from rollbook.functions.geojson import geocode_document, geocode_fields
 from rollbook.functions.keys import text_hash
 from rollbook.functions.text import clean_address
 from rollbook.operators.columns import conform
@@ -28,13 +28,15 @@ def with_clean_address(df: DataFrame, **cleaning) -> DataFrame:
 
 
 def distinct_addresses(df: DataFrame) -> DataFrame:
-    """Each non-empty cleaned address once, with its hash and number of rows."""
-    counted = (
-        df.where(F.col("address_clean") != "")
-        .groupBy("address_clean")
-        .agg(F.count("*").alias("n_rows"))
+    """Each non-empty cleaned address once, with its hash and number of rows.
+
+    Empty addresses are dropped after the grouping, by a count: a filter on the cleaned text itself
+    would be pushed below it and have every row cleaned twice.
+    """
+    counted = df.groupBy("address_clean").agg(F.count_if(F.col("address_clean") != "").alias("n_rows"))
+    return counted.where(F.col("n_rows") > 0).select(
+        text_hash(F.col("address_clean")).alias("address_hash"), "address_clean", "n_rows"
     )
-    return counted.select(text_hash(F.col("address_clean")).alias("address_hash"), "address_clean", "n_rows")
 
 
 def probe_cache(addresses: DataFrame, cache: DataFrame) -> DataFrame:
@@ -60,15 +62,20 @@ def cache_stats(probed: DataFrame) -> DataFrame:
     )
 
 
+def parse_answers(responses: DataFrame, column: str = "als_json") -> DataFrame:
+    """Adds the eight address fields of landed geocoder answers. Each text is parsed once."""
+    others = responses.columns
+    parsed = responses.withColumn("_doc", geocode_document(F.col(column)))
+    return parsed.select(*others, geocode_fields(F.col("_doc")).alias("_geo")).select(*others, "_geo.*")
+
+
 def cache_rows(
     responses: DataFrame,
     run_ts: dt.datetime | Column | None = None,
     threshold: float = fv.GEOCODE_REVIEW_BELOW,
 ) -> DataFrame:
     """Cache rows of landed responses ``address_hash, address_clean, als_json``."""
-    parsed = responses.select(
-        "address_hash", "address_clean", "als_json", geocode_fields(F.col("als_json")).alias("geo")
-    ).select("address_hash", "address_clean", "als_json", "geo.*")
+    parsed = parse_answers(responses.select("address_hash", "address_clean", "als_json"))
     stamped = parsed.withColumn("manual_review", needs_review(F.col("score"), threshold)).withColumn(
         "fetched_at", run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     )
@@ -82,15 +89,25 @@ RESULT_COLUMNS = (
 
 
 def attach_geocode(
-    rows: DataFrame, results: DataFrame, min_rows: int = HEAVY_ROWS, **salting
+    rows: DataFrame,
+    results: DataFrame,
+    addresses: DataFrame | None = None,
+    min_rows: int = HEAVY_ROWS,
+    **salting,
 ) -> DataFrame:
     """Every row with the result of its address, duplicates included.
 
     Rows with an empty or unresolved address get score 0 and are marked for review. An address
-    shared by very many rows is spread over many tasks.
+    shared by very many rows is spread over many tasks; ``addresses``, the distinct addresses of the
+    rows with their counts, saves counting them again.
     """
     looked_up = lookup_join(
-        rows, results.select("address_hash", *RESULT_COLUMNS), "address_hash", min_rows, **salting
+        rows,
+        results.select("address_hash", *RESULT_COLUMNS),
+        "address_hash",
+        None if addresses is None else addresses.select("address_hash", "n_rows"),
+        min_rows,
+        **salting,
     )
     return looked_up.withColumn("score", F.coalesce("score", F.lit(0.0))).withColumn(
         "manual_review", F.coalesce("manual_review", F.lit(True))

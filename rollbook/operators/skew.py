@@ -13,28 +13,32 @@ SALTS = 256
 
 
 def heavy_keys(
-    rows: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
+    counts: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
 ) -> DataFrame:
-    """The most frequent keys, ``max_keys`` at most. Counting combines on the map side."""
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    top = counts.where(F.col("_n") >= min_rows).orderBy(F.desc("_n"), key).limit(max_keys)
-    return top.select(key)
+    """The most frequent keys of ``key, n_rows``, ``max_keys`` at most."""
+    often = counts.where(F.col(key).isNotNull() & (F.col("n_rows") >= min_rows))
+    return often.orderBy(F.desc("n_rows"), key).limit(max_keys).select(key)
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
+    counts: DataFrame | None = None,
     min_rows: int = HEAVY_ROWS,
     max_keys: int = MAX_HEAVY_KEYS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join; rows of heavy keys are dealt over ``salts`` tasks, all others go by key alone.
 
-    Rows without a key, which match nothing, are dealt out in the same way. The lookup row of a heavy key is repeated once per salt, so the join stays exact. The salt is a
-    hash of the whole row and thus the same when a lost task is run again.
+    Rows without a key, which match nothing, are dealt out in the same way. The lookup row of a heavy
+    key is repeated once per salt, so the join stays exact. The salt is a hash of the whole row and
+    thus the same when a lost task is run again. ``counts`` (``key, n_rows``) saves counting the keys,
+    where a caller has them; counting combines on the map side.
     """
-    heavy = F.broadcast(heavy_keys(rows, key, min_rows, max_keys).withColumn("_heavy", F.lit(True)))
+    if counts is None:
+        counts = rows.groupBy(key).agg(F.count("*").alias("n_rows"))
+    heavy = F.broadcast(heavy_keys(counts, key, min_rows, max_keys).withColumn("_heavy", F.lit(True)))
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     dealt = rows.join(heavy, key, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(0)

@@ -34,6 +34,12 @@ def _pattern(keywords: list[str], word_boundary: bool, ignore_case: bool) -> str
     return ("(?iu)" if ignore_case else "") + (rf"(?U)\b(?:{body})\b" if word_boundary else body)
 
 
+def _if_any(value: Column) -> Column:
+    """One element, or none for null. Exploding it keeps the rows with a value and computes the value
+    once; a filter on it would be pushed down and compute it twice."""
+    return F.array_compact(F.array(value))
+
+
 def section_of(name: Column, rules: list, word_boundary: bool = False, ignore_case: bool = False) -> Column:
     """First section, in section order, one of whose keywords occurs in the name; else null.
 
@@ -98,7 +104,7 @@ def tag_explain(names: DataFrame, rules: DataFrame, key: str = "cr_no", **option
             raise ValueError(f"matching options need at most {MAX_COMPILED_KEYWORDS} keywords")
         return keyword_matches(names, rules, key)
     match = match_of(full_name(F.col("name_zh"), F.col("name_en")), compiled, **options)
-    return names.select(key, match.alias("m")).where("m is not null").select(key, "m.section", "m.keyword")
+    return names.select(key, F.inline(_if_any(match)))
 
 
 def with_keyword_section(
@@ -138,7 +144,9 @@ def tags_for(
     """Tag columns by ``cr_no`` for the rows that get a tag: by keyword, else by label."""
     found = with_keyword_section(untagged.select("cr_no", "name_zh", "name_en"), rules, **options)
     if labels is None:
-        found = found.withColumn("label", F.lit(None).cast("string"))
+        found = found.withColumn("section", F.explode(_if_any(F.col("section")))).withColumn(
+            "label", F.lit(None).cast("string")
+        )
     else:
         found = found.join(usable_labels(labels, sections), "cr_no", "left")
     by_keyword = F.col("section").isNotNull()

@@ -69,14 +69,17 @@ def _geocode_into_master(
     answer stays unresolved. Master columns named in ``keep`` are not overwritten.
     """
     cleaned = registry.stage(geocode.with_clean_address(rows, **cleaning), "cleaned")
-    missing = geocode.cache_misses(geocode.distinct_addresses(cleaned), registry.cache.read())
+    addresses = registry.stage(geocode.distinct_addresses(cleaned), "addresses")
+    missing = geocode.cache_misses(addresses, registry.cache.read())
     answered = missing.join(
         keyed.latest_per_key(responses.select("address_hash", "als_json"), "address_hash"), "address_hash"
     )
+    # Only addresses the cache lacks get here, each once: the cache grows by a plain union.
     cache = registry.cache.write(
-        keyed.upsert(registry.cache.read(), geocode.cache_rows(answered, run_ts), "address_hash")
+        registry.cache.read().unionByName(geocode.cache_rows(answered, run_ts))
     )
-    built = geocode.build_master(geocode.attach_geocode(cleaned, cache), run_ts)
+    attached = geocode.attach_geocode(cleaned, cache, addresses)
+    built = registry.stage(geocode.build_master(attached, run_ts), "master")
     overwritten = [c for c in built.columns if c != "cr_no" and c not in keep]
     return registry.master.write(keyed.upsert(registry.master.read(), built, "cr_no", overwritten))
 

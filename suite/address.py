@@ -128,8 +128,8 @@ FROM cleaned r LEFT JOIN cache c USING (address_hash)"""
 
 @query(f"WITH {_CACHE} {_ATTACHED}")
 def attach_geocode(spark, sf):
-    _, cache = addresses_and_cache(spark, sf)
-    attached = geocode.attach_geocode(cleaned(spark, sf), cache)
+    addresses, cache = addresses_and_cache(spark, sf)
+    attached = geocode.attach_geocode(cleaned(spark, sf), cache, addresses)
     return attached.select("cr_no", "address_clean", "geo_address", "region", "district", "score", "manual_review")
 
 
@@ -152,9 +152,9 @@ SELECT cr_no, name_zh, name_en, address_raw, address_clean, geo_address, region,
 FROM (SELECT * FROM cleaned) r LEFT JOIN (SELECT address_hash, geo_address, region, district, score FROM cache) c USING (address_hash)"""
 )
 def build_master(spark, sf):
-    _, cache = addresses_and_cache(spark, sf)
+    addresses, cache = addresses_and_cache(spark, sf)
     rows = columns.normalise_columns(cleaned(spark, sf).withColumn("company_type", F.lit("LIMITED")))
-    built = geocode.build_master(geocode.attach_geocode(rows, cache), RUN_TS)
+    built = geocode.build_master(geocode.attach_geocode(rows, cache, addresses), RUN_TS)
     return built.withColumn("last_updated", F.col("last_updated").cast("string"))
 
 
@@ -166,8 +166,8 @@ FROM attached GROUP BY region, district"""
 )
 def district_review(spark, sf):
     """Flagship: companies and review share by district, from raw rows."""
-    _, cache = addresses_and_cache(spark, sf)
-    return reports.district_review(geocode.attach_geocode(cleaned(spark, sf), cache))
+    addresses, cache = addresses_and_cache(spark, sf)
+    return reports.district_review(geocode.attach_geocode(cleaned(spark, sf), cache, addresses))
 
 
 @query(
@@ -190,5 +190,5 @@ SELECT cr_no, coalesce(s, 0) AS score,
 FROM area"""
 )
 def parse_geocode(spark, sf):
-    parsed = frame(spark, sf, "geo_answers").select("cr_no", geocode.geocode_fields(F.col("als_json")).alias("g"))
-    return parsed.select("cr_no", "g.*", geocode.needs_review(F.col("g.score")).alias("manual_review"))
+    parsed = geocode.parse_answers(frame(spark, sf, "geo_answers")).drop("als_json")
+    return parsed.withColumn("manual_review", geocode.needs_review(F.col("score")))

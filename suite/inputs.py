@@ -123,7 +123,7 @@ INPUTS = {
         SELECT lpad(CAST(doc_id AS STRING), 8, '0') AS cr_no,
                CASE WHEN toxic = 1 THEN 'zz' WHEN quality = 1 THEN 'k' ELSE 'M' END AS code FROM {labels}
         UNION ALL
-        SELECT lpad(CAST(doc_id AS STRING), 8, '0') AS cr_no, 'g' AS code FROM {labels} WHERE doc_id % 5 = 0""",
+        SELECT lpad(CAST(doc_id AS STRING), 8, '0') AS cr_no, CASE WHEN toxic = 1 THEN 'g' ELSE 'G' END AS code FROM {labels} WHERE doc_id % 5 = 0""",
     # Name-prefix search answers: up to a page of names for each prefix of one to three characters.
     "prefix_answers": """
         SELECT prefix, CAST(length(prefix) - 1 AS INT) AS depth,
