@@ -118,16 +118,17 @@ def test_column_added_later(spark, tmp_path):
     assert as_set(KeyedTable(spark, str(tmp_path / "t"), schemas.columns("k tag")).read()) == [("a", None)]
 
 
-def test_scratch_follows_the_checkpoint_setting(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "hdfs://shared/ckpt/")
-        assert scratch_dir(spark, "x").startswith("hdfs://shared/ckpt/rollbook/x-")
-        spark.conf.unset("spark.checkpoint.dir")
-        assert os.path.isdir(scratch_dir(spark, "x"))
-    finally:
-        if before is not None:
-            spark.conf.set("spark.checkpoint.dir", before)
+class _Session:
+    """Stands in for a session whose start-up settings cannot be changed any more."""
+
+    def __init__(self, **settings):
+        self.conf = settings
+
+
+def test_scratch_follows_the_checkpoint_setting():
+    shared = _Session(**{"spark.checkpoint.dir": "hdfs://shared/ckpt/"})
+    assert scratch_dir(shared, "x").startswith("hdfs://shared/ckpt/rollbook/x-")
+    assert os.path.isdir(scratch_dir(_Session(), "x"))
 
 
 def test_stamp_is_one_value(spark):

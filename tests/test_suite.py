@@ -7,6 +7,9 @@ from suite.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
+# No prefix has a full page at this size, so neither side has rows; at sf0.01 both have.
+WITHOUT_ROWS = {"prefix_frontier"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -15,7 +18,7 @@ def con():
 
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_query_agrees_with_its_sql(spark, con, name):
-    assert compare(spark, con, name, SF) == ""
+    assert compare(spark, con, name, SF) == ("no rows" if name in WITHOUT_ROWS else "")
 
 
 def test_entry_points(spark):
