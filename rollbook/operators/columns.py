@@ -67,12 +67,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     def column(field: T.StructField) -> Column:
         if field.name not in have:
-            value = F.lit(None).cast(field.dataType)
-        elif have[field.name] == field.dataType:
-            value = quoted(field.name)
-        else:
-            value = quoted(field.name).try_cast(field.dataType)
-        return value.alias(field.name)
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        if have[field.name] == field.dataType:
+            return quoted(field.name)
+        return quoted(field.name).try_cast(field.dataType).alias(field.name)
 
     return df.select(*[column(field) for field in schema])
 

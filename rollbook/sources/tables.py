@@ -33,7 +33,7 @@ class KeyedTable:
         version = self.latest()
         if version is None:
             return self.spark.createDataFrame([], self.schema)
-        return conform(self.spark.read.parquet(self._path(version)), self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._path(version))
 
     def write(self, df: DataFrame) -> DataFrame:
         """Store the frame as the next version and return it read back (lineage ends here)."""
