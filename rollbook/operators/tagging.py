@@ -124,13 +124,13 @@ def with_keyword_section(
 def usable_labels(labels: DataFrame, sections: DataFrame, key: str = "cr_no") -> DataFrame:
     """Labels with a known code, upper-cased, one per key (the greatest code of several)."""
     upper = labels.select(key, F.upper(F.trim("code")).alias("code"))
-    known = upper.join(F.broadcast(sections.select("code")), "code", "left_semi")
+    known = upper.join(sections.select("code"), "code", "left_semi")
     return known.groupBy(key).agg(F.max("code").alias("label"))
 
 
 def unknown_labels(labels: DataFrame, sections: DataFrame, key: str = "cr_no") -> DataFrame:
     upper = labels.select(key, F.upper(F.trim("code")).alias("code"))
-    return upper.join(F.broadcast(sections.select("code")), "code", "left_anti").select(key, "code")
+    return upper.join(sections.select("code"), "code", "left_anti").select(key, "code")
 
 
 def tags_for(
@@ -162,11 +162,12 @@ def tags_for(
 
 
 def with_section_names(tagged: DataFrame, sections: DataFrame) -> DataFrame:
-    """Section names where the zh name is missing. The section table has one row per letter."""
-    names = F.broadcast(
-        sections.select(
-            F.col("code").alias("industry_tag"), F.col("name_zh").alias("_zh"), F.col("name_en").alias("_en")
-        )
+    """Section names where the zh name is missing.
+
+    The section table is small, which Spark sees for itself; a table of finer codes may be passed too.
+    """
+    names = sections.select(
+        F.col("code").alias("industry_tag"), F.col("name_zh").alias("_zh"), F.col("name_en").alias("_en")
     )
     have = [c for c in ("industry_name_zh", "industry_name_en") if c in tagged.columns]
     joined = tagged.join(names, "industry_tag", "left")

@@ -65,30 +65,41 @@ def ingest_outcomes(
     return run_available(outcomes, land, checkpoint)
 
 
-def landed_log(spark: SparkSession, log_base: str, kind: str, schema: T.StructType) -> DataFrame:
-    """All finished micro-batches of a kind, with their number as ``epoch``."""
+def landed_log(
+    spark: SparkSession, log_base: str, kind: str, schema: T.StructType, after: int = -1
+) -> DataFrame:
+    """Finished micro-batches of a kind numbered higher than ``after``, their number as ``epoch``."""
     base = f"{log_base.rstrip('/')}/{kind}"
-    done = [f"{base}/{n}" for n in folder_names(spark, base) if is_complete(spark, f"{base}/{n}")]
+    names = [n for n in folder_names(spark, base) if int(n.removeprefix("epoch=")) > after]
+    done = [f"{base}/{n}" for n in names if is_complete(spark, f"{base}/{n}")]
     with_epoch = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
     if not done:
         return spark.createDataFrame([], with_epoch)
     return spark.read.schema(with_epoch).option("basePath", base).parquet(*done)
 
 
-def fold(registry: Registry, log_base: str) -> tuple[DataFrame, DataFrame]:
-    """Merge the landed micro-batches into queue and raw table.
+def _not_older(updates: DataFrame, base: DataFrame, key: str, time: str) -> DataFrame:
+    """Updates but those the table has a later row for."""
+    stored = base.select(key, F.col(time).alias("_stored"))
+    late = stored.join(updates.select(key, time), key).where(F.col("_stored") > F.col(time))
+    return updates.join(late.select(key, time), [key, time], "left_anti")
 
-    Of several outcomes of a key the one queried last counts, in whatever order they landed; so
-    folding the same micro-batches again changes nothing.
+
+def fold(registry: Registry, log_base: str, after: int = -1) -> tuple[DataFrame, DataFrame]:
+    """Merge landed micro-batches into queue and raw table.
+
+    Of several outcomes of a key, those in the tables included, the one queried last counts, in
+    whatever order they landed; so folding the same micro-batches again changes nothing. ``after``,
+    the last number folded before, leaves the ones already merged unread.
     """
     spark = registry.spark
-    status = landed_log(spark, log_base, "status", schemas.SCAN_QUEUE)
-    raw = landed_log(spark, log_base, "raw", schemas.COMPANIES_RAW)
-    queue = registry.queue.write(
-        scan.apply_outcomes(registry.queue.read(), status, order_by=("queried_at", "epoch"))
-    )
-    order = ("fetched_at", "epoch")
-    table = registry.raw.write(keyed.upsert(registry.raw.read(), raw, "cr_no", order_by=order))
+    queue, table = registry.queue.read(), registry.raw.read()
+    status = landed_log(spark, log_base, "status", schemas.SCAN_QUEUE, after)
+    raw = landed_log(spark, log_base, "raw", schemas.COMPANIES_RAW, after)
+    status = _not_older(status, queue, "brn", "queried_at")
+    raw = _not_older(raw, table, "cr_no", "fetched_at")
+    queue = registry.queue.write(scan.apply_outcomes(queue, status, order_by=("queried_at", "epoch")))
+    table = registry.raw.write(keyed.upsert(table, raw, "cr_no", order_by=("fetched_at", "epoch")))
     return queue, table
 
 

@@ -155,6 +155,24 @@ def test_stream_gives_what_batch_gives_and_resumes(registry, spark, rows, tmp_pa
     assert (as_set(queue), as_set(raw)) == once
 
 
+def test_fold_of_new_micro_batches_keeps_later_outcomes(registry, spark, rows, tmp_path):
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "checkpoint"))
+    registry.queue.write(scan.enqueue(registry.queue.read(), rows(outcome_rows(0, 60), OUTCOME)))
+    for epoch, first in enumerate((30, 0)):  # the later outcomes land and are folded first
+        rows(outcome_rows(first, 30), OUTCOME).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(OUTCOME).option("maxFilesPerTrigger", 1).parquet(source)
+        ingest.ingest_outcomes(stream, log, checkpoint).awaitTermination()
+        new = ingest.landed_log(spark, log, "raw", schemas.COMPANIES_RAW, after=epoch - 1)
+        assert {r["epoch"] for r in new.select("epoch").distinct().collect()} == {epoch}
+        ingest.fold(registry, log, after=epoch - 1)
+    status = {r["brn"]: (r["status"], r["batch_id"]) for r in registry.queue.read().collect()}
+    assert status["00000000"] == ("miss", "b4")  # outcome 40, not the hit of outcome 0 landed after it
+    assert status["00000003"] == ("miss", "b4") and status["00000021"] == ("hit", "b2")
+    queue, raw = as_set(registry.queue.read()), as_set(registry.raw.read())
+    ingest.fold(registry, log, after=1)  # nothing new
+    assert (as_set(registry.queue.read()), as_set(registry.raw.read())) == (queue, raw)
+
+
 def test_replayed_micro_batch_leaves_the_same_files(registry, spark, rows, tmp_path):
     source, log = str(tmp_path / "in"), str(tmp_path / "log")
     rows(outcome_rows(0, 30), OUTCOME).coalesce(1).write.parquet(source)
