@@ -143,3 +143,11 @@ def simhash_search(spark, sf_dir):
         (F.count(F.lit(1)) - 1).alias("n_near"), F.min(F.when(F.col("distance") > 0, F.col("distance"))).alias("nearest")
     )
     return asked.join(found, asked["fingerprint"] == found["query"], "left").select("doc_id", "fingerprint", "n_near", "nearest")
+
+
+@query()
+def op6_jaccard(spark, sf_dir):
+    """Components of documents linked by n-gram similarity."""
+    from rollbook.llm.jaccard import similar_sets
+
+    return similar_sets(table(spark, sf_dir, "documents").select("doc_id", "text"))
