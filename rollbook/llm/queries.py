@@ -151,3 +151,19 @@ def op6_jaccard(spark, sf_dir):
     from rollbook.llm.jaccard import similar_sets
 
     return similar_sets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    from rollbook.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    # Only id and text go through the scorer.
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
