@@ -29,6 +29,8 @@ CUTOFF = 60.0
 FLOOR = 0.3
 #: Statistics are rounded to this grid, so that sums don't depend on the order of rows.
 GRID = 1024.0
+#: Models of up to so many groups are broadcast (a few hundred bytes each); more are joined by shuffle.
+BROADCAST_GROUPS = 10_000
 #: Bins of a doubling of the distance, in which distances are counted for the quantile.
 BINS = 8
 VECTOR = ("q_length", "q_word", "q_symbols", "q_lines", "q_repeat")
@@ -119,14 +121,12 @@ def _estimate(rows: DataFrame, keys: list[str], vector: tuple, floor: float) ->
     return out.select(*keys, *[f"m{i}" for i in p], *[f"l{i}{j}" for i in p for j in p if j <= i])
 
 
-def _distance(rows: DataFrame, model: DataFrame, keys: list[str], vector: tuple, name: str) -> DataFrame:
-    """Squared Mahalanobis distance by forward substitution; null where a group has no model.
-
-    A model row is a few numbers; models are broadcast only if Spark finds them small."""
+def _distance(rows: DataFrame, model: DataFrame, keys: list[str], vector: tuple, name: str, few: bool) -> DataFrame:
+    """Squared Mahalanobis distance by forward substitution; null where a group has no model."""
     given = rows.columns
     renamed = model.select(*[F.col(k).alias(f"model_{k}") for k in keys], *[c for c in model.columns if c not in keys])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"model_{k}")) for k in keys])
-    out = rows.join(renamed, on, "left")
+    out = rows.join(F.broadcast(renamed) if few else renamed, on, "left")
     for i in range(len(vector)):
         y = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"y{k}"), range(i), F.col(vector[i]) - F.col(f"m{i}"))
         out = out.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
@@ -160,36 +160,38 @@ def robust_distances(
         *[F.col(k).alias(f"count_{k}") for k in keys], (F.col("pool_n") < least_group).alias("pool_small")
     )
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"count_{k}")) for k in keys])
-    pooled = rows.join(marks, on).drop(*[f"count_{k}" for k in keys])
+    marks = written(marks, "quality-counts")
+    pooled = rows.join(F.broadcast(marks) if marks.count() <= BROADCAST_GROUPS else marks, on).drop(*[f"count_{k}" for k in keys])
     name = F.concat_ws("\x1f", *[F.when(F.col(k).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(k).cast("string"))) for k in keys[:-1]])
     last = F.when(F.col(keys[-1]).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(keys[-1]).cast("string")))
     group = level[0]
     pooled = pooled.withColumn(group, F.concat_ws("\x1e", name, F.when(F.col("pool_small"), F.lit("")).otherwise(last)))
     pooled = written(pooled.drop("pool_small"), "quality-pooled")
     wide = pooled.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, 0.5, 1000).alias(f"med_{v}") for v in vector])
-    wide = wide.filter(F.col("n") >= least_group)
-    model_start = _start(pooled, wide, group, vector, floor)
+    wide = written(wide.filter(F.col("n") >= least_group), "quality-groups")
+    few = wide.count() <= BROADCAST_GROUPS
+    model_start = _start(pooled, wide, group, vector, floor, few)
     model = written(model_start, "quality-step")
     for _ in range(steps):
-        measured = _distance(pooled, model, [group], vector, "distance")
-        near = _nearest(measured, group, support)
+        measured = _distance(pooled, model, [group], vector, "distance", few)
+        near = _nearest(measured, group, support, few)
         model = written(_estimate(near, [group], vector, floor), "quality-step")
-    measured = _distance(pooled, model, [group], vector, "distance")
+    measured = _distance(pooled, model, [group], vector, "distance", few)
     scale = _quantile(measured, group, 0.5).select(F.col(group).alias("scale_group"), F.col("bin_top").alias("median"))
     # 4.351: median of chi-square with 5 degrees of freedom; in general p * (1 - 2 / (9 p)) ** 3.
     p = len(vector)
     normal = p * (1 - 2 / (9 * p)) ** 3
     return (
-        measured.join(scale, F.col(group) == F.col("scale_group"), "left")
+        measured.join(F.broadcast(scale) if few else scale, F.col(group) == F.col("scale_group"), "left")
         .withColumn("distance", F.col("distance") / F.greatest(F.col("median") / normal, F.lit(1.0)))
         .select(*given, "distance")
     )
 
 
-def _start(rows: DataFrame, wide: DataFrame, group: str, vector: tuple, floor: float) -> DataFrame:
+def _start(rows: DataFrame, wide: DataFrame, group: str, vector: tuple, floor: float, few: bool) -> DataFrame:
     """Diagonal first estimate: medians, and mean absolute differences to them as scales."""
     med = wide.select(F.col(group).alias("g"), *[f"med_{v}" for v in vector])
-    spread = rows.join(med, F.col(group) == F.col("g")).groupBy(group).agg(
+    spread = rows.join(F.broadcast(med) if few else med, F.col(group) == F.col("g")).groupBy(group).agg(
         *[F.first(f"med_{v}").alias(f"m{i}") for i, v in enumerate(vector)],
         *[(F.avg(F.abs(F.col(v) - F.col(f"med_{v}"))) * 1.2533 + floor).alias(f"l{i}{i}") for i, v in enumerate(vector)],
     )
@@ -219,9 +221,9 @@ def _quantile(measured: DataFrame, group: str, part: float) -> DataFrame:
     )
 
 
-def _nearest(measured: DataFrame, group: str, part: float) -> DataFrame:
+def _nearest(measured: DataFrame, group: str, part: float, few: bool) -> DataFrame:
     border = _quantile(measured, group, part).select(F.col(group).alias("border_group"), F.col("bin").alias("border"))
-    return measured.join(border, F.col(group) == F.col("border_group")).filter(_bin(F.col("distance")) <= F.col("border"))
+    return measured.join(F.broadcast(border) if few else border, F.col(group) == F.col("border_group")).filter(_bin(F.col("distance")) <= F.col("border"))
 
 
 def judge(
