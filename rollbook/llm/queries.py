@@ -167,3 +167,36 @@ def op4_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+_SUBSTRING_SQL = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM worded WHERE len(w) >= 13) x
+), hits AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM windows) x WHERE first < doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, i + j AS i FROM hits, (SELECT unnest(range(0, 13)) AS j) s
+), lists AS (
+    SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+), placed AS (
+    SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM worded WHERE doc_id IN (SELECT doc_id FROM lists)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(words, '') END) AS kept_sha256
+FROM worded LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query(_SUBSTRING_SQL)
+def op3_substring(spark, sf_dir):
+    """Words of every document that a window over them shares with an earlier document are removed."""
+    from rollbook.llm.common import words
+    from rollbook.llm.substring import without_repeats
+
+    docs = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.array_join(words(F.col("text")), " ")
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
