@@ -200,3 +200,15 @@ def op3_substring(spark, sf_dir):
     docs = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.array_join(words(F.col("text")), " ")
     return docs.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op9_sentencepiece(spark, sf_dir, model_file: str = TOKENIZER):
+    """Tokens of every document: how many, a checksum of their ids by place, and whether they decode."""
+    from rollbook.llm import sentencepiece
+
+    pieces, model = sentencepiece.piece_table(spark, model_file)
+    return sentencepiece.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces, model)
