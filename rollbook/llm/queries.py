@@ -212,3 +212,39 @@ def op9_sentencepiece(spark, sf_dir, model_file: str = TOKENIZER):
 
     pieces, model = sentencepiece.piece_table(spark, model_file)
     return sentencepiece.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces, model)
+
+
+_WARC_SQL = """
+WITH rows_ AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS sha FROM pages
+), marked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY sha) AS last FROM rows_
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(sha, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM marked"""
+
+
+@query(_WARC_SQL)
+def op8_warc(spark, sf_dir):
+    """A record per page, written to archives and read back from them."""
+    from rollbook.llm.common import written
+    from rollbook.llm.warc import read_archives, write_archives
+
+    archives = written(write_archives(table(spark, sf_dir, "pages")), "warc")
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
+    number = lambda c: F.when(page(c) != "", page(c).cast("long"))
+    return read_archives(archives).select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
+
+
+@query()
+def op1_html(spark, sf_dir):
+    """Main text of every page."""
+    from rollbook.llm.html_crf import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
