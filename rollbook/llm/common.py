@@ -41,12 +41,12 @@ def n_words(text: Column) -> Column:
     ).cast("long")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared scratch folder and read back: lineage ends there, and executors
     that are lost later cost nothing of what was done before."""
     spark: SparkSession = df.sparkSession
     path = f"{scratch_dir(spark, name)}/rows"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

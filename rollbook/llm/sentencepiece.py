@@ -267,14 +267,16 @@ def token_digests(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
         "segment", "ids", (F.col("text") == F.replace("segment", F.lit(SPACE), F.lit(" "))).alias("exact")
     )
     table = written(table.join(words, "segment"), "pieces-table")
-    counts = words.groupBy(F.least("n", F.lit(_TOP_COUNT)).alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()  # _TOP_COUNT rows at most
-    floor, total = _TOP_COUNT, 0
+    # Frequencies beyond _TOP_COUNT by powers of two: a few thousand rows at most.
+    level = F.when(F.col("n") < _TOP_COUNT, F.col("n")).otherwise(_bit(F.floor(F.log2("n")).cast("int")))
+    counts = words.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
+    floor, total = 1 << 62, 0
     for r in sorted(counts, key=lambda r: -r["n"]):
         total += r["m"]
         if total > BROADCAST_SEGMENTS:
             break
         floor = r["n"]
-    often = F.broadcast(table.filter(F.col("n") >= floor).select("segment", "ids", "exact")) if total else None
+    often = F.broadcast(table.filter(F.col("n") >= floor).select("segment", "ids", "exact"))
 
     def summed(rows: DataFrame) -> DataFrame:
         h = F.pmod(F.xxhash64("place", "ids"), F.lit(1 << 40))

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rollbook.llm.common import free_name, text_or_empty, written
+from rollbook.llm.common import text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes, runs, word_hashes
 from rollbook.llm.sketch import is_shared, shared_bits, table_bits
 
 #: Words of a window, and of the runs whose least hash is its anchor.
 WINDOW = 13
-RUN = 7
+RUN = 4
+#: Groups of equal texts that are broadcast; more are joined by shuffle.
+BROADCAST_COPIES = 500_000
 #: Pieces of a reference shard, on average.
 SHARD_PIECES = 500
 _U = np.uint64
@@ -197,7 +199,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
         shared_bits(docs, _row_hashes(window, run, anchors), b) for anchors, b in zip((False, True), bits, strict=True)
     )
     pieces = _pieces(docs, window, run, tables, bits).withColumn("form", F.xxhash64("piece"))
-    pieces = written(pieces, "substring-pieces")
+    # Neighbouring pieces overlap, which zstd makes use of.
+    pieces = written(pieces, "substring-pieces", compression="zstd")
     n_shards = 1 + pieces.count() // SHARD_PIECES
     distinct = pieces.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id"))
     sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
@@ -233,21 +236,30 @@ def without_repeats(
     none counts as earlier than another. Result columns that ``docs`` has already are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed")]
-    th, doc = free_name("th", kept), free_name("span_doc", kept)
-    hashed = docs.select(*kept, F.xxhash64(text_column).alias(th))
-    given = hashed.filter(F.col(id_column).isNotNull()).select(
-        F.col(id_column).cast("long").alias("doc_id"), text_or_empty(F.col(text_column)).alias("text"), F.col(th).alias("th")
-    )
-    spans = repeated_spans(given, window, run).select(F.col("doc_id").alias(doc), F.col("th").alias(f"{th}_of"), "spans")
-    list_name = free_name("repeat_spans", kept)
-    joined = hashed.join(spans, (F.col(id_column) == F.col(doc)) & (F.col(th) == F.col(f"{th}_of")), "left")
-    joined = joined.select(*kept, F.col("spans").alias(list_name))
+    rename = {c: f"given_{k}" for k, c in enumerate(kept)}
+    given = docs.select(*[F.col(c).alias(n) for c, n in rename.items()])
+    given = given.withColumns({"doc_id": F.col(rename[id_column]).cast("long"), "th": F.xxhash64(rename[text_column])})
+    texts = given.filter("doc_id IS NOT NULL").select("doc_id", text_or_empty(F.col(rename[text_column])).alias("text"), "th")
+    # Of equal texts only the first is looked into; in the others every window begins earlier.
+    sha = F.sha2(rename[text_column], 256)
+    copies = written(
+        given.filter("doc_id IS NOT NULL").groupBy(sha.alias("sha")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last"),
+        "substring-copies",
+    ).select("sha", "first")
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_COPIES else copies
+    earlier = copies.select("sha", F.col("first").alias("earlier"))
+    firsts = texts.withColumn("of", F.sha2("text", 256)).join(copies, (F.col("of") == F.col("sha")) & (F.col("doc_id") > F.col("first")), "left_anti")
+    spans = repeated_spans(firsts.select("doc_id", "text", "th"), window, run)
+    spans = spans.select(F.col("doc_id").alias("span_doc"), F.col("th").alias("span_th"), "spans")
+    joined = given.join(spans, (F.col("doc_id") == F.col("span_doc")) & (F.col("th") == F.col("span_th")), "left")
+    joined = joined.withColumn("of", sha).join(earlier, (F.col("of") == F.col("sha")) & (F.col("doc_id") > F.col("earlier")), "left")
+    joined = joined.select(*rename.values(), "spans", F.col("earlier").isNotNull().alias("copy"))
     place = kept.index(text_column)
 
     def cut(batches):
         for batch in batches:
             data, offsets = column_bytes(batch.column(place))
-            spans_of = batch.column(len(kept)).to_pylist()
+            spans_of, copy = batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()
             texts: list = batch.column(place).to_pylist()
             n_words, n_removed = [], []
             for lo, hi in blocks(offsets):
@@ -257,11 +269,13 @@ def without_repeats(
                 for i in range(lo, hi):
                     a, b = at[i - lo], at[i - lo + 1]
                     n_words.append(int(b - a))
-                    if not spans_of[i]:
+                    if not spans_of[i] and not (copy[i] and b - a >= window):
                         n_removed.append(0)
                         continue
                     edge = np.zeros(b - a + 1, np.int64)
-                    for s in spans_of[i]:
+                    if copy[i]:
+                        edge[0], edge[-1] = 1, -1
+                    for s in spans_of[i] or ():
                         edge[s["at"]] += 1
                         edge[s["at"] + s["n"] + window - 1] -= 1
                     gone = np.cumsum(edge)[:-1] > 0
