@@ -12,6 +12,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from rollbook.llm.common import let, text_or_empty, written
 
@@ -22,7 +23,9 @@ SEGMENT = f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+"
 MOST_PIECE = 16
 MOST_FOLDED = 60
 #: Encodings of the most frequent segments are broadcast, so many at most.
-BROADCAST_SEGMENTS = 150_000
+BROADCAST_SEGMENTS = 300_000
+#: Rare segments whose encodings a task remembers.
+CACHE = 50_000
 _TOP_COUNT = 4096
 LOW = -1e9
 
@@ -76,6 +79,8 @@ def _lattice(words: DataFrame, pieces: DataFrame) -> DataFrame:
     exploded = words.select("segment", n.alias("n_chars"), F.explode(parts).alias("e")).select("segment", "n_chars", "e.*")
     # The piece table is the model's vocabulary: tens of thousands of rows.
     edges = exploded.join(F.broadcast(pieces), F.col("part") == F.col("piece"), "left")
+    # What is no piece goes, but for a row that stands for the segment.
+    edges = edges.filter(F.col("id").isNotNull() | (F.col("at") + F.col("size") == 1))
     inner = (_bit(F.col("at") + F.col("size")) - _bit(F.col("at"))).bitwiseAND(F.bitwise_not(_bit(F.col("at"))))
     edge = F.struct("rank", "at", (_bit(F.col("at")) + _bit(F.col("at") + F.col("size"))).alias("ends"), inner.alias("inner"), "id", "score", "size")
     found = F.collect_list(F.when(F.col("id").isNotNull(), edge))
@@ -198,16 +203,29 @@ def encode_segments(words: DataFrame, pieces: DataFrame, model: dict) -> DataFra
         )
         joined = chunks.join(parts, "segment").groupBy("whole").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("p"))
         return folded.unionByName(joined.select(F.col("whole").alias("segment"), F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids")))
-    rows = pieces.select("piece", "id", "rank").collect()  # the vocabulary
-    shared = words.sparkSession.sparkContext.broadcast(({r["piece"]: r["rank"] for r in rows}, {r["piece"]: r["id"] for r in rows}, model))
+    return folded.unionByName(merge_segments(words.filter(~short).select("segment"), pieces, model))
+
+
+def merge_segments(rows: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
+    """``rows`` (last column ``segment``) with ``ids``, each merged in the task that holds it."""
+    vocabulary = pieces.select("piece", "id", "rank").collect()  # tens of thousands of rows
+    tables = {r["piece"]: r["rank"] for r in vocabulary}, {r["piece"]: r["id"] for r in vocabulary}
+    shared = rows.sparkSession.sparkContext.broadcast((*tables, model))
 
     def merge(batches):
         ranks, ids, about = shared.value
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            found = [merge_long(s, ranks, ids, about) for s in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["segment", "ids"])
+            out = []
+            for s in batch.column(batch.num_columns - 1).to_pylist():
+                if s not in known:
+                    if len(known) >= CACHE:
+                        known.clear()
+                    known[s] = merge_long(s, ranks, ids, about)
+                out.append(known[s])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
 
-    return folded.unionByName(words.filter(~short).select("segment").mapInArrow(merge, "segment string, ids array<int>"))
+    return rows.mapInArrow(merge, StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode(coded: DataFrame, pieces: DataFrame, model: dict, key: str, strip: bool = True) -> DataFrame:
@@ -252,21 +270,16 @@ def token_digests(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_segments, n_tokens, ids_sum, exact``.
 
     ``ids_sum`` is the sum over segments of a 40-bit hash of place and ids; ``exact`` tells whether decoding
-    gives the text back. Sums need no order, so a text's segments shrink to a row before they are shuffled:
-    those with a broadcast encoding at once, the others after a join on the segment. Repeated rows (one
-    doc_id and text) are counted together and given back one by one. Null and empty texts have no tokens.
+    gives the text back. The most frequent segments go through the lattice once and are broadcast; byte-pair
+    models merge the others in the task that holds them, which spares a shuffle of their every occurrence
+    (unigram models send them through the lattice and a join). Sums need no order, so a text's segments
+    shrink to a row before they are shuffled. Repeated rows (one doc_id and text) are counted together and
+    given back one by one. Null and empty texts have no tokens.
     """
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     placed = docs.select("doc_id", "th", F.posexplode_outer(segments(F.col("text"))).alias("place", "segment"))
     words = placed.filter("segment IS NOT NULL").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
-    words = written(words, "pieces-segments")
-    coded = encode_segments(words.repartition("segment"), pieces, model)
-    coded = written(coded, "pieces-ids")
-    back = decode(coded.withColumn("form", F.col("segment")), pieces, model, "form", strip=False)
-    table = coded.join(back, F.col("segment") == F.col("form")).select(
-        "segment", "ids", (F.col("text") == F.replace("segment", F.lit(SPACE), F.lit(" "))).alias("exact")
-    )
-    table = written(table.join(words, "segment"), "pieces-table")
+    words = written(words, "pieces-segments", compression="zstd")
     # Frequencies beyond _TOP_COUNT by powers of two: a few thousand rows at most.
     level = F.when(F.col("n") < _TOP_COUNT, F.col("n")).otherwise(_bit(F.floor(F.log2("n")).cast("int")))
     counts = words.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
@@ -276,22 +289,49 @@ def token_digests(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
         if total > BROADCAST_SEGMENTS:
             break
         floor = r["n"]
-    often = F.broadcast(table.filter(F.col("n") >= floor).select("segment", "ids", "exact"))
+    back = docs.sparkSession.sparkContext.broadcast({r["id"]: r["piece"] for r in pieces.select("id", "piece").collect()})
+    base = model["byte_base"]
+
+    def told(rows: DataFrame) -> DataFrame:
+        """``ids`` (last but one column: ``segment``) as count, hash, and whether they decode."""
+        kept = [c for c in rows.columns if c not in ("segment", "ids")]
+        fields = [rows.schema[c] for c in (*kept, "segment", "ids")]
+
+        def check(batches):
+            table = {i: p.replace(SPACE, " ").encode() for i, p in back.value.items()}
+            if base is not None:
+                table |= {base + b: bytes([b]) for b in range(256)}
+            for batch in batches:
+                n = batch.num_columns
+                exact = [
+                    b"".join([table.get(i, b"") for i in ids]) == s.replace(SPACE, " ").encode()
+                    for s, ids in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(exact, pa.bool_())], [*batch.schema.names, "exact"])
+
+        checked = rows.select(*kept, "segment", "ids").mapInArrow(check, StructType([*fields, StructField("exact", BooleanType())]))
+        return checked.select(*kept, "segment", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "exact")
+
+    often = written(told(encode_segments(words.filter(F.col("n") >= floor).select("segment"), pieces, model)), "pieces-often")
+    often = F.broadcast(often)  # BROADCAST_SEGMENTS rows at most
 
     def summed(rows: DataFrame) -> DataFrame:
-        h = F.pmod(F.xxhash64("place", "ids"), F.lit(1 << 40))
+        h = F.pmod(F.xxhash64("place", "ids_hash"), F.lit(1 << 40))
         return rows.groupBy("doc_id", "th").agg(
             F.sum(F.when(F.coalesce("place", F.lit(0)) == 0, 1).otherwise(0)).alias("copies"),
             F.count("segment").alias("n_segments"),
-            F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_tokens"),
+            F.coalesce(F.sum("n_ids"), F.lit(0)).alias("n_tokens"),
             F.coalesce(F.sum(h), F.lit(0)).alias("ids_sum"),
             F.coalesce(F.min("exact"), F.lit(True)).alias("exact"),
         )
 
-    frequent = summed(placed.join(often, "segment", "left").filter("segment IS NULL OR ids IS NOT NULL"))
-    rare = placed.join(often.select("segment"), "segment", "left_anti").filter("segment IS NOT NULL")
-    rare = summed(rare.join(table.filter(F.col("n") < floor).select("segment", "ids", "exact"), "segment"))
-    every = frequent.unionByName(rare).groupBy("doc_id", "th").agg(
+    frequent = summed(placed.join(often, "segment", "left").filter("segment IS NULL OR n_ids IS NOT NULL"))
+    rare = placed.join(often.select("segment"), "segment", "left_anti").filter("segment IS NOT NULL").select("doc_id", "th", "place", "segment")
+    if model["kind"] == "bpe":
+        rare = told(merge_segments(rare, pieces, model))
+    else:
+        rare = rare.join(told(encode_segments(words.filter(F.col("n") < floor).select("segment"), pieces, model)), "segment")
+    every = frequent.unionByName(summed(rare)).groupBy("doc_id", "th").agg(
         *[F.sum(c).alias(c) for c in ("copies", "n_segments", "n_tokens", "ids_sum")], F.min("exact").alias("exact")
     )
     part = lambda c: F.floor(F.col(c) / F.col("copies")).cast("long").alias(c)

@@ -169,8 +169,8 @@ def test_substring_of_odd_rows(spark):
 
 def test_unseen_spellings_are_caught(spark):
     rng = random.Random(6)
-    word = lambda: "".join(rng.choice("aeioukltrn") for _ in range(rng.randint(2, 7)))
-    clean = lambda n: [word() for _ in range(n)]
+    lexicon = ["".join(rng.choice("aeioukltrn") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    clean = lambda n: [rng.choice(lexicon) for _ in range(n)]
     rows, labels = [], []
     for i in range(600):
         w = clean(rng.randint(20, 200))
