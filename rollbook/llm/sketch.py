@@ -19,13 +19,18 @@ LEAST_BITS, MOST_BITS = 20, 29
 CHUNK_BITS = 22
 #: Positions gathered by a task before they are given out.
 FLUSH = 1 << 22
-_SCHEMA = "chunk int, once binary, twice binary"
+_SCHEMA = "chunk int, once binary, more binary, counts binary"
+#: Counts end here.
+MOST_COUNT = 255
 
 
-def table_bits(docs: DataFrame, text_column: str = "text", per_byte: float = 0.5, most: int = MOST_BITS) -> int:
-    """log2 of the table size for the bytes of all texts."""
-    n = docs.agg(F.sum(F.octet_length(text_column)).alias("n")).first()["n"] or 0
-    return int(min(most, max(LEAST_BITS, np.ceil(np.log2(max(1, n * per_byte))))))
+def text_bytes(docs: DataFrame, text_column: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(text_column)).alias("n")).first()["n"] or 0
+
+
+def table_bits(n_bytes: int, per_byte: float = 0.5, most: int = MOST_BITS) -> int:
+    """log2 of the table size for so many bytes of text."""
+    return int(min(most, max(LEAST_BITS, np.ceil(np.log2(max(1, n_bytes * per_byte))))))
 
 
 def _pack(places: np.ndarray) -> bytes:
@@ -40,8 +45,11 @@ def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def shared_bits(docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
-    """The packed bit table of ``docs``; ``rows_of`` gives the item hashes of each row of a batch."""
+def shared_bits(
+    docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, levels: tuple[int, ...] = (2,)
+) -> list[np.ndarray]:
+    """For each level the packed bit table of positions that so many rows of ``docs`` hit (255 at most);
+    ``rows_of`` gives the item hashes of each row of a batch."""
 
     def gather(batches):
         held: list[np.ndarray] = []
@@ -55,12 +63,13 @@ def shared_bits(docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np
             rows = []
             for c, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 if hi > lo:
-                    v, twice = values[lo:hi] & np.uint32((1 << CHUNK_BITS) - 1), counts[lo:hi] > 1
-                    rows.append((c, _pack(v[~twice]), _pack(v[twice])))
+                    v, n_rows = values[lo:hi] & np.uint32((1 << CHUNK_BITS) - 1), counts[lo:hi]
+                    more = n_rows > 1
+                    rows.append((c, _pack(v[~more]), _pack(v[more]), np.minimum(n_rows[more], MOST_COUNT).astype(np.uint8).tobytes()))
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]],
-                ["chunk", "once", "twice"],
+                [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
+                ["chunk", "once", "more", "counts"],
             )
 
         for batch in batches:
@@ -76,21 +85,24 @@ def shared_bits(docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np
     def merge(batches):
         seen: dict[int, np.ndarray] = {}
         for batch in batches:
-            for c, once, twice in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for c, once, more, counts in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
                 table = seen.setdefault(c, np.zeros(1 << min(CHUNK_BITS, bits), np.uint8))
                 places = _unpack(once)
-                table[places] = np.minimum(table[places] + 1, 2)
-                table[_unpack(twice)] = 2
+                table[places] = np.minimum(table[places], MOST_COUNT - 1) + 1
+                places = _unpack(more)
+                table[places] = np.minimum(table[places].astype(np.int64) + np.frombuffer(counts, np.uint8), MOST_COUNT)
         for c, table in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([np.packbits(table > 1).tobytes()], pa.binary())], ["chunk", "bits"])
+            packed = b"".join(np.packbits(table >= n).tobytes() for n in levels)
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([packed], pa.binary())], ["chunk", "bits"])
 
     parts = docs.mapInArrow(gather, _SCHEMA)
     n_parts = max(1, 1 << max(0, bits - CHUNK_BITS))
     merged = parts.repartition(min(n_parts, 128), "chunk").mapInArrow(merge, "chunk int, bits binary")
-    out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
+    out = [np.zeros((1 << bits) // 8, np.uint8) for _ in levels]
     width = (1 << min(CHUNK_BITS, bits)) // 8
-    for row in merged.collect():  # at most 2 ** MOST_BITS bits in all
-        out[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
+    for row in merged.collect():  # at most 2 ** MOST_BITS bits a level in all
+        for k, table in enumerate(out):
+            table[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["bits"], np.uint8, width, k * width)
     return out
 
 

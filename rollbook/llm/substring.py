@@ -18,15 +18,17 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from rollbook.llm.common import text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes, runs, word_hashes
-from rollbook.llm.sketch import is_shared, shared_bits, table_bits
+from rollbook.llm.sketch import is_shared, shared_bits, table_bits, text_bytes
 
 #: Words of a window, and of the runs whose least hash is its anchor.
 WINDOW = 13
 RUN = 4
 #: Groups of equal texts that are broadcast; more are joined by shuffle.
 BROADCAST_COPIES = 500_000
-#: Pieces of a reference shard, on average.
-SHARD_PIECES = 500
+#: Bytes of text to a reference shard; its pieces are about an eighth of them.
+SHARD_BYTES = 150_000
+#: Anchors that more rows have are hot: their pieces shrink to distinct ones before they meet.
+HOT_ROWS = 200
 _U = np.uint64
 
 
@@ -61,13 +63,13 @@ def _row_hashes(window: int, run: int, anchors: bool):
     return rows_of
 
 
-def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: tuple[int, int]) -> DataFrame:
+def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: tuple[int, int], hot: bool) -> DataFrame:
     """``anchor, piece, doc_id, th, start``: maximal runs of windows with one anchor that may be shared; the
-    words of a piece are joined by single spaces, ``start`` is its first word."""
+    words of a piece are joined by single spaces, ``start`` is its first word. Of hot anchors or the others."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def cut(batches):
-        of_window, of_anchor = shared.value
+        of_window, of_anchor, hot_anchor = shared.value
         for batch in batches:
             ids, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             data, offsets = column_bytes(batch.column(1))
@@ -76,7 +78,8 @@ def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: tuple[i
                 part = offsets[lo : hi + 1]
                 own = data[part[0] : part[-1]]
                 row, first, h, place, anchor, (starts, ends, at) = _windows(own, part - part[0], window, run)
-                maybe = np.flatnonzero(is_shared(of_window, h, bits[0]) & is_shared(of_anchor, anchor, bits[1]))
+                maybe = is_shared(of_window, h, bits[0]) & is_shared(of_anchor, anchor, bits[1])
+                maybe = np.flatnonzero(maybe & (is_shared(hot_anchor, anchor, bits[1]) == hot))
                 if not len(maybe):
                     continue
                 row, first, place, anchor = row[maybe], first[maybe], place[maybe], anchor[maybe]
@@ -167,8 +170,9 @@ class Automaton:
         return out
 
 
-def _first_documents(keys: list[int], pieces: list[str], docs: list[int], window: int) -> list[list[int]]:
-    """Of each distinct piece, the first document of each of its windows, one automaton per anchor."""
+def _first_documents(keys: list, pieces: list[str], docs: list[int], window: int) -> list[list[int]]:
+    """Of each piece, the first document of each of its windows among pieces with its key (anchor). An
+    automaton is built where an anchor has pieces of more than one form of words."""
     order = sorted(range(len(keys)), key=lambda i: (keys[i], docs[i]))
     out: list[list[int]] = [[]] * len(keys)
     i = 0
@@ -176,53 +180,85 @@ def _first_documents(keys: list[int], pieces: list[str], docs: list[int], window
         j = i
         while j < len(order) and keys[order[j]] == keys[order[i]]:
             j += 1
-        group = order[i:j]
-        if j - i == 1:  # one form of words: all its windows begin where the piece does first
-            k = group[0]
-            out[k] = [docs[k]] * (pieces[k].count(" ") + 2 - window)
+        forms: dict[str, int] = {}
+        for k in order[i:j]:  # in order of their documents
+            forms.setdefault(pieces[k], docs[k])
+        if len(forms) == 1:  # all its windows begin where it does first
+            ((form, doc),) = forms.items()
+            first = {form: [doc] * (form.count(" ") + 2 - window)}
         else:
             shard = Automaton()
-            texts = [pieces[k].split(" ") for k in group]
-            for k, words in zip(group, texts, strict=True):
-                shard.add(words, docs[k])
-            for k, words in zip(group, texts, strict=True):
-                out[k] = shard.first_documents(words, window)
+            split = {form: form.split(" ") for form in forms}
+            for form, doc in forms.items():
+                shard.add(split[form], doc)
+            first = {form: shard.first_documents(split[form], window) for form in forms}
+        for k in order[i:j]:
+            out[k] = first[pieces[k]]
         i = j
     return out
 
 
+def _spans(first: list[int], doc: int) -> list[tuple[int, int]]:
+    """Runs (from, length) of windows that begin in an earlier document."""
+    out, i = [], 0
+    while i < len(first):
+        j = i
+        while j < len(first) and first[j] < doc:
+            j += 1
+        if j > i:
+            out.append((i, j - i))
+        i = j + 1
+    return out
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """``doc_id, th, spans``: (first window, number of windows) that an earlier document has too, of the rows
-    of ``docs`` (``doc_id, text, th``) that have any; ``th`` is a hash of the text."""
-    bits = table_bits(docs, per_byte=1.0), table_bits(docs, per_byte=0.25)
-    tables = tuple(
-        shared_bits(docs, _row_hashes(window, run, anchors), b) for anchors, b in zip((False, True), bits, strict=True)
+    of ``docs`` (``doc_id, text, th``) that have any; ``th`` is a hash of the text.
+
+    Pieces go to the shard of their anchor as they are, and a shard tells each its spans. Hot anchors would
+    bring too many rows together: their pieces are made distinct first, and the answers joined back."""
+    n_bytes = text_bytes(docs)
+    bits = table_bits(n_bytes, per_byte=1.0), table_bits(n_bytes, per_byte=0.25)
+    (windows,) = shared_bits(docs, _row_hashes(window, run, False), bits[0])
+    anchors, hot = shared_bits(docs, _row_hashes(window, run, True), bits[1], (2, HOT_ROWS))
+    tables = (windows, anchors, hot)
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(1 + n_bytes // SHARD_BYTES)).cast("int").alias("shard")
+
+    def answer(part: pa.Table) -> pa.Table:
+        keys, pieces, ids, ths, starts = (part.column(c).to_pylist() for c in ("anchor", "piece", "doc_id", "th", "start"))
+        out: tuple[list, ...] = ([], [], [], [])
+        for first, doc, th, start in zip(_first_documents(keys, pieces, ids, window), ids, ths, starts, strict=True):
+            for at, n in _spans(first, doc):
+                for values, x in zip(out, (doc, th, start + at, n), strict=True):
+                    values.append(x)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "th", "at", "n"])
+
+    # Within a shard half the anchor's bits tell anchors apart; should two share them, they share an automaton.
+    usual = _pieces(docs, window, run, tables, bits, False).select(
+        shard, F.shiftright("anchor", 32).cast("int").alias("anchor"), "doc_id", "th", "start", "piece"
     )
-    pieces = _pieces(docs, window, run, tables, bits).withColumn("form", F.xxhash64("piece"))
-    # Neighbouring pieces overlap, which zstd makes use of.
-    pieces = written(pieces, "substring-pieces", compression="zstd")
-    n_shards = 1 + pieces.count() // SHARD_PIECES
-    distinct = pieces.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id"))
-    sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
-
-    def resolve(shard: pa.Table) -> pa.Table:
-        keys, texts, ids = (shard.column(c).to_pylist() for c in ("anchor", "piece", "doc_id"))
-        first = _first_documents(keys, texts, ids, window)
-        return pa.table({"anchor": shard.column("anchor"), "form": shard.column("form"), "first": pa.array(first, pa.list_(pa.int64()))})
-
-    resolved = sharded.groupBy("shard").applyInArrow(resolve, "anchor long, form long, first array<long>")
-    found = pieces.select("anchor", "form", "doc_id", "th", "start").join(resolved, ["anchor", "form"])
+    told = usual.groupBy("shard").applyInArrow(answer, "doc_id long, th long, at int, n int")
+
+    crowded = written(_pieces(docs, window, run, tables, bits, True).withColumn("form", F.xxhash64("piece")), "substring-hot", "zstd")
+    distinct = crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id")).withColumn("shard", shard)
+
+    def resolve(part: pa.Table) -> pa.Table:
+        keys, pieces, ids = (part.column(c).to_pylist() for c in ("anchor", "piece", "doc_id"))
+        first = _first_documents(keys, pieces, ids, window)
+        return pa.table({"anchor": part.column("anchor"), "form": part.column("form"), "first": pa.array(first, pa.list_(pa.int64()))})
+
+    resolved = distinct.groupBy("shard").applyInArrow(resolve, "anchor long, form long, first array<long>")
+    found = crowded.select("anchor", "form", "doc_id", "th", "start").join(resolved, ["anchor", "form"])
+    # All windows of a piece at once where each begins earlier, else one by one.
     span = lambda at, n: F.struct(at.cast("int").alias("at"), n.cast("int").alias("n"))
-    single = F.filter(
-        F.transform("first", lambda d, i: F.when(d < F.col("doc_id"), span(F.col("start") + i, F.lit(1)))), lambda x: x.isNotNull()
-    )
-    spans = F.when(F.array_max("first") < F.col("doc_id"), F.array(span(F.col("start"), F.size("first")))).otherwise(single)
-    return (
-        found.select("doc_id", "th", spans.alias("spans"))
-        .filter(F.size("spans") > 0)
-        .groupBy("doc_id", "th")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    single = F.transform("first", lambda d, i: F.when(d < F.col("doc_id"), span(F.col("start") + i, F.lit(1))))
+    spans = F.when(F.array_max("first") < F.col("doc_id"), F.array(span(F.col("start"), F.size("first")))).otherwise(
+        F.filter(single, lambda x: x.isNotNull())
     )
+    hot_spans = found.select("doc_id", "th", F.inline(spans))
+    every = told.unionByName(hot_spans).repartition("doc_id", "th")
+    return every.groupBy("doc_id", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
 
 
 def without_repeats(

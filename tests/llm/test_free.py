@@ -133,8 +133,9 @@ def plain_removed(rows, window=13):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_repeated_spans_go(spark, seed):
+@pytest.mark.parametrize(("seed", "hot"), [(1, 200), (2, 2), (3, 4)])
+def test_repeated_spans_go(spark, seed, hot, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_ROWS", hot)
     rows = synthetic(seed, 80)
     got = substring.without_repeats(frame(spark, rows)).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], words_of(r["text"])) for r in got} == plain_removed(rows)
