@@ -49,7 +49,8 @@ def shared_bits(
     docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, levels: tuple[int, ...] = (2,)
 ) -> list[np.ndarray]:
     """For each level the packed bit table of positions that so many rows of ``docs`` hit (255 at most);
-    ``rows_of`` gives the item hashes of each row of a batch."""
+    ``rows_of`` gives the item hashes of each row of a batch. Levels after the first are few positions: their
+    tables have a bit for eight of them, so three bits less."""
 
     def gather(batches):
         held: list[np.ndarray] = []
@@ -92,17 +93,21 @@ def shared_bits(
                 places = _unpack(more)
                 table[places] = np.minimum(table[places].astype(np.int64) + np.frombuffer(counts, np.uint8), MOST_COUNT)
         for c, table in seen.items():
-            packed = b"".join(np.packbits(table >= n).tobytes() for n in levels)
+            packed = [np.packbits(table >= n) for n in levels]
+            packed = b"".join((np.packbits(p > 0) if k else p).tobytes() for k, p in enumerate(packed))
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([packed], pa.binary())], ["chunk", "bits"])
 
     parts = docs.mapInArrow(gather, _SCHEMA)
     n_parts = max(1, 1 << max(0, bits - CHUNK_BITS))
     merged = parts.repartition(min(n_parts, 128), "chunk").mapInArrow(merge, "chunk int, bits binary")
-    out = [np.zeros((1 << bits) // 8, np.uint8) for _ in levels]
     width = (1 << min(CHUNK_BITS, bits)) // 8
+    widths = [width // 8 if k else width for k in range(len(levels))]
+    out = [np.zeros((1 << bits) // 8 * w // width, np.uint8) for w in widths]
     for row in merged.collect():  # at most 2 ** MOST_BITS bits a level in all
-        for k, table in enumerate(out):
-            table[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["bits"], np.uint8, width, k * width)
+        at = 0
+        for table, w in zip(out, widths, strict=True):
+            table[row["chunk"] * w : (row["chunk"] + 1) * w] = np.frombuffer(row["bits"], np.uint8, w, at)
+            at += w
     return out
 
 

@@ -1,8 +1,9 @@
 """Substring dedup with suffix automata of reference shards.
 
-A window is so many consecutive words of one text. Windows are sorted out by bit tables of bounded size:
-what no second text can have is left alone. The rest is cut into pieces, at anchors that depend on the
-words only (the least hash of a short run in each window), so equal windows get equal anchors. The distinct
+A window is so many consecutive words of one text. Each has an anchor that depends on its words only, the
+least hash of a short run in it, so equal windows have equal anchors. A bit table of bounded size tells
+anchors that no second text can have: their windows are left alone. The rest is cut into pieces with one
+anchor. The distinct
 pieces of a range of anchors are a reference shard: a suffix automaton over its words, each state marked
 with the least document that has it. Pieces are streamed through their shard for matching statistics, and
 windows that begin in an earlier document are taken out as maximal spans.
@@ -22,9 +23,11 @@ from rollbook.llm.sketch import is_shared, shared_bits, table_bits, text_bytes
 
 #: Words of a window, and of the runs whose least hash is its anchor.
 WINDOW = 13
-RUN = 4
+RUN = 5
 #: Groups of equal texts that are broadcast; more are joined by shuffle.
 BROADCAST_COPIES = 500_000
+#: Bound of the broadcast bit table (32 MB); a fuller one lets more pieces through, and loses none.
+MOST_BITS = 28
 #: Bytes of text to a reference shard; its pieces are about an eighth of them.
 SHARD_BYTES = 150_000
 #: Anchors that more rows have are hot: their pieces shrink to distinct ones before they meet.
@@ -33,43 +36,42 @@ _U = np.uint64
 
 
 def _windows(data: np.ndarray, part: np.ndarray, window: int, run: int):
-    """Per window that lies in one row: row, first word, hash, anchor's word and hash; and the words."""
+    """Per window that lies in one row: row, first word, anchor's word and hash; and the words."""
     h, starts, ends, at = word_hashes(data, part)
     n = len(h) - window + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, _U), none, np.zeros(0, _U), (starts, ends, at)
+        return none, none, none, np.zeros(0, _U), (starts, ends, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     first = np.flatnonzero(row[:n] == row[window - 1 :])
     short = runs(h, run)
     width = window - run + 1
     view = np.lib.stride_tricks.sliding_window_view(short, width)[first]
     least = view.argmin(axis=1) + first
-    return row[first], first, runs(h, window)[first], least, short[least], (starts, ends, at)
+    return row[first], first, least, short[least], (starts, ends, at)
 
 
-def _row_hashes(window: int, run: int, anchors: bool):
+def _row_anchors(window: int, run: int):
     def rows_of(batch: pa.RecordBatch):
         data, offsets = column_bytes(batch.column(1))
         for lo, hi in blocks(offsets):
             part = offsets[lo : hi + 1]
-            row, _, h, _, anchor, _ = _windows(data[part[0] : part[-1]], part - part[0], window, run)
+            row, _, _, anchor, _ = _windows(data[part[0] : part[-1]], part - part[0], window, run)
             cuts = np.searchsorted(row, np.arange(hi - lo + 1))
-            values = anchor if anchors else h
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if b > a:
-                    yield values[a:b]
+                    yield anchor[a:b]
 
     return rows_of
 
 
-def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: tuple[int, int], hot: bool) -> DataFrame:
+def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: int, hot: bool) -> DataFrame:
     """``anchor, piece, doc_id, th, start``: maximal runs of windows with one anchor that may be shared; the
     words of a piece are joined by single spaces, ``start`` is its first word. Of hot anchors or the others."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def cut(batches):
-        of_window, of_anchor, hot_anchor = shared.value
+        of_anchor, hot_anchor = shared.value
         for batch in batches:
             ids, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             data, offsets = column_bytes(batch.column(1))
@@ -77,9 +79,9 @@ def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: tuple[i
             for lo, hi in blocks(offsets):
                 part = offsets[lo : hi + 1]
                 own = data[part[0] : part[-1]]
-                row, first, h, place, anchor, (starts, ends, at) = _windows(own, part - part[0], window, run)
-                maybe = is_shared(of_window, h, bits[0]) & is_shared(of_anchor, anchor, bits[1])
-                maybe = np.flatnonzero(maybe & (is_shared(hot_anchor, anchor, bits[1]) == hot))
+                row, first, place, anchor, (starts, ends, at) = _windows(own, part - part[0], window, run)
+                maybe = is_shared(of_anchor, anchor, bits)
+                maybe = np.flatnonzero(maybe & (is_shared(hot_anchor, anchor, bits - 3) == hot))
                 if not len(maybe):
                     continue
                 row, first, place, anchor = row[maybe], first[maybe], place[maybe], anchor[maybe]
@@ -218,10 +220,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     Pieces go to the shard of their anchor as they are, and a shard tells each its spans. Hot anchors would
     bring too many rows together: their pieces are made distinct first, and the answers joined back."""
     n_bytes = text_bytes(docs)
-    bits = table_bits(n_bytes, per_byte=1.0), table_bits(n_bytes, per_byte=0.25)
-    (windows,) = shared_bits(docs, _row_hashes(window, run, False), bits[0])
-    anchors, hot = shared_bits(docs, _row_hashes(window, run, True), bits[1], (2, HOT_ROWS))
-    tables = (windows, anchors, hot)
+    bits = table_bits(n_bytes, per_byte=0.3, most=MOST_BITS)
+    tables = tuple(shared_bits(docs, _row_anchors(window, run), bits, (2, HOT_ROWS)))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(1 + n_bytes // SHARD_BYTES)).cast("int").alias("shard")
 
     def answer(part: pa.Table) -> pa.Table:
