@@ -9,6 +9,15 @@ from rollbook.functions.keys import non_empty
 from rollbook.schemas import GEOCODE_FIELDS, GEOCODE_RESPONSE
 
 
+# A Java double takes suffixes (85f, 1d) and hexadecimal forms that are no numbers here.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _number(text: Column) -> Column:
+    """The number that a text is, else null."""
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def geocode_document(response: Column) -> Column:
     """The answer as a struct; text of another shape is kept in its ``_malformed`` field."""
     return F.from_json(response, GEOCODE_RESPONSE, {"columnNameOfCorruptRecord": "_malformed"})
@@ -26,7 +35,7 @@ def geocode_fields(doc: Column) -> Column:
     block = F.coalesce(premises["ChiPremisesAddress"], premises["EngPremisesAddress"])
     area = F.coalesce(block["ChiDistrictBlock"], block["EngDistrictBlock"])
     score_text = top["ValidationInformation"]["Score"]
-    score = F.coalesce(score_text, F.lit("0")).try_cast("double")
+    score = _number(F.coalesce(score_text, F.lit("0")))
 
     def zh_else_en(parent: Column, zh: str, en: str) -> Column:
         return F.coalesce(non_empty(parent[zh]), parent[en])
@@ -38,8 +47,8 @@ def geocode_fields(doc: Column) -> Column:
         "district": zh_else_en(area, "ChiDistrict", "EngDistrict"),
         "street_name": zh_else_en(block["StreetBlock"], "ChiStreetName", "EngStreetName"),
         "building_name": zh_else_en(block["BuildingBlock"], "ChiBuildingName", "EngBuildingName"),
-        "latitude": premises["GeospatialInformation"]["Latitude"].try_cast("double"),
-        "longitude": premises["GeospatialInformation"]["Longitude"].try_cast("double"),
+        "latitude": _number(premises["GeospatialInformation"]["Latitude"]),
+        "longitude": _number(premises["GeospatialInformation"]["Longitude"]),
     }
     usable = top.isNotNull() & doc["_malformed"].isNull() & score.isNotNull()
     found = F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in GEOCODE_FIELDS])

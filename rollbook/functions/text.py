@@ -8,6 +8,7 @@ lengths) also takes shorter patterns without Unicode classes, at less than half
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 from functools import cache
@@ -130,11 +131,20 @@ def upper_floor(text: Column) -> Column:
     return out
 
 
+NESTED_CORRECTIONS = 100
+
+
 def apply_corrections(text: Column, rules: Iterable[tuple[str, str]] = fv.ZH_CORRECTIONS) -> Column:
-    """Literal replacements one after the other, longest wrong form first (ties keep their order)."""
-    for wrong, right in sorted(rules, key=lambda rule: len(rule[0]), reverse=True):
-        text = F.replace(text, F.lit(wrong), F.lit(right))
-    return text
+    """Literal replacements one after the other, longest wrong form first (ties keep their order).
+
+    A few are nested calls; many are one fold over a literal array, so their number has no bound."""
+    ordered = sorted(rules, key=lambda rule: len(rule[0]), reverse=True)
+    if len(ordered) <= NESTED_CORRECTIONS:
+        for wrong, right in ordered:
+            text = F.replace(text, F.lit(wrong), F.lit(right))
+        return text
+    pairs = F.from_json(F.lit(json.dumps(ordered, ensure_ascii=False)), "array<array<string>>")
+    return F.aggregate(pairs, text, lambda done, pair: F.replace(done, pair[0], pair[1]))
 
 
 def tidy_ends(text: Column) -> Column:

@@ -26,13 +26,18 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> Dat
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """One row per key: the least by ``order_by``, then by the whole row. Rows whose key is null or
-    empty are all kept and take no part in the shuffle."""
+    empty are all kept; they are dealt out by the whole row. The input is evaluated once."""
     rest = [c for c in df.columns if c != key]
     ranking = [*order_by, *[c for c in rest if c not in order_by]]
+    # Rows without a key get groups by their hash; each group counts its copies, so none is lost.
     has_key = F.coalesce(F.col(key), F.lit("")) != ""
-    best = df.where(has_key).groupBy(key).agg(F.min(F.struct(*ranking)).alias("_best"))
-    firsts = best.select(*[F.col(c) if c == key else F.col(f"_best.{c}") for c in df.columns])
-    return firsts.unionByName(df.where(~has_key))
+    row = F.struct(*ranking)
+    loose = F.when(~has_key, F.struct(F.col(key).alias("key"), row.alias("row")))
+    best = df.groupBy(F.when(has_key, F.col(key)).alias("_key"), loose.alias("_loose")).agg(
+        F.min(row).alias("_best"), F.count("*").alias("_n")
+    )
+    once = best.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("_key").isNull(), F.col("_n")).otherwise(1).cast("int"))))
+    return once.select(*[F.coalesce("_key", "_loose.key").alias(c) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
 def without_keys(df: DataFrame, done: DataFrame, key: str = "cr_no") -> DataFrame:
@@ -50,13 +55,17 @@ def snapshot_delta(
     old: DataFrame,
     keep: Sequence[str] = schemas.REQUIRED_COLUMNS,
     null_safe: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of ``new`` without an identical row in ``old``, on the kept columns both have.
 
-    By default null equals nothing, so rows holding a null are always in the delta.
+    By default null equals nothing, so rows holding a null are always in the delta. Columns named in
+    ``carry`` come along without being compared.
     """
-    left = new.select(*[c for c in keep if c in new.columns])
-    common = [c for c in left.columns if c in old.columns]
+    left = new.select(*[c for c in (*keep, *carry) if c in new.columns])
+    common = [c for c in keep if c in left.columns and c in old.columns]
+    if not common:
+        raise ValueError(f"no kept column ({', '.join(keep)}) is in both frames")
     right = old.select(*[F.col(c).alias(f"_old_{c}") for c in common])
 
     def same(column: str) -> Column:
@@ -85,16 +94,16 @@ def upsert(
     key: str,
     update_cols: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
-    form: str = "delta",
+    form: str = "outer",
 ) -> DataFrame:
     """Update known keys, insert unknown ones; the result has the columns of ``base``.
 
     ``update_cols`` (default: all that ``updates`` has) are overwritten for known keys, by nulls too.
     Of several updates of a key the latest by ``order_by`` counts. Rows without a key are left out.
 
-    ``form='delta'`` suits updates much smaller than the base: the updates may be broadcast to both
-    passes over the base, which then needs no shuffle. ``form='outer'`` suits updates of about the
-    size of the base: one full outer join, each side shuffled once.
+    ``form='outer'`` is one full outer join, each side evaluated and shuffled once. ``form='delta'`` is
+    for updates that are written already and much smaller than the base: they may be broadcast to both
+    passes over the base, which then needs no shuffle, but base and updates are read more than once.
     """
     offered = [c for c in updates.columns if c != key and c in base.columns]
     updatable = set(offered if update_cols is None else update_cols) & set(offered)

@@ -272,16 +272,26 @@ def prefix_frontier(
 
 
 def assemble_prefixes(
-    responses: DataFrame, counts: DataFrame, keep_parent_rows: bool = False
+    responses: DataFrame,
+    counts: DataFrame,
+    keep_parent_rows: bool = True,
+    characters: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of the prefixes that were not extended; an extended prefix is covered by its children.
+    """Rows of all queried prefixes; take ``first_by_key`` of the result.
 
-    ``keep_parent_rows`` keeps its rows too, for names going on with a character outside the
-    alphabet; take ``first_by_key`` of the result.
+    With ``keep_parent_rows=False`` a prefix that was extended goes if every extension of it has been
+    queried; names going on with a character outside the alphabet are lost with it.
     """
     if keep_parent_rows:
         return responses
-    return responses.join(counts.where("expanded").select("prefix"), "prefix", "left_anti")
+    alphabet = list(characters or expansion_characters())
+    last = F.substring("prefix", -1, 1)
+    parent = counts.where(F.length("prefix") > 1).select(
+        F.expr("substring(prefix, 1, length(prefix) - 1)").alias("prefix"), last.alias("char")
+    )
+    landed = parent.where(F.col("char").isin(alphabet)).groupBy("prefix").agg(F.count_distinct("char").alias("n_children"))
+    covered = counts.where("expanded").join(landed, "prefix").where(F.col("n_children") == len(set(alphabet)))
+    return responses.join(covered.select("prefix"), "prefix", "left_anti")
 
 
 def first_by_key(records: DataFrame, key: str = "cr_no", order_by: Sequence[str] = ("prefix_ord", "pos")) -> DataFrame:

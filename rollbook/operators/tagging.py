@@ -14,8 +14,10 @@ from rollbook.operators.columns import conform
 from rollbook.operators.keyed import update_by_key
 from rollbook.sources.rules import collect_rules
 
-# Beyond this many keywords rules stay data and are joined instead of compiled.
+# Beyond this many keywords rules stay data and are joined instead of compiled; the result is the same.
 MAX_COMPILED_KEYWORDS = 1_000
+# Section tables of up to this many rows are broadcast.
+MAX_BROADCAST_SECTIONS = 10_000
 
 _MATCH = "struct<section: string, keyword: string>"
 
@@ -75,34 +77,55 @@ def match_of(
     return F.coalesce(*candidates, F.lit(None).cast(_MATCH))
 
 
-def keyword_matches(names: DataFrame, rules: DataFrame, key: str = "cr_no") -> DataFrame:
-    """Best match per key by an equality join: ``key, section, keyword``.
+def _quoted(keyword: Column) -> Column:
+    return F.concat(F.lit("\\Q"), F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
+def name_matches(
+    names: DataFrame,
+    rules: DataFrame,
+    word_boundary: bool = False,
+    ignore_case: bool = False,
+    longest_match: bool = False,
+) -> DataFrame:
+    """Best match of each distinct ``name``, by an equality join: ``name, section, keyword``.
 
     For rule tables of any size. Each name is cut into its distinct substrings of the lengths that
-    keywords have, and these are joined to the keywords, so nothing but real matches is paired.
+    keywords have, and these are joined to the keywords, so nothing but real matches is paired; whether
+    one stands at word borders is looked at afterwards, on the pairs.
     """
-    usable = rules.where(F.col("keyword") != "")
-    lengths = [r[0] for r in usable.select(F.length("keyword")).distinct().collect()]
-    name = full_name(F.col("name_zh"), F.col("name_en"))
-    parts = [F.regexp_extract_all(name, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in lengths]
+    usable = rules.where(F.col("keyword") != "").withColumn("part", F.lower("keyword") if ignore_case else F.col("keyword"))
+    lengths = sorted(r[0] for r in usable.select(F.length("part")).distinct().collect())
+    text = F.lower("name") if ignore_case else F.col("name")
+    parts = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in lengths]
     pieces = F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")
-    first = F.min(F.struct("section_ord", "kw_ord", "keyword", "section"))
-    return (
-        names.select(key, F.explode(pieces).alias("keyword"))
-        .join(usable, "keyword")
-        .groupBy(key)
-        .agg(first.alias("m"))
-        .select(key, "m.section", "m.keyword")
-    )
+    pairs = names.select("name").distinct().select("name", F.explode(pieces).alias("part")).join(usable, "part")
+    if word_boundary:
+        flags = "(?iuU)" if ignore_case else "(?U)"
+        pairs = pairs.where(F.regexp("name", F.concat(F.lit(flags + "\\b(?:"), _quoted(F.col("keyword")), F.lit(")\\b"))))
+    rank = ["section_ord", "kw_ord", "keyword", "section"]
+    if longest_match:
+        rank = [(-F.length("keyword")).alias("shorter"), *rank]
+    return pairs.groupBy("name").agg(F.min(F.struct(*rank)).alias("m")).select("name", "m.section", "m.keyword")
+
+
+def _with_matches(names: DataFrame, rules: DataFrame, how: str, **options) -> DataFrame:
+    """``names`` with ``section, keyword`` of its matches, joined back on the full name."""
+    named = names.withColumn("_name", full_name(F.col("name_zh"), F.col("name_en")))
+    matches = name_matches(named.select(F.col("_name").alias("name")), rules, **options)
+    return named.join(matches.withColumnRenamed("name", "_name"), "_name", how).drop("_name")
+
+
+def keyword_matches(names: DataFrame, rules: DataFrame, key: str = "cr_no", **options) -> DataFrame:
+    """``key, section, keyword`` of every row that matches, by the join form."""
+    return _with_matches(names, rules, "inner", **options).select(key, "section", "keyword")
 
 
 def tag_explain(names: DataFrame, rules: DataFrame, key: str = "cr_no", **options) -> DataFrame:
-    """``key, section, keyword`` of every name that matches; few rules compile, many are joined."""
+    """``key, section, keyword`` of every row that matches; few rules compile, many are joined."""
     compiled = _ordered(rules, MAX_COMPILED_KEYWORDS)
     if compiled is None:
-        if any(options.values()):
-            raise ValueError(f"matching options need at most {MAX_COMPILED_KEYWORDS} keywords")
-        return keyword_matches(names, rules, key)
+        return keyword_matches(names, rules, key, **options)
     match = match_of(full_name(F.col("name_zh"), F.col("name_en")), compiled, **options)
     return names.select(key, F.inline(_if_any(match)))
 
@@ -113,24 +136,29 @@ def with_keyword_section(
     """Adds ``section``, null where no keyword matches."""
     compiled = _ordered(rules, MAX_COMPILED_KEYWORDS)
     if compiled is None:
-        matches = tag_explain(names, rules, key, longest_match=longest_match, **options)
-        return names.join(matches.select(key, "section"), key, "left")
+        matched = _with_matches(names, rules, "left", longest_match=longest_match, **options)
+        return matched.select(*names.columns, "section")
     name = full_name(F.col("name_zh"), F.col("name_en"))
     if longest_match:
         return names.withColumn("section", match_of(name, compiled, longest_match=True, **options)["section"])
     return names.withColumn("section", section_of(name, compiled, **options))
 
 
+def _small(sections: DataFrame) -> DataFrame:
+    """A section table for a join: broadcast if a bounded count shows that it is small."""
+    return F.broadcast(sections) if len(sections.take(MAX_BROADCAST_SECTIONS + 1)) <= MAX_BROADCAST_SECTIONS else sections
+
+
 def usable_labels(labels: DataFrame, sections: DataFrame, key: str = "cr_no") -> DataFrame:
     """Labels with a known code, upper-cased, one per key (the greatest code of several)."""
     upper = labels.select(key, F.upper(F.trim("code")).alias("code"))
-    known = upper.join(sections.select("code"), "code", "left_semi")
+    known = upper.join(_small(sections.select("code")), "code", "left_semi")
     return known.groupBy(key).agg(F.max("code").alias("label"))
 
 
 def unknown_labels(labels: DataFrame, sections: DataFrame, key: str = "cr_no") -> DataFrame:
     upper = labels.select(key, F.upper(F.trim("code")).alias("code"))
-    return upper.join(sections.select("code"), "code", "left_anti").select(key, "code")
+    return upper.join(_small(sections.select("code")), "code", "left_anti").select(key, "code")
 
 
 def tags_for(
@@ -164,10 +192,11 @@ def tags_for(
 def with_section_names(tagged: DataFrame, sections: DataFrame) -> DataFrame:
     """Section names where the zh name is missing.
 
-    The section table is small, which Spark sees for itself; a table of finer codes may be passed too.
+    The section table is broadcast where it is small, so rows are not dealt out by their few tags; a table
+    of finer codes may be passed too.
     """
-    names = sections.select(
-        F.col("code").alias("industry_tag"), F.col("name_zh").alias("_zh"), F.col("name_en").alias("_en")
+    names = _small(
+        sections.select(F.col("code").alias("industry_tag"), F.col("name_zh").alias("_zh"), F.col("name_en").alias("_en"))
     )
     have = [c for c in ("industry_name_zh", "industry_name_en") if c in tagged.columns]
     joined = tagged.join(names, "industry_tag", "left")

@@ -17,6 +17,7 @@ from rollbook import schemas
 from rollbook.functions import fixed_values as fv
 from rollbook.operators import columns, geocode, keyed, mining, reports, scan, tagging, verify
 from rollbook.sources import landed, rules as rule_source
+from rollbook.sources.paths import remove_folder
 from rollbook.sources.tables import KeyedTable
 
 # Left alone when rows come from the raw table, which does not hold them.
@@ -34,6 +35,7 @@ class Registry:
     master: KeyedTable
     queue: KeyedTable
     codes: KeyedTable
+    folds: KeyedTable
 
     @classmethod
     def at(cls, spark: SparkSession, base: str) -> Registry:
@@ -46,6 +48,7 @@ class Registry:
             master=KeyedTable(spark, f"{base}/master", schemas.MASTER_TAGGED),
             queue=KeyedTable(spark, f"{base}/scan_queue", schemas.SCAN_QUEUE),
             codes=KeyedTable(spark, f"{base}/industry_codes", schemas.INDUSTRY_CODES),
+            folds=KeyedTable(spark, f"{base}/folds", schemas.columns("log_base epoch:long"), keep_versions=2),
         )
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +57,10 @@ class Registry:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def clear_staging(self) -> None:
+        """Remove staged frames. For the end of a run: frames that flows returned may read them."""
+        remove_folder(self.spark, f"{self.base}/staging")
+
 
 def _geocode_into_master(
     registry: Registry,
@@ -110,12 +117,13 @@ def delta_refresh(
 ) -> DataFrame:
     """Take in the rows that are new or changed since yesterday."""
     changed = keyed.snapshot_delta(
-        columns.normalise_columns(today), columns.normalise_columns(yesterday), null_safe=True
+        columns.normalise_columns(today), columns.normalise_columns(yesterday), null_safe=True, carry=_FROM_SNAPSHOT_ONLY
     )
     rows = registry.stage(columns.stamp(columns.normalise_columns(changed), run_ts), "delta")
     raw_rows = columns.conform(rows, schemas.COMPANIES_RAW)
-    registry.raw.write(keyed.upsert(registry.raw.read(), raw_rows, "cr_no"))
-    _geocode_into_master(registry, rows, responses, run_ts, keep=_FROM_SNAPSHOT_ONLY, **cleaning)
+    registry.raw.write(keyed.upsert(registry.raw.read(), raw_rows, "cr_no", form="delta"))
+    absent = tuple(c for c in _FROM_SNAPSHOT_ONLY if c not in today.columns)
+    _geocode_into_master(registry, rows, responses, run_ts, keep=absent, **cleaning)
     return _summary(registry)
 
 

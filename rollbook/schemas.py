@@ -8,6 +8,7 @@ _TYPES = {
     "string": T.StringType(),
     "double": T.DoubleType(),
     "int": T.IntegerType(),
+    "long": T.LongType(),
     "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,9 +28,13 @@ def local_session(cores: str = "8", app: str = "rollbook", memory: str = "16g")
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is unset (local tests) is a temporary folder of this machine taken.
+    Only in a local session may that setting be unset: a temporary folder of this machine is taken then.
+    On a cluster executors would write to disks of their own, so it is an error there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/rollbook/{name}-{uuid.uuid4().hex[:12]}"
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
     return tempfile.mkdtemp(prefix=f"rollbook-{name}-")

@@ -22,3 +22,8 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(location):
         return []
     return [s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, location = _client(spark, path)
+    fs.delete(location, True)

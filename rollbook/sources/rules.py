@@ -1,7 +1,7 @@
 """Rule sources: address corrections, section keywords, the built-in section table.
 
-Rules are small frames. Those that are compiled into column expressions pass through the driver, so
-their number is checked first; see ``collect_rules``.
+Rules are small frames, one JSON document each. Those that are compiled into column expressions pass
+through the driver; where a form for many rules exists, their number is checked first (``collect_rules``).
 """
 
 from __future__ import annotations
@@ -15,13 +15,11 @@ from pyspark.sql import types as T
 from rollbook import schemas
 from rollbook.functions import fixed_values as fv
 
-MAX_COMPILED_RULES = 5_000
-
 _STRING_MAP = T.MapType(T.StringType(), T.StringType())
 _STRING_LISTS = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
 
-def collect_rules(rules: DataFrame, limit: int = MAX_COMPILED_RULES) -> list | None:
+def collect_rules(rules: DataFrame, limit: int) -> list | None:
     """The rules as rows, or None where there are more than ``limit`` of them."""
     rows = rules.take(limit + 1)
     return rows if len(rows) <= limit else None
@@ -43,10 +41,7 @@ def correction_rules(aliases: DataFrame | None = None) -> list[tuple[str, str]]:
     """Built-in corrections followed by the alias rules, longest wrong form first."""
     rules = list(fv.ZH_CORRECTIONS)
     if aliases is not None:
-        rows = collect_rules(aliases.orderBy("ord"))
-        if rows is None:
-            raise ValueError(f"more than {MAX_COMPILED_RULES} alias rules")
-        rules += [(row["wrong"], row["right"]) for row in rows]
+        rules += [(row["wrong"], row["right"]) for row in aliases.orderBy("ord").collect()]
     return sorted(rules, key=lambda rule: len(rule[0]), reverse=True)
 
 

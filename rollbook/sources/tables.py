@@ -1,7 +1,8 @@
 """Keyed tables kept as numbered Parquet folders.
 
-A write makes the next folder and never touches one that may be being read; a folder counts once its
-success marker is there, so a lost job leaves the previous version in force.
+A write makes the next folder and never touches one that is there: not one that may be being read, nor
+one that another writer has begun, which is an error. A folder counts once its success marker is there,
+so a lost job leaves the previous version in force; the next write goes past its folder.
 """
 
 from __future__ import annotations
@@ -10,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rollbook.operators.columns import conform
-from rollbook.sources.paths import folder_names, is_complete
+from rollbook.sources.paths import folder_names, is_complete, remove_folder
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, base: str, schema: T.StructType, keep_versions: int | None = None):
+        """``keep_versions`` finished versions stay (at least 2, for readers at work); None keeps all."""
+        if keep_versions is not None and keep_versions < 2:
+            raise ValueError("keep_versions must be 2 or more")
+        self.keep_versions = keep_versions
         self.spark = spark
         self.base = base.rstrip("/")
         self.schema = schema
@@ -22,11 +27,12 @@ class KeyedTable:
     def _path(self, version: int) -> str:
         return f"{self.base}/v={version}"
 
+    def _numbers(self) -> list[int]:
+        return sorted(int(n[2:]) for n in folder_names(self.spark, self.base) if n.startswith("v=") and n[2:].isdigit())
+
     def latest(self) -> int | None:
         """Highest finished version."""
-        numbers = [int(n[2:]) for n in folder_names(self.spark, self.base) if n.startswith("v=")]
-        done = (n for n in sorted(numbers, reverse=True) if is_complete(self.spark, self._path(n)))
-        return next(done, None)
+        return next((n for n in reversed(self._numbers()) if is_complete(self.spark, self._path(n))), None)
 
     def read(self) -> DataFrame:
         """The latest version in the declared schema: columns it lacks are null; empty at first."""
@@ -37,7 +43,11 @@ class KeyedTable:
 
     def write(self, df: DataFrame) -> DataFrame:
         """Store the frame as the next version and return it read back (lineage ends here)."""
-        version = self.latest()
-        target = self._path(0 if version is None else version + 1)
-        conform(df, self.schema).write.mode("overwrite").parquet(target)
+        numbers = self._numbers()
+        target = numbers[-1] + 1 if numbers else 0
+        conform(df, self.schema).write.mode("errorifexists").parquet(self._path(target))
+        if self.keep_versions is not None:
+            done = [n for n in numbers if is_complete(self.spark, self._path(n))]
+            for old in done[: max(0, len(done) + 1 - self.keep_versions)]:
+                remove_folder(self.spark, self._path(old))
         return self.read()

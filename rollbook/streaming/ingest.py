@@ -7,6 +7,7 @@ the keyed tables in one upsert.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,8 @@ def landed_log(
 ) -> DataFrame:
     """Finished micro-batches of a kind numbered higher than ``after``, their number as ``epoch``."""
     base = f"{log_base.rstrip('/')}/{kind}"
-    names = [n for n in folder_names(spark, base) if int(n.removeprefix("epoch=")) > after]
+    named = re.compile(r"epoch=(\d+)")
+    names = [n for n in folder_names(spark, base) if (m := named.fullmatch(n)) and int(m[1]) > after]
     done = [f"{base}/{n}" for n in names if is_complete(spark, f"{base}/{n}")]
     with_epoch = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
     if not done:
@@ -85,21 +87,33 @@ def _not_older(updates: DataFrame, base: DataFrame, key: str, time: str) -> Data
     return updates.join(late.select(key, time), [key, time], "left_anti")
 
 
-def fold(registry: Registry, log_base: str, after: int = -1) -> tuple[DataFrame, DataFrame]:
-    """Merge landed micro-batches into queue and raw table.
+def fold(registry: Registry, log_base: str, after: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merge landed micro-batches into queue, raw table and master; returns queue and raw table.
 
     Of several outcomes of a key, those in the tables included, the one queried last counts, in
-    whatever order they landed; so folding the same micro-batches again changes nothing. ``after``,
-    the last number folded before, leaves the ones already merged unread.
+    whatever order they landed; so folding the same micro-batches again changes nothing. The registry
+    remembers the last number folded of each log and leaves those before it unread; ``after`` overrides
+    that.
     """
     spark = registry.spark
-    queue, table = registry.queue.read(), registry.raw.read()
+    queue, table, master = registry.queue.read(), registry.raw.read(), registry.master.read()
+    folded = registry.folds.read()
+    if after is None:
+        last = folded.where(F.col("log_base") == log_base).agg(F.max("epoch")).first()[0]
+        after = -1 if last is None else last
     status = landed_log(spark, log_base, "status", schemas.SCAN_QUEUE, after)
     raw = landed_log(spark, log_base, "raw", schemas.COMPANIES_RAW, after)
+    built = landed_log(spark, log_base, "master", schemas.MASTER, after)
+    until = status.select("epoch").union(raw.select("epoch")).union(built.select("epoch")).agg(F.max("epoch")).first()[0]
     status = _not_older(status, queue, "brn", "queried_at")
     raw = _not_older(raw, table, "cr_no", "fetched_at")
+    built = _not_older(built, master, "cr_no", "last_updated")
     queue = registry.queue.write(scan.apply_outcomes(queue, status, order_by=("queried_at", "epoch")))
     table = registry.raw.write(keyed.upsert(table, raw, "cr_no", order_by=("fetched_at", "epoch")))
+    registry.master.write(keyed.upsert(master, built, "cr_no", order_by=("last_updated", "epoch")))
+    if until is not None:
+        done = spark.createDataFrame([(log_base, max(until, after))], folded.schema)
+        registry.folds.write(keyed.upsert(folded, done, "log_base"))
     return queue, table
 
 
@@ -115,8 +129,10 @@ def geocode_stream(
     """Per micro-batch of raw rows: join with the cache as it is then, and land master rows."""
 
     def land(batch: DataFrame, epoch: int) -> None:
-        cleaned = geocode.with_clean_address(batch, **cleaning)
-        attached = geocode.attach_geocode(cleaned, registry.cache.read())
+        place = _epoch_path(log_base, "cleaned", epoch)
+        geocode.with_clean_address(batch, **cleaning).write.mode("overwrite").parquet(place)
+        cleaned = registry.spark.read.parquet(place)
+        attached = geocode.attach_geocode(cleaned, registry.cache.read(), geocode.distinct_addresses(cleaned))
         built = geocode.build_master(attached, F.col("fetched_at"))
         built.write.mode("overwrite").parquet(_epoch_path(log_base, "master", epoch))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions import text
 from rollbook.operators import columns, geocode, reports
+from rollbook.session import scratch_dir
 from suite.inputs import frame
 from suite.registry import query
 
@@ -35,30 +36,43 @@ def clean_sql(column: str, care_of: str = r"\bc/o\s+[^,]+") -> str:
     return rf"trim(trim(trim(regexp_replace({out}, '\s+', ' ', 'g')), ',;./-'))"
 
 
-CLEANED = "cleaned AS (SELECT *, nullif(sha1(address_clean), sha1('')) AS address_hash FROM (SELECT *, {c} AS address_clean FROM {{day1}}) d)".format(
+CLEANED = "cleaned AS (SELECT *, nullif(sha1(address_clean), sha1('')) AS address_hash FROM (SELECT *, {c} AS address_clean FROM {{companies}}) d)".format(
     c=clean_sql("address_raw")
 )
 
 
 def cleaned(spark, sf):
-    return geocode.with_clean_address(frame(spark, sf, "day1"))
+    return geocode.with_clean_address(frame(spark, sf, "companies"))
 
 
-@query(f"SELECT cr_no, address_raw, {clean_sql('address_raw')} AS address_clean FROM {{day1}}")
+@query(f"SELECT cr_no, address_raw, {clean_sql('address_raw')} AS address_clean FROM {{companies}}")
 def clean_address(spark, sf):
     return cleaned(spark, sf).select("cr_no", "address_raw", "address_clean")
 
 
-@query(f"SELECT cr_no, address_raw, {clean_sql('address_raw', r'c/?o\s+[^,]+')} AS address_clean FROM {{day1}}")
+@query(f"SELECT cr_no, address_raw, {clean_sql('address_raw', r'c/?o\s+[^,]+')} AS address_clean FROM {{companies}}")
 def clean_address_compat(spark, sf):
-    df = geocode.with_clean_address(frame(spark, sf, "day1"), care_of="loose")
+    df = geocode.with_clean_address(frame(spark, sf, "companies"), care_of="loose")
     return df.select("cr_no", "address_raw", "address_clean")
 
 
-@query("SELECT doc_id, sha1(nfc_normalize(text)) AS text_hash FROM {documents}")
+# Wide letters, digits, a circled digit, a ligature and half-width kana, and what NFKC makes of them.
+_COMPAT, _PLAIN = "ＡＢ１２①ﬁｶﾞ", "AB121fiガ"
+
+
+@query(f"SELECT doc_id, sha1('{_PLAIN} ' || nfc_normalize(text)) AS text_hash FROM {{documents}}")
 def nfkc_clean(spark, sf):
-    df = frame(spark, sf, "documents")
-    return df.select("doc_id", F.sha1(text.nfkc(F.col("text")).cast("binary")).alias("text_hash"))
+    marked = F.concat(F.lit(f"{_COMPAT} "), F.col("text"))
+    return frame(spark, sf, "documents").select("doc_id", F.sha1(text.nfkc(marked).cast("binary")).alias("text_hash"))
+
+
+@query(f"SELECT cr_no, {clean_sql('address_raw')} AS address_clean FROM {{companies}}")
+def clean_wide_address(spark, sf):
+    """Addresses written with full-width digits and letters clean to the same text."""
+    plain = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ,/"
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    rows = frame(spark, sf, "companies").withColumn("address_raw", F.translate("address_raw", plain, wide))
+    return geocode.with_clean_address(rows).select("cr_no", "address_clean")
 
 
 @query(f"WITH {CLEANED} SELECT cr_no, address_hash FROM cleaned")
@@ -83,9 +97,17 @@ cache AS (SELECT address_hash, address_clean, 'G' || substr(address_hash, 1, 6)
           FROM addresses WHERE substr(address_hash, 1, 1) <= '9')"""
 
 
-def addresses_and_cache(spark, sf):
+def cleaned_once(spark, sf):
+    """Cleaned rows, written once and read by all that follows."""
+    path = scratch_dir(spark, "cleaned") + "/rows"
+    rows = cleaned(spark, sf)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def addresses_and_cache(spark, sf, rows=None):
     """Distinct addresses, and cache rows built from landed answers for some of them."""
-    addresses = geocode.distinct_addresses(cleaned(spark, sf))
+    addresses = geocode.distinct_addresses(cleaned(spark, sf) if rows is None else rows)
     h = F.col("address_hash")
     answer = F.concat(
         F.lit('{"SuggestedAddress":[{"Address":{"PremisesAddress":{"GeoAddress":"G'), F.substring(h, 1, 6),
@@ -128,16 +150,18 @@ FROM cleaned r LEFT JOIN cache c USING (address_hash)"""
 
 @query(f"WITH {_CACHE} {_ATTACHED}")
 def attach_geocode(spark, sf):
-    addresses, cache = addresses_and_cache(spark, sf)
-    attached = geocode.attach_geocode(cleaned(spark, sf), cache, addresses)
+    rows = cleaned_once(spark, sf)
+    addresses, cache = addresses_and_cache(spark, sf, rows)
+    attached = geocode.attach_geocode(rows, cache, addresses)
     return attached.select("cr_no", "address_clean", "geo_address", "region", "district", "score", "manual_review")
 
 
 @query(f"WITH {_CACHE} {_ATTACHED}")
 def attach_geocode_heavy(spark, sf):
     """The same with the frequent addresses dealt over salts (low bound, so that it happens here)."""
-    _, cache = addresses_and_cache(spark, sf)
-    attached = geocode.attach_geocode(cleaned(spark, sf), cache, min_rows=50, salts=8)
+    rows = cleaned_once(spark, sf)
+    _, cache = addresses_and_cache(spark, sf, rows)
+    attached = geocode.attach_geocode(rows, cache, min_rows=50)
     return attached.select("cr_no", "address_clean", "geo_address", "region", "district", "score", "manual_review")
 
 
@@ -152,8 +176,9 @@ SELECT cr_no, name_zh, name_en, address_raw, address_clean, geo_address, region,
 FROM (SELECT * FROM cleaned) r LEFT JOIN (SELECT address_hash, geo_address, region, district, score FROM cache) c USING (address_hash)"""
 )
 def build_master(spark, sf):
-    addresses, cache = addresses_and_cache(spark, sf)
-    rows = columns.normalise_columns(cleaned(spark, sf).withColumn("company_type", F.lit("LIMITED")))
+    once = cleaned_once(spark, sf)
+    addresses, cache = addresses_and_cache(spark, sf, once)
+    rows = columns.normalise_columns(once.withColumn("company_type", F.lit("LIMITED")))
     built = geocode.build_master(geocode.attach_geocode(rows, cache, addresses), RUN_TS)
     return built.withColumn("last_updated", F.col("last_updated").cast("string"))
 
@@ -166,8 +191,9 @@ FROM attached GROUP BY region, district"""
 )
 def district_review(spark, sf):
     """Flagship: companies and review share by district, from raw rows."""
-    addresses, cache = addresses_and_cache(spark, sf)
-    return reports.district_review(geocode.attach_geocode(cleaned(spark, sf), cache, addresses))
+    rows = cleaned_once(spark, sf)
+    addresses, cache = addresses_and_cache(spark, sf, rows)
+    return reports.district_review(geocode.attach_geocode(rows, cache, addresses))
 
 
 @query(

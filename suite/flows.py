@@ -53,10 +53,10 @@ def _registry(spark, name):
     return flows.Registry.at(spark, scratch_dir(spark, name))
 
 
-@query(_resolved("{day1}"))
+@query(_resolved("{companies}"))
 def full_refresh(spark, sf):
-    reg, day1 = _registry(spark, "full"), frame(spark, sf, "day1")
-    flows.full_refresh(reg, day1, _answers(day1), RUN_TS)
+    reg, rows = _registry(spark, "full"), frame(spark, sf, "companies")
+    flows.full_refresh(reg, rows, _answers(rows), RUN_TS)
     return reg.master.read().select(*_SHOWN)
 
 
@@ -66,23 +66,25 @@ _SAME = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in schemas.REQUIR
 @query(
     f"""WITH changed AS (SELECT * FROM {{day2}} n WHERE NOT EXISTS (SELECT 1 FROM {{day1}} o WHERE {_SAME})),
 merged AS (SELECT * FROM changed UNION ALL SELECT * FROM {{day1}} d WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.cr_no = d.cr_no))
-{_resolved('merged')}"""
+SELECT m.*, CASE WHEN c.cr_no IS NOT NULL THEN 'T' || right(c.cr_no, 1) END AS company_type
+FROM ({_resolved('merged')}) m LEFT JOIN (SELECT DISTINCT cr_no FROM changed) c ON c.cr_no = m.cr_no"""
 )
 def delta_refresh(spark, sf):
     reg, day1, day2 = _registry(spark, "delta"), frame(spark, sf, "day1"), frame(spark, sf, "day2")
     answers = _answers(day1, day2)
     flows.full_refresh(reg, day1, answers, RUN_TS)
+    day2 = day2.withColumn("company_type", F.concat(F.lit("T"), F.substring("cr_no", -1, 1)))
     flows.delta_refresh(reg, day2, day1, answers, RUN_TS + dt.timedelta(days=1))
-    return reg.master.read().select(*_SHOWN)
+    return reg.master.read().select(*_SHOWN, "company_type")
 
 
 @query(
     f"SELECT count(*) AS master_total, count(*) FILTER (WHERE manual_review) AS manual_review, "
-    f"count(DISTINCT address_clean) FILTER (WHERE geo_address IS NOT NULL) AS cache_size FROM ({_resolved('{day1}')}) m"
+    f"count(DISTINCT address_clean) FILTER (WHERE geo_address IS NOT NULL) AS cache_size FROM ({_resolved('{companies}')}) m"
 )
 def geocode_pending(spark, sf):
     """Raw rows without a geo address are geocoded later, in a second run nothing is left to change."""
-    reg, day1 = _registry(spark, "pending"), frame(spark, sf, "day1")
+    reg, day1 = _registry(spark, "pending"), frame(spark, sf, "companies")
     reg.raw.write(columns.stamp(day1, RUN_TS))
     answers = _answers(day1)
     flows.geocode_pending(reg, answers, RUN_TS)
@@ -158,9 +160,9 @@ def _landed(df, spark, name, files=4):
 
 def _stream_ingest(spark, sf):
     rows = frame(spark, sf, "outcomes").select(
-        F.expr("lpad(CAST(seq % 4000 AS STRING), 8, '0')").alias("brn"), "status",
+        F.expr("lpad(CAST(seq div 25 AS STRING), 8, '0')").alias("brn"), "status",
         F.col("queried_at").cast("timestamp").alias("queried_at"), "batch_id",
-        F.expr("lpad(CAST(seq % 4000 AS STRING), 8, '0')").alias("cr_no"), F.col("brn").alias("name_en"),
+        F.expr("lpad(CAST(seq div 25 AS STRING), 8, '0')").alias("cr_no"), F.col("brn").alias("name_en"),
     )
     base = scratch_dir(spark, "ingest")
     reg = flows.Registry.at(spark, base)
@@ -169,7 +171,7 @@ def _stream_ingest(spark, sf):
     return ingest.fold(reg, f"{base}/log")
 
 
-_KEYED_OUTCOMES = "o AS (SELECT printf('%08d', seq % 4000) AS k, brn, status, queried_at, batch_id FROM {outcomes})"
+_KEYED_OUTCOMES = "o AS (SELECT printf('%08d', seq // 25) AS k, brn, status, queried_at, batch_id FROM {outcomes})"
 
 
 @query(
@@ -217,13 +219,27 @@ def stream_records(spark, sf):
     return _to_parquet(records.select("body_id", "cr_no", "name_en"), spark, "records")
 
 
-@query(_resolved("{day1}"))
-def stream_geocode(spark, sf):
-    day1 = columns.stamp(frame(spark, sf, "day1"), RUN_TS)
+def _stream_geocode(spark, sf):
+    rows = columns.stamp(frame(spark, sf, "companies"), RUN_TS)
     base = scratch_dir(spark, "geostream")
     reg = flows.Registry.at(spark, base)
-    addresses = geocode.distinct_addresses(geocode.with_clean_address(day1))
-    reg.cache.write(geocode.cache_rows(addresses.join(_answers(day1), "address_hash"), RUN_TS))
-    raw = _landed(day1, spark, "rawstream")
+    addresses = geocode.distinct_addresses(geocode.with_clean_address(rows))
+    reg.cache.write(geocode.cache_rows(addresses.join(_answers(rows), "address_hash"), RUN_TS))
+    raw = _landed(rows, spark, "rawstream")
     ingest.geocode_stream(raw, reg, f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    return ingest.landed_log(spark, f"{base}/log", "master", schemas.MASTER).select(*_SHOWN)
+    return reg, f"{base}/log"
+
+
+@query(_resolved("{companies}"))
+def stream_geocode(spark, sf):
+    _, log = _stream_geocode(spark, sf)
+    return ingest.landed_log(spark, log, "master", schemas.MASTER).select(*_SHOWN)
+
+
+@query(_resolved("{companies}"))
+def stream_master(spark, sf):
+    """Landed master rows folded into the master; folding again, from the remembered number, adds nothing."""
+    reg, log = _stream_geocode(spark, sf)
+    ingest.fold(reg, log)
+    ingest.fold(reg, log)
+    return reg.master.read().select(*_SHOWN)

@@ -29,14 +29,15 @@ _ADDRESS = """
               || ' TOWER,, ' || CAST(c_custkey % 97 AS STRING) || ' ' || r_name || ' ROAD, HONG KONG' END"""
 
 INPUTS = {
-    # Registry records of the first day.
-    "day1": f"""
+    # Registry records of all companies.
+    "companies": f"""
         SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS cr_no,
                CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE 'Z' || c_mktsegment END AS name_zh,
                c_name || ' ' || c_mktsegment || ' LIMITED' AS name_en,
                {_ADDRESS} AS address_raw
-        FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey
-        WHERE c_custkey % 23 <> 0""",
+        FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey""",
+    # Those of the first day: some come on the second day only.
+    "day1": "SELECT * FROM {companies} WHERE CAST(cr_no AS BIGINT) % 23 <> 0",
     # The second day: some changed, some gone, some new, some with a name nulled.
     "day2": f"""
         SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS cr_no,
@@ -60,7 +61,7 @@ INPUTS = {
                CASE WHEN c_custkey % 8 = 0 THEN 'set' ELSE NULL END AS industry_name_en,
                CASE WHEN c_custkey % 4 = 0 THEN CAST(0.75 AS DOUBLE) WHEN c_custkey % 4 = 1 THEN CAST(1 AS DOUBLE) ELSE NULL END AS industry_conf,
                CASE WHEN c_custkey % 4 = 0 THEN TRUE WHEN c_custkey % 4 = 1 THEN FALSE ELSE NULL END AS industry_review
-        FROM {day1} d JOIN {customer} ON lpad(CAST(c_custkey AS STRING), 8, '0') = d.cr_no
+        FROM {companies} d JOIN {customer} ON lpad(CAST(c_custkey AS STRING), 8, '0') = d.cr_no
         JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     # The scan queue.
     "queue": """
@@ -90,6 +91,7 @@ INPUTS = {
                       || CASE WHEN c_custkey % 6 = 0 THEN '' ELSE ',"BuildingBlock":{"EngBuildingName":"' || c_name || '"}' END
                       || '},"GeospatialInformation":{"Latitude":"' || CAST(c_custkey % 90 AS STRING) || '.5","Longitude":' || CAST(c_custkey % 180 AS STRING) || '}}}'
                       || ',"ValidationInformation":{' || CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN '"Score":"high"'
+                           WHEN c_custkey % 23 = 0 THEN '"Score":"85f"' WHEN c_custkey % 29 = 0 THEN '"Score":"1d"'
                            ELSE '"Score":' || CAST(c_custkey % 100 AS STRING) END || '}},{"Address":{}}]}' END AS als_json
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     # Registry response bodies: lists of records, lone objects, empty lists, cut-off text.
@@ -133,11 +135,11 @@ INPUTS = {
         FROM (
             SELECT prefix, cr_no, name_en, row_number() OVER (PARTITION BY prefix ORDER BY cr_no, name_en) AS pos
             FROM (
-                SELECT substr(upper(p_name), 1, 1) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(p_partkey % 1500 AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                SELECT substr(upper(p_name), 1, 1) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
                 UNION ALL
-                SELECT substr(upper(p_name), 1, 2) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(p_partkey % 1500 AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                SELECT substr(upper(p_name), 1, 2) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
                 UNION ALL
-                SELECT substr(upper(p_name), 1, 3) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(p_partkey % 1500 AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                SELECT substr(upper(p_name), 1, 3) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
             ) every_prefix
         ) ranked
         WHERE pos <= 100""",

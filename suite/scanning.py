@@ -48,10 +48,10 @@ def enqueue(spark, sf):
 
 @query(
     "SELECT brn, CASE WHEN regexp_full_match(brn, '\\d+') THEN 'numeric' ELSE 'alpha' END AS kind FROM "
-    "(SELECT DISTINCT upper(trim(CASE WHEN p_partkey % 3 = 0 THEN ' c' || CAST(p_partkey % 700 AS VARCHAR) || ' ' ELSE CAST(p_partkey % 700 AS VARCHAR) END)) AS brn FROM {part}) k"
+    "(SELECT DISTINCT upper(trim(CASE WHEN p_partkey % 3 = 0 THEN ' c' || CAST(p_partkey // 3 AS VARCHAR) || ' ' ELSE CAST(p_partkey // 3 AS VARCHAR) END)) AS brn FROM {part}) k"
 )
 def key_kind(spark, sf):
-    number = (F.col("p_partkey") % 700).cast("string")
+    number = F.expr("p_partkey div 3").cast("string")
     key = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" c"), number, F.lit(" "))).otherwise(number)
     return scan.listed_candidates(frame(spark, sf, "part").select(key.alias("brn")))
 
@@ -173,11 +173,17 @@ def prefix_frontier(spark, sf):
     return scan.prefix_frontier(_prefix_counts(spark, sf), queried, letters_and_digits)
 
 
-_ASSEMBLED = "SELECT p.* FROM {prefix_answers} p WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.prefix = p.prefix AND c.expanded)"
+# An extended prefix goes if all its extensions were queried.
+_ASSEMBLED = (
+    "SELECT p.* FROM {prefix_answers} p WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.prefix = p.prefix AND c.expanded "
+    "AND (SELECT count(*) FROM counts k WHERE length(k.prefix) = length(c.prefix) + 1 AND starts_with(k.prefix, c.prefix) "
+    "AND regexp_matches(right(k.prefix, 1), '[A-G]')) = 7)"
+)
 
 
 def _assembled(spark, sf):
-    return scan.assemble_prefixes(frame(spark, sf, "prefix_answers"), _prefix_counts(spark, sf))
+    counts = _prefix_counts(spark, sf)
+    return scan.assemble_prefixes(frame(spark, sf, "prefix_answers"), counts, keep_parent_rows=False, characters="ABCDEFG")
 
 
 @query(f"WITH {_COUNTS} {_ASSEMBLED}")

@@ -212,10 +212,10 @@ def touch_queue(spark, sf):
 @query(
     'SELECT cr_no, name_en, coalesce(address_raw, CASE WHEN name_zh IS NULL THEN \'second\' END) AS address_raw, '
     'name_zh AS "Note-Text", CAST(NULL AS VARCHAR) AS name_zh, CAST(NULL AS VARCHAR) AS company_type, '
-    "CAST(NULL AS VARCHAR) AS date_of_incorporation, CAST(NULL AS VARCHAR) AS re_domiciliation_date FROM {day1}"
+    "CAST(NULL AS VARCHAR) AS date_of_incorporation, CAST(NULL AS VARCHAR) AS re_domiciliation_date FROM {companies}"
 )
 def normalise_columns(spark, sf):
-    odd = frame(spark, sf, "day1").select(
+    odd = frame(spark, sf, "companies").select(
         F.col("cr_no").alias(" CompanyNo "), F.col("name_en").alias("nameEnglish"),
         F.when(F.col("name_zh").isNull(), "second").alias("registeredOfficeAddress"),
         F.col("address_raw").alias("Address"), F.col("name_zh").alias("Note-Text"),
@@ -224,20 +224,20 @@ def normalise_columns(spark, sf):
 
 
 @query("SELECT cr_no, name_zh, re_domiciliation_date, cr_no AS other_field_x FROM "
-       "(SELECT *, address_raw AS re_domiciliation_date FROM {day1}) d")
+       "(SELECT *, address_raw AS re_domiciliation_date FROM {companies}) d")
 def rename_fields(spark, sf):
     return columns.rename_fields(
-        frame(spark, sf, "day1").select(
+        frame(spark, sf, "companies").select(
             F.col("cr_no").alias("Brn"), F.col("name_zh").alias("Chinese_Company_Name"),
             F.col("address_raw").alias("Re-domiciliation_Date"), F.col("cr_no").alias("Other Field-X"),
         )
     )
 
 
-@query('SELECT cr_no, name_en, cr_no AS "re-domiciliation_date" FROM {day1}')
+@query('SELECT cr_no, name_en, cr_no AS "re-domiciliation_date" FROM {companies}')
 def rename_verify_fields(spark, sf):
     return columns.rename_verify_fields(
-        frame(spark, sf, "day1").select(
+        frame(spark, sf, "companies").select(
             F.col("cr_no").alias("Brn"), F.col("name_en").alias("English_Company_Name"),
             F.col("cr_no").alias("Re-domiciliation_Date"),
         )
@@ -246,21 +246,21 @@ def rename_verify_fields(spark, sf):
 
 @query(
     "SELECT cr_no AS code, try_cast(substr(cr_no, 5) AS INTEGER) AS level, name_zh, name_en, "
-    "CAST(NULL AS VARCHAR) AS parent_code FROM {day1} WHERE CAST(cr_no AS BIGINT) % 2 = 0 "
-    "UNION ALL SELECT cr_no, NULL, name_zh, name_en, NULL FROM {day1} WHERE CAST(cr_no AS BIGINT) % 2 = 1"
+    "CAST(NULL AS VARCHAR) AS parent_code FROM {companies} WHERE CAST(cr_no AS BIGINT) % 2 = 0 "
+    "UNION ALL SELECT cr_no, NULL, name_zh, name_en, NULL FROM {companies} WHERE CAST(cr_no AS BIGINT) % 2 = 1"
 )
 def conform_schema(spark, sf):
     odd = F.col("cr_no").cast("bigint") % 2 == 1
-    df = frame(spark, sf, "day1").select(
+    df = frame(spark, sf, "companies").select(
         "name_en", "name_zh", F.col("cr_no").alias("code"), F.lit("x").alias("extra"),
         F.when(odd, "bad").otherwise(F.substring("cr_no", 5, 4)).alias("level"),
     )
     return columns.conform(df, schemas.INDUSTRY_CODES)
 
 
-@query("SELECT cr_no, '2024-03-01 00:00:00' AS fetched_at FROM {day1}")
+@query("SELECT cr_no, '2024-03-01 00:00:00' AS fetched_at FROM {companies}")
 def stamp_run(spark, sf):
-    stamped = columns.stamp(frame(spark, sf, "day1").select("cr_no"), NOW)
+    stamped = columns.stamp(frame(spark, sf, "companies").select("cr_no"), NOW)
     return stamped.select("cr_no", F.col("fetched_at").cast("string").alias("fetched_at"))
 
 
@@ -309,20 +309,20 @@ def rejected_codes(spark, sf):
     return landed.rejected_codes(frame(spark, sf, "code_bodies"))
 
 
-@query("SELECT cr_no, name_zh, name_en, address_raw FROM {day1}")
+@query("SELECT cr_no, name_zh, name_en, address_raw FROM {companies}")
 def snapshot_resume(spark, sf):
     """Write a dated snapshot, write another of the same day with resume, read back what is there."""
     base = scratch_dir(spark, "snapshots")
-    snapshots.write_snapshot(frame(spark, sf, "day1"), base, "20240301")
+    snapshots.write_snapshot(frame(spark, sf, "companies"), base, "20240301")
     path = snapshots.write_snapshot(frame(spark, sf, "day2"), base, "20240301", resume=True)
     return snapshots.keep_known(snapshots.read_snapshot(spark, path))
 
 
-@query("SELECT cr_no, name_zh, name_en, address_raw, CAST(NULL AS VARCHAR) AS batch FROM {day1} "
+@query("SELECT cr_no, name_zh, name_en, address_raw, CAST(NULL AS VARCHAR) AS batch FROM {companies} "
        "WHERE CAST(cr_no AS BIGINT) % 2 = 0")
 def table_versions(spark, sf):
     """Write two versions of a table; read the latest under a schema with one more column."""
-    day1 = frame(spark, sf, "day1")
+    day1 = frame(spark, sf, "companies")
     base = scratch_dir(spark, "table")
     table = KeyedTable(spark, base, day1.schema)
     table.write(day1)
@@ -330,7 +330,7 @@ def table_versions(spark, sf):
     return KeyedTable(spark, base, schemas.columns("cr_no name_zh name_en address_raw batch")).read()
 
 
-@query("SELECT cr_no AS raw_address, CASE WHEN name_en = '' THEN NULL ELSE name_en END AS expected_district FROM {day1}")
+@query("SELECT cr_no AS raw_address, CASE WHEN name_en = '' THEN NULL ELSE name_en END AS expected_district FROM {companies}")
 def csv_round_trip(spark, sf):
-    df = frame(spark, sf, "day1").select(F.col("cr_no").alias("raw_address"), F.col("name_en").alias("expected_district"))
+    df = frame(spark, sf, "companies").select(F.col("cr_no").alias("raw_address"), F.col("name_en").alias("expected_district"))
     return snapshots.read_address_csv(spark, snapshots.export_csv(df, scratch_dir(spark, "csv") + "/out"))

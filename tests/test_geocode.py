@@ -85,8 +85,8 @@ def test_lookup_join_equals_left_join_with_heavy_and_null_keys(spark):
     lookup = lookup.unionByName(spark.createDataFrame([("hot", -1)], "key string, value bigint"))
     want = as_set(rows.join(lookup, "key", "left"))
     assert as_set(skew.lookup_join(rows, lookup, "key")) == want
-    for salts, most in ((1, 5), (4, 1), (16, 1000)):
-        got = skew.lookup_join(rows, lookup, "key", min_rows=3, max_keys=most, salts=salts)
+    for least, most in ((3, 5), (500, 1), (3, 1000)):
+        got = skew.lookup_join(rows, lookup, "key", min_rows=least, max_keys=most)
         assert as_set(got) == want
 
 
@@ -96,7 +96,7 @@ def test_heavy_rows_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.lookup_join(rows, lookup, "key", min_rows=100, salts=32)
+        joined = skew.lookup_join(rows, lookup, "key", min_rows=60)
         sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -110,7 +110,7 @@ def test_unfinished_version_does_not_count(spark, tmp_path):
     os.remove(f"{tmp_path}/t/v=1/_SUCCESS")
     assert table.latest() == 0 and as_set(table.read()) == [("a", 1)]
     table.write(spark.createDataFrame([("b", 3)], "k string, n int"))
-    assert table.latest() == 1 and as_set(table.read()) == [("b", 3)]
+    assert table.latest() == 2 and as_set(table.read()) == [("b", 3)]
 
 
 def test_column_added_later(spark, tmp_path):
@@ -134,3 +134,40 @@ def test_scratch_follows_the_checkpoint_setting():
 def test_stamp_is_one_value(spark):
     now = dt.datetime(2024, 1, 1)
     assert as_set(columns.stamp(spark.range(3), now).select("fetched_at").distinct()) == [(now,)]
+
+
+def test_tables_refuse_a_second_writer_and_keep_versions(spark, tmp_path, monkeypatch):
+    from rollbook.sources.paths import folder_names
+    from rollbook.sources.tables import KeyedTable
+
+    df = spark.range(3).selectExpr("cast(id AS string) AS k")
+    table = KeyedTable(spark, str(tmp_path / "t"), df.schema, keep_versions=2)
+    for n in range(4):
+        table.write(df.limit(n))
+    assert sorted(folder_names(spark, str(tmp_path / "t"))) == ["v=2", "v=3"] and table.read().count() == 3
+    other = KeyedTable(spark, str(tmp_path / "t"), df.schema)
+    monkeypatch.setattr(other, "_numbers", lambda: [2])  # as if it had looked before the last write
+    with pytest.raises(Exception, match="(?i)exist"):
+        other.write(df)
+    (tmp_path / "t" / "v=7").mkdir()  # begun, not finished
+    table.write(df.limit(1))
+    assert table.latest() == 8 and table.read().count() == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from rollbook.session import scratch_dir
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        conf = Conf(**{"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+    Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///c/"})
+    assert scratch_dir(Session(), "x").startswith("hdfs:///c/rollbook/x-")

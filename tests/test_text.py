@@ -134,3 +134,11 @@ def test_bigrams_and_words(spark):
     assert got[4] == ["\U00020000\U00020001", "\U00020001x"]
     words = spark.createDataFrame([("ACME trading Co (HK) IT-services",)], "a string")
     assert words.select(terms.english_words(F.col("a"))).first()[0] == ["Acme", "Trading", "Services"]
+
+
+def test_any_number_of_corrections(spark):
+    from rollbook.functions.text import apply_corrections
+
+    rules = [(f"w{i};", f"r{i};") for i in range(6000)] + [("xw7;", "long;")]
+    df = spark.createDataFrame([("w0; w5999; w12;",), ("xw7; w77;",), (None,)], "t string")
+    assert [r[0] for r in df.select(apply_corrections(F.col("t"), rules)).collect()] == ["r0; r5999; r12;", "long; r77;", None]

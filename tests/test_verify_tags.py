@@ -79,12 +79,20 @@ def test_case_form_and_join_form_agree(names, keywords, monkeypatch):
     compiled = as_set(tagging.tag_explain(names, keywords))
     assert ("3", "J", "IT") in compiled and ("5", "F", "工程") in compiled
     assert as_set(tagging.keyword_matches(names, keywords)) == compiled
-    by_case = sections(tagging.with_keyword_section(names, keywords))
+    twice = names.unionByName(names.limit(3))
+    options = [{}, {"ignore_case": True}, {"word_boundary": True}, {"longest_match": True}, {"ignore_case": True, "word_boundary": True, "longest_match": True}]
+    want = [(as_set(tagging.tag_explain(twice, keywords, **o)), as_set(tagging.with_keyword_section(twice, keywords, **o))) for o in options]
     monkeypatch.setattr(tagging, "MAX_COMPILED_KEYWORDS", 3)
-    assert as_set(tagging.tag_explain(names, keywords)) == compiled
-    assert sections(tagging.with_keyword_section(names, keywords)) == by_case
-    with pytest.raises(ValueError):
-        tagging.tag_explain(names, keywords, ignore_case=True)
+    got = [(as_set(tagging.tag_explain(twice, keywords, **o)), as_set(tagging.with_keyword_section(twice, keywords, **o))) for o in options]
+    assert got == want
+
+
+def test_section_names_need_no_shuffle_by_code(spark, names):
+    from rollbook.sources import rules as rule_source
+
+    tagged = names.withColumn("industry_tag", F.lit("K"))
+    plan = tagging.with_section_names(tagged, rule_source.section_table(spark))._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(industry_tag" not in plan
 
 
 def test_options(names, keywords):
