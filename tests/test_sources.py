@@ -128,7 +128,7 @@ class _Session:
 def test_scratch_follows_the_checkpoint_setting():
     shared = _Session(**{"spark.checkpoint.dir": "hdfs://shared/ckpt/"})
     assert scratch_dir(shared, "x").startswith("hdfs://shared/ckpt/rollbook/x-")
-    assert os.path.isdir(scratch_dir(_Session(), "x"))
+    assert os.path.isdir(scratch_dir(_Session(**{"spark.master": "local[8]"}), "x"))
 
 
 def test_stamp_is_one_value(spark):
