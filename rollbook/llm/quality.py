@@ -23,7 +23,8 @@ SUPPORT = 0.75
 STEPS = 4
 LEAST_GROUP = 200
 #: Squared distances above this are rejected: twice the 0.99999 point of chi-square with 5 degrees of
-#: freedom (30.9), since clean text has longer tails than a normal law.
+#: freedom (30.9), since clean text has longer tails than a normal law. Distances are scaled down only, so
+#: in groups more even than FLOOR the same cutoff lets more pass.
 CUTOFF = 60.0
 #: Least standard deviation of a transformed statistic: differences below it say nothing.
 FLOOR = 0.3
@@ -142,42 +143,38 @@ def robust_distances(
     steps: int = STEPS,
     least_group: int = LEAST_GROUP,
     floor: float = FLOOR,
+    fall_back: bool = False,
 ) -> DataFrame:
     """``rows`` (a written table) with ``distance``: squared robust Mahalanobis distance in its group.
 
-    Groups are the distinct ``keys`` (null is a value); those with fewer than ``least_group`` rows are
-    pooled, level by level dropping the last key, and what is still less has distance null. The first
+    Groups are the distinct ``keys`` (null is a value). With ``fall_back`` every row has a model: a group with
+    fewer than ``least_group`` rows takes that of all rows that agree on its keys without the last one, and
+    so on to the model of all rows, however few. Without it, small groups of equal keys but for the last are
+    pooled with each other only, and where the pool is still small the distance is null. The first
     estimate is of ranks about the coordinate medians; each concentration step fits the ``support`` part
     of the group that lies nearest. Where ties stand at the border all of their bin go in. The covariance
-    gets ``floor`` squared added on its diagonal, so constant statistics give no division by zero; the
-    final one is scaled so that the median distance is that of chi-square.
+    gets ``floor`` squared added on its diagonal, so constant statistics give no division by zero. Distances
+    of a group whose median is above that of chi-square are scaled down to it; they are never scaled up,
+    since the floor makes those of even texts small for no fault of the texts.
     """
     given = rows.columns
-    level = [free_name(f"pool_{k}", given) for k in keys]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("pool_n"))
-    # Small groups: the last key becomes a mark shared by all small groups of the keys before it.
-    marks = counts.select(
-        *[F.col(k).alias(f"count_{k}") for k in keys], (F.col("pool_n") < least_group).alias("pool_small")
-    )
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"count_{k}")) for k in keys])
-    marks = written(marks, "quality-counts")
-    pooled = rows.join(F.broadcast(marks) if marks.count() <= BROADCAST_GROUPS else marks, on).drop(*[f"count_{k}" for k in keys])
-    name = F.concat_ws("\x1f", *[F.when(F.col(k).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(k).cast("string"))) for k in keys[:-1]])
-    last = F.when(F.col(keys[-1]).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(keys[-1]).cast("string")))
-    group = level[0]
-    pooled = pooled.withColumn(group, F.concat_ws("\x1e", name, F.when(F.col("pool_small"), F.lit("")).otherwise(last)))
-    pooled = written(pooled.drop("pool_small"), "quality-pooled")
-    wide = pooled.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, 0.5, 1000).alias(f"med_{v}") for v in vector])
-    wide = written(wide.filter(F.col("n") >= least_group), "quality-groups")
+    if fall_back:
+        group = free_name("model_group", given)
+        pooled, train = _with_fallback(rows, keys, group, vector, least_group)
+    else:
+        group = free_name(f"pool_{keys[0]}", given)
+        pooled = train = _pooled(rows, keys, group, least_group)
+    wide = train.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(v, 0.5, 1000).alias(f"med_{v}") for v in vector])
+    wide = written(wide if fall_back else wide.filter(F.col("n") >= least_group), "quality-groups")
     few = wide.count() <= BROADCAST_GROUPS
-    model_start = _start(pooled, wide, group, vector, floor, few)
+    model_start = _start(train, wide, group, vector, floor, few)
     model = written(model_start, "quality-step")
     for _ in range(steps):
-        measured = _distance(pooled, model, [group], vector, "distance", few)
-        near = _nearest(measured, group, support, few)
+        near = _nearest(_distance(train, model, [group], vector, "distance", few), group, support, few)
         model = written(_estimate(near, [group], vector, floor), "quality-step")
+    fitted = _distance(train, model, [group], vector, "distance", few)
+    scale = _quantile(fitted, group, 0.5).select(F.col(group).alias("scale_group"), F.col("bin_top").alias("median"))
     measured = _distance(pooled, model, [group], vector, "distance", few)
-    scale = _quantile(measured, group, 0.5).select(F.col(group).alias("scale_group"), F.col("bin_top").alias("median"))
     # 4.351: median of chi-square with 5 degrees of freedom; in general p * (1 - 2 / (9 p)) ** 3.
     p = len(vector)
     normal = p * (1 - 2 / (9 * p)) ** 3
@@ -188,6 +185,43 @@ def robust_distances(
     )
 
 
+def _with_fallback(rows: DataFrame, keys: list[str], group: str, vector: tuple, least_group: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``group``, the name of the model each takes; and ``group`` and vector of the rows each
+    model is made of: all rows of its keys, also those that have a narrower model of their own."""
+    # Level k leaves the last k keys out; as JSON, null is no name and lists of other lengths never clash.
+    levels = [F.to_json(F.array(*[F.col(k).cast("string") for k in keys[: len(keys) - i]])) if i < len(keys) else F.lit("[]") for i in range(len(keys) + 1)]
+    named = [f"level_{i}" for i in range(len(levels))]
+    counts = rows.groupBy(*[v.alias(n) for v, n in zip(levels, named, strict=True)]).agg(F.count(F.lit(1)).alias("rows_0"))
+    counts = written(counts, "quality-counts")
+    marks = counts
+    for i in range(1, len(keys)):
+        wider = counts.groupBy(F.col(named[i]).alias("of")).agg(F.sum("rows_0").alias(f"rows_{i}"))
+        marks = marks.join(wider, F.col(named[i]) == F.col("of")).drop("of")
+    enough = [F.when(F.col(f"rows_{i}") >= least_group, F.col(named[i])) for i in range(len(keys))]
+    marks = written(marks.select(F.col(named[0]).alias("of"), F.coalesce(*enough, F.col(named[-1])).alias(group)), "quality-marks")
+    few = marks.count() <= BROADCAST_GROUPS
+    pooled = written(rows.join(F.broadcast(marks) if few else marks, levels[0] == F.col("of")).drop("of"), "quality-pooled")
+    needed = marks.select(group).distinct()
+    train = rows.select(F.explode(F.array(*levels)).alias(group), *vector)
+    return pooled, written(train.join(F.broadcast(needed) if few else needed, group, "left_semi"), "quality-train")
+
+
+def _pooled(rows: DataFrame, keys: list[str], group: str, least_group: int) -> DataFrame:
+    """``rows`` with ``group``: their keys, or for small groups a name shared by those of equal keys but the last."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("pool_n"))
+    # Small groups: the last key becomes a mark shared by all small groups of the keys before it.
+    marks = counts.select(
+        *[F.col(k).alias(f"count_{k}") for k in keys], (F.col("pool_n") < least_group).alias("pool_small")
+    )
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"count_{k}")) for k in keys])
+    marks = written(marks, "quality-counts")
+    pooled = rows.join(F.broadcast(marks) if marks.count() <= BROADCAST_GROUPS else marks, on).drop(*[f"count_{k}" for k in keys])
+    name = F.concat_ws("\x1f", *[F.when(F.col(k).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(k).cast("string"))) for k in keys[:-1]])
+    last = F.when(F.col(keys[-1]).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(keys[-1]).cast("string")))
+    pooled = pooled.withColumn(group, F.concat_ws("\x1e", name, F.when(F.col("pool_small"), F.lit("")).otherwise(last)))
+    return written(pooled.drop("pool_small"), "quality-pooled")
+
+
 def _start(rows: DataFrame, wide: DataFrame, group: str, vector: tuple, floor: float, few: bool) -> DataFrame:
     """Diagonal first estimate: medians, and mean absolute differences to them as scales."""
     med = wide.select(F.col(group).alias("g"), *[f"med_{v}" for v in vector])
@@ -233,12 +267,14 @@ def judge(
     keys: tuple[str, ...] = ("lang", "source"),
     cutoff: float = CUTOFF,
     least_group: int = LEAST_GROUP,
+    fall_back: bool = False,
 ) -> DataFrame:
     """``doc_id``, the base statistics, ``base_failed``, ``distance`` and ``kept`` of every row.
 
     Null and empty texts have statistics 0 and fail the base rule. Estimates are made of the rows that
-    pass it. Rows of groups too small for an estimate, pooled ones included, are kept unless the base rule
-    fails; their distance is null. Repeated rows are rows of their own. Null keys are a group.
+    pass it. With ``fall_back`` rows of groups too small for an estimate are judged by that of their first keys,
+    or of all rows; without it they are kept unless the base rule fails, pooled ones included, and their
+    distance is null. Repeated rows are rows of their own. Null keys are a group.
     """
     stats = docs.select(
         F.col(id_column).alias("doc_id"),
@@ -248,7 +284,7 @@ def judge(
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))
     stats = written(stats.withColumn("base_failed", failed).withColumns(_vector()), "quality")
     names = [f"key_{i}" for i in range(len(keys))]
-    passed = robust_distances(stats.filter("NOT base_failed"), names, VECTOR, least_group=least_group)
+    passed = robust_distances(stats.filter("NOT base_failed"), names, VECTOR, least_group=least_group, fall_back=fall_back)
     verdict = F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     both = passed.withColumn("kept", verdict).unionByName(
         stats.filter("base_failed").withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})

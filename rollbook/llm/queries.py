@@ -116,7 +116,7 @@ def op5_quality(spark, sf_dir):
     """Base statistics of every document and whether rules and robust distance keep it."""
     from rollbook.llm.quality import judge
 
-    return judge(table(spark, sf_dir, "documents")).select(
+    return judge(table(spark, sf_dir, "documents"), fall_back=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
 

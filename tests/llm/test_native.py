@@ -132,6 +132,23 @@ def test_outliers_go_and_clean_texts_stay(spark):
     assert all(got[2000 + i]["kept"] and got[2000 + i]["distance"] is None for i in range(5))
 
 
+def test_small_groups_are_judged_by_wider_ones(spark):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    text = lambda mark="": " ".join(word() + mark for _ in range(rng.randint(60, 300)))
+    rows = [(i, text(), "en", "s1") for i in range(400)]
+    # A small source of the language, a small language, and one without name; each with clean and bad rows.
+    rest = [("en", "tiny"), ("fr", "s1"), (None, None)]
+    rows += [(1000 + 100 * k + i, text("###" if i < 5 else ""), *g) for k, g in enumerate(rest) for i in range(10)]
+    got = {r["doc_id"]: r for r in quality.judge(docs_frame(spark, rows), fall_back=True).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert all(got[r[0]]["kept"] == ("###" not in r[1]) for r in rows)
+    few = quality.judge(docs_frame(spark, rows[:3]), fall_back=True).collect()
+    assert all(r["kept"] and r["distance"] is not None for r in few)
+
+
 def test_quality_of_odd_rows(spark):
     got = quality.judge(docs_frame(spark, EDGE)).collect()
     assert len(got) == len(EDGE)
