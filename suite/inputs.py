@@ -143,6 +143,21 @@ INPUTS = {
             ) every_prefix
         ) ranked
         WHERE pos <= 100""",
+    # The same without a page limit: every name under each of its prefixes.
+    "prefix_keys": """
+        SELECT prefix, CAST(length(prefix) - 1 AS INT) AS depth,
+               ascii(substr(prefix, 1, 1)) * 1000000 + ascii(substr(prefix || ' ', 2, 1)) * 1000 + ascii(substr(prefix || '  ', 3, 1)) AS prefix_ord,
+               CAST(pos AS BIGINT) AS pos, cr_no, name_en
+        FROM (
+            SELECT prefix, cr_no, name_en, row_number() OVER (PARTITION BY prefix ORDER BY cr_no, name_en) AS pos
+            FROM (
+                SELECT substr(upper(p_name), 1, 1) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                UNION ALL
+                SELECT substr(upper(p_name), 1, 2) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                UNION ALL
+                SELECT substr(upper(p_name), 1, 3) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+            ) every_prefix
+        ) ranked""",
     # Re-verification answers.
     "verify_answers": """
         SELECT cr_no, CASE WHEN k % 19 = 0 THEN 'gone' WHEN k % 37 = 0 THEN 'error' ELSE 'ok' END AS outcome_http,

@@ -151,8 +151,8 @@ _COUNTS = """counts AS (SELECT prefix, depth, count(*) AS n, count(*) >= 100 AS
            count(*) >= 100 AND depth >= 2 AS truncated FROM {prefix_answers} GROUP BY prefix, depth)"""
 
 
-def _prefix_counts(spark, sf):
-    return scan.prefix_counts(frame(spark, sf, "prefix_answers"), page_limit=100, max_depth=2)
+def _prefix_counts(spark, sf, answers="prefix_answers"):
+    return scan.prefix_counts(frame(spark, sf, answers), page_limit=100, max_depth=2)
 
 
 @query(f"WITH {_COUNTS} SELECT * FROM counts")
@@ -181,9 +181,9 @@ _ASSEMBLED = (
 )
 
 
-def _assembled(spark, sf):
-    counts = _prefix_counts(spark, sf)
-    return scan.assemble_prefixes(frame(spark, sf, "prefix_answers"), counts, keep_parent_rows=False, characters="ABCDEFG")
+def _assembled(spark, sf, answers="prefix_answers"):
+    counts = _prefix_counts(spark, sf, answers)
+    return scan.assemble_prefixes(frame(spark, sf, answers), counts, keep_parent_rows=False, characters="ABCDEFG")
 
 
 @query(f"WITH {_COUNTS} {_ASSEMBLED}")
@@ -191,22 +191,26 @@ def prefix_assemble(spark, sf):
     return _assembled(spark, sf)
 
 
+# First of key is taken of all names, without the page limit of a search.
+_WHOLE_COUNTS, _WHOLE_ASSEMBLED = (x.replace("{prefix_answers}", "{prefix_keys}") for x in (_COUNTS, _ASSEMBLED))
+
+
 @query(
-    f"""WITH {_COUNTS}, parts AS ({_ASSEMBLED})
+    f"""WITH {_WHOLE_COUNTS}, parts AS ({_WHOLE_ASSEMBLED})
 SELECT cr_no, name_en, prefix FROM (SELECT *, row_number() OVER (PARTITION BY cr_no ORDER BY prefix_ord, pos) AS rn FROM parts) r
 WHERE rn = 1 OR cr_no = ''"""
 )
 def first_by_key(spark, sf):
-    return scan.first_by_key(_assembled(spark, sf)).select("cr_no", "name_en", "prefix")
+    return scan.first_by_key(_assembled(spark, sf, "prefix_keys")).select("cr_no", "name_en", "prefix")
 
 
 @query(
-    """SELECT cr_no, name_en, prefix FROM (SELECT *, row_number() OVER (PARTITION BY cr_no ORDER BY prefix_ord, pos) AS rn FROM {prefix_answers}) r
+    """SELECT cr_no, name_en, prefix FROM (SELECT *, row_number() OVER (PARTITION BY cr_no ORDER BY prefix_ord, pos) AS rn FROM {prefix_keys}) r
 WHERE rn = 1 OR cr_no = ''"""
 )
 def first_by_key_with_parents(spark, sf):
     whole = scan.assemble_prefixes(
-        frame(spark, sf, "prefix_answers"), _prefix_counts(spark, sf), keep_parent_rows=True
+        frame(spark, sf, "prefix_keys"), _prefix_counts(spark, sf, "prefix_keys"), keep_parent_rows=True
     )
     return scan.first_by_key(whole).select("cr_no", "name_en", "prefix")
 

@@ -144,3 +144,14 @@ def test_prefix_search(rows):
 def test_expansion_characters():
     characters = scan.expansion_characters()
     assert len(characters) == len(set(characters)) == 66
+
+
+def test_first_by_key_has_every_key(spark):
+    from suite import all_queries
+    from suite.inputs import table
+
+    sf = "/root/testdata/sf0.01"  # beyond the page limit of a prefix search
+    part = table(spark, sf, "part").filter("p_partkey % 50 <> 0")
+    n_keys = part.selectExpr("p_partkey div 2").distinct().count()
+    for name in ("first_by_key", "first_by_key_with_parents"):
+        assert all_queries()[name](spark, sf).filter("cr_no <> ''").count() == n_keys
