@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rollbook.llm.common import text_or_empty, written
+from rollbook.llm.common import let, text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes, runs, word_hashes
 from rollbook.llm.sketch import is_shared, shared_bits, table_bits, text_bytes
 
@@ -218,7 +218,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     of ``docs`` (``doc_id, text, th``) that have any; ``th`` is a hash of the text.
 
     Pieces go to the shard of their anchor as they are, and a shard tells each its spans. Hot anchors would
-    bring too many rows together: their pieces are made distinct first, and the answers joined back."""
+    bring too many rows together: their pieces are made distinct first, the windows of those get their first
+    documents by an aggregate, and the answers are joined back."""
     n_bytes = text_bytes(docs)
     bits = table_bits(n_bytes, per_byte=0.3, most=MOST_BITS)
     tables = tuple(shared_bits(docs, _row_anchors(window, run), bits, (2, HOT_ROWS)))
@@ -241,14 +242,22 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     told = usual.groupBy("shard").applyInArrow(answer, "doc_id long, th long, at int, n int")
 
     crowded = written(_pieces(docs, window, run, tables, bits, True).withColumn("form", F.xxhash64("piece")), "substring-hot", "zstd")
-    distinct = crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id")).withColumn("shard", shard)
-
-    def resolve(part: pa.Table) -> pa.Table:
-        keys, pieces, ids = (part.column(c).to_pylist() for c in ("anchor", "piece", "doc_id"))
-        first = _first_documents(keys, pieces, ids, window)
-        return pa.table({"anchor": part.column("anchor"), "form": part.column("form"), "first": pa.array(first, pa.list_(pa.int64()))})
-
-    resolved = distinct.groupBy("shard").applyInArrow(resolve, "anchor long, form long, first array<long>")
+    # An anchor may have a form for every document, so they never meet in one task: the least document of a
+    # window is an aggregate over the windows of all forms (equal windows have equal anchors).
+    distinct = written(crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id")), "substring-forms", "zstd")
+    in_form = lambda w: F.transform(
+        F.sequence(F.lit(0), F.size(w) - window), lambda i: F.array_join(F.slice(w, i + 1, F.lit(window)), " ")
+    )
+    windows = distinct.select("anchor", "form", "doc_id", F.posexplode(let(F.split("piece", " "), in_form)).alias("place", "words"))
+    windows = windows.select(
+        "anchor", "form", "doc_id", "place", F.xxhash64("words").alias("h0"), F.xxhash64(F.lit(1), "words").alias("h1")
+    )
+    least = windows.groupBy("h0", "h1").agg(F.min("doc_id").alias("least"))
+    resolved = (
+        windows.drop("doc_id").join(least, ["h0", "h1"])
+        .groupBy("anchor", "form").agg(F.sort_array(F.collect_list(F.struct("place", "least"))).alias("p"))
+        .select("anchor", "form", F.transform("p", lambda x: x["least"]).alias("first"))
+    )
     found = crowded.select("anchor", "form", "doc_id", "th", "start").join(resolved, ["anchor", "form"])
     # All windows of a piece at once where each begins earlier, else one by one.
     span = lambda at, n: F.struct(at.cast("int").alias("at"), n.cast("int").alias("n"))

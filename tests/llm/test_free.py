@@ -143,6 +143,19 @@ def test_repeated_spans_go(spark, seed, hot, monkeypatch):
     assert all(r["text"] == same[r["doc_id"]] for r in got if not r["n_removed"])
 
 
+def test_forms_of_a_hot_anchor_meet_in_no_task(spark, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_ROWS", 4)
+    # One passage in contexts that differ from document to document: a form of its own for each.
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = [(i, " ".join(f"a{i}x{j}" for j in range(9)) + f" {passage} " + " ".join(f"b{i}x{j}" for j in range(9))) for i in range(30)]
+    docs = frame(spark, rows).withColumn("th", F.xxhash64("text"))
+    spans = substring.repeated_spans(docs)
+    # Only the pieces of usual anchors are handed to Python by group.
+    assert spans._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow") == 1
+    got = {r["doc_id"]: sum(s["n"] for s in r["spans"]) for r in spans.collect()}
+    assert got == {i: 3 for i in range(1, 30)}
+
+
 def test_automaton_finds_first_documents():
     rng = random.Random(4)
     for _ in range(40):
