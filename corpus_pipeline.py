@@ -46,9 +46,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per document of the mix: its tokens counted, summed, and whether they decode to the text."""
+    """A row per document of the mix: its tokens counted, their ids, and whether they decode to the text."""
     pieces, model = sentencepiece.piece_table(spark, TOKENIZER)
-    return sentencepiece.token_digests(docs.select("doc_id", "text"), pieces, model)
+    return sentencepiece.encoded_and_checked(docs.select("doc_id", "text"), pieces, model)
 
 
 STAGES = [

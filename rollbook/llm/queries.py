@@ -207,11 +207,11 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 @query()
 def op9_sentencepiece(spark, sf_dir, model_file: str = TOKENIZER):
-    """Tokens of every document: how many, a checksum of their ids by place, and whether they decode."""
+    """Tokens of every document: how many, their ids in order, and whether they decode to the text."""
     from rollbook.llm import sentencepiece
 
     pieces, model = sentencepiece.piece_table(spark, model_file)
-    return sentencepiece.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces, model)
+    return sentencepiece.encoded_and_checked(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces, model)
 
 
 _WARC_SQL = """

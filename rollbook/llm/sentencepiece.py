@@ -9,10 +9,14 @@ of the best piece first, on the same edges.
 
 from __future__ import annotations
 
+import re
+from array import array
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from rollbook.llm.common import let, text_or_empty, written
 
@@ -26,6 +30,8 @@ MOST_FOLDED = 60
 BROADCAST_SEGMENTS = 300_000
 #: Rare segments whose encodings a task remembers.
 CACHE = 50_000
+#: Texts that a task encodes or decodes at once.
+SLICE = 500
 _TOP_COUNT = 4096
 LOW = -1e9
 
@@ -228,29 +234,105 @@ def merge_segments(rows: DataFrame, pieces: DataFrame, model: dict) -> DataFrame
     return rows.mapInArrow(merge, StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
-def decode(coded: DataFrame, pieces: DataFrame, model: dict, key: str, strip: bool = True) -> DataFrame:
-    """``key, text`` of rows with ``key`` (unique) and ``ids``: ids are exploded, joined with the bytes of
-    their pieces and put together in order. The space put before a text is taken off (``strip``). Ids that
-    the model has not give nothing; the mark of a space in the source text comes back as a space."""
-    table = pieces.select("id", F.encode(F.replace("piece", F.lit(SPACE), F.lit(" ")), "utf-8").alias("bytes"))
+def with_decoded(coded: DataFrame, pieces: DataFrame, model: dict, name: str, strip: bool = True) -> DataFrame:
+    """``coded`` with the text of its ``ids`` in a new column ``name``: the bytes of their pieces in order.
+
+    The space put before a text is taken off (``strip``). Ids that the model has not give nothing; the mark of
+    a space in the source text comes back as a space. The vocabulary is broadcast."""
+    table = {r["id"]: r["piece"].replace(SPACE, " ").encode() for r in pieces.select("id", "piece").collect()}
     if model["byte_base"] is not None:
-        spark = coded.sparkSession
-        single = spark.range(256).select(
-            (F.col("id") + model["byte_base"]).cast("int").alias("id"), F.unhex(F.lpad(F.hex("id"), 2, "0")).alias("bytes")
-        )
-        table = table.unionByName(single)
-    shown = coded.select(key, F.posexplode_outer("ids").alias("place", "id")).join(F.broadcast(table), "id", "left")
-    put = shown.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("place", "bytes"))).alias("p"))
-    # Bytes as hex: strings of them can be joined where binaries can't.
-    joined = F.unhex(F.array_join(F.transform("p", lambda x: F.coalesce(F.hex(x["bytes"]), F.lit(""))), "")).cast("string")
-    text = F.regexp_replace(joined, "^ ", "") if strip else joined
-    return put.select(key, text.alias("text"))
+        table |= {model["byte_base"] + b: bytes([b]) for b in range(256)}
+    shared = coded.sparkSession.sparkContext.broadcast(table)
+    place = coded.columns.index("ids")
+
+    def put(batches):
+        bytes_of = shared.value
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(lo, SLICE)
+                texts = []
+                for ids in batch.column(place):
+                    raw = b"".join([bytes_of.get(i, b"") for i in ids.as_py() or ()])
+                    texts.append((raw[1:] if strip and raw[:1] == b" " else raw).decode(errors="replace"))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
+
+    return coded.mapInArrow(put, StructType([*coded.schema.fields, StructField(name, StringType())]))
+
+
+def decode(coded: DataFrame, pieces: DataFrame, model: dict, key: str, strip: bool = True) -> DataFrame:
+    """``key, text`` of rows with ``key`` and ``ids``; see ``with_decoded``."""
+    return with_decoded(coded.select(key, "ids"), pieces, model, "text", strip)
+
+
+def _floor_of_frequent(words: DataFrame) -> int:
+    """The least ``n`` that at most BROADCAST_SEGMENTS rows of ``words`` reach."""
+    # Frequencies beyond _TOP_COUNT by powers of two: a few thousand rows at most.
+    level = F.when(F.col("n") < _TOP_COUNT, F.col("n")).otherwise(_bit(F.floor(F.log2("n")).cast("int")))
+    counts = words.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
+    floor, total = 1 << 62, 0
+    for r in sorted(counts, key=lambda r: -r["n"]):
+        total += r["m"]
+        if total > BROADCAST_SEGMENTS:
+            break
+        floor = r["n"]
+    return floor
 
 
 def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int): every text encoded. Repeated rows have equal ids; null and
-    empty texts have none. A column ``ids`` is replaced."""
-    kept = [c for c in docs.columns if c.lower() != "ids"]
+    empty texts have none. A column ``ids`` is replaced.
+
+    For byte-pair models the most frequent segments go through the lattice once and are broadcast; each task
+    puts the ids of its texts together from them and merges the other segments itself, so no occurrence of a
+    segment is shuffled. Unigram models send all distinct segments through the lattice and join them back.
+    """
+    kept = [c for c in docs.columns if c.lower() != "ids" or c == text_column]
+    if model["kind"] != "bpe":
+        return _encode_joined(docs, pieces, model, text_column, kept)
+    words = docs.select(F.explode(segments(F.col(text_column))).alias("segment")).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
+    words = written(words, "pieces-segments", compression="zstd")
+    often = encode_segments(words.filter(F.col("n") >= _floor_of_frequent(words)).select("segment"), pieces, model)
+    found = often.toArrow()  # BROADCAST_SEGMENTS rows at most
+    vocabulary = pieces.select("piece", "id", "rank").collect()
+    tables = {r["piece"]: r["rank"] for r in vocabulary}, {r["piece"]: r["id"] for r in vocabulary}
+    shared = docs.sparkSession.sparkContext.broadcast((found, *tables, model))
+    place = kept.index(text_column)
+
+    def put(batches):
+        coded, ranks, ids, about = shared.value
+        known = dict(zip(coded.column("segment").to_pylist(), coded.column("ids").to_pylist(), strict=True))
+        rare: dict[str, list[int]] = {}
+        pattern = re.compile(SEGMENT)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(lo, SLICE)
+                flat, ends = array("i"), [0]
+                for text in batch.column(place).to_pylist():
+                    for s in pattern.findall(SPACE + text.replace(" ", SPACE)) if text else ():
+                        of = known.get(s) or rare.get(s)
+                        if of is None:
+                            if len(rare) >= CACHE:
+                                rare.clear()
+                            of = rare[s] = merge_long(s, ranks, ids, about)
+                        flat.extend(of)
+                    ends.append(len(flat))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "ids"])
+
+    given = docs.select(*kept)
+    return given.mapInArrow(put, StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+
+
+def encoded_and_checked(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
+    """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_tokens, ids, exact``; ``exact`` tells whether the
+    ids decode to the text itself (null as empty). A text with the mark of a space in it does not."""
+    coded = encode(docs.select("doc_id", "text"), pieces, model)
+    return with_decoded(coded, pieces, model, "decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text_or_empty(F.col("text"))).alias("exact")
+    )
+
+
+def _encode_joined(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str, kept: list[str]) -> DataFrame:
     texts = docs.select(F.col(text_column).alias("text")).distinct().withColumn("th", F.sha2("text", 256))
     placed = texts.select("th", F.posexplode_outer(segments(F.col("text"))).alias("place", "segment"))
     coded = encode_segments(placed.select("segment").filter("segment IS NOT NULL").distinct(), pieces, model)
@@ -280,15 +362,7 @@ def token_digests(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
     placed = docs.select("doc_id", "th", F.posexplode_outer(segments(F.col("text"))).alias("place", "segment"))
     words = placed.filter("segment IS NOT NULL").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
     words = written(words, "pieces-segments", compression="zstd")
-    # Frequencies beyond _TOP_COUNT by powers of two: a few thousand rows at most.
-    level = F.when(F.col("n") < _TOP_COUNT, F.col("n")).otherwise(_bit(F.floor(F.log2("n")).cast("int")))
-    counts = words.groupBy(level.alias("n")).agg(F.count(F.lit(1)).alias("m")).collect()
-    floor, total = 1 << 62, 0
-    for r in sorted(counts, key=lambda r: -r["n"]):
-        total += r["m"]
-        if total > BROADCAST_SEGMENTS:
-            break
-        floor = r["n"]
+    floor = _floor_of_frequent(words)
     back = docs.sparkSession.sparkContext.broadcast({r["id"]: r["piece"] for r in pieces.select("id", "piece").collect()})
     base = model["byte_base"]
 

@@ -252,6 +252,18 @@ def test_digests_count_every_row(spark, monkeypatch):
     assert sentencepiece.token_digests(frame(spark, []), pieces, model).count() == 0
 
 
+def test_query_gives_ids_that_decode(spark, tmp_path):
+    from rollbook.llm.queries import op9_sentencepiece
+
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=TOKENIZER)
+    rows = list(enumerate(TEXTS)) + [(0, "a b"), (7, None), (None, "a b")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_sentencepiece(spark, str(tmp_path)).collect()
+    want = Counter((i, tuple(lib.encode(t or "")), "▁" not in (t or "")) for i, t in rows)
+    assert Counter((r["doc_id"], tuple(r["ids"]), r["exact"]) for r in got) == want
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
 def test_viterbi_fold_finds_the_best_path(spark):
     rng = random.Random(8)
     table = {p: -rng.uniform(1, 6) for p in ["▁", "a", "b", "c", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab"]}
