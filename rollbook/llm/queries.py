@@ -131,18 +131,24 @@ def op7_simhash(spark, sf_dir):
 
 @query()
 def simhash_search(spark, sf_dir):
-    """Documents within the Hamming radius of each document whose id 50 divides, itself left out: how many
-    distinct fingerprints, and the nearest distance."""
+    """For each document whose id 50 divides, the classes of equal fingerprints within the Hamming radius, its
+    own at distance 0 included; ``simhash_classes`` tells the documents of a class."""
     from rollbook.llm.common import written
     from rollbook.llm.simhash import near_fingerprints, with_fingerprints
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     prints = written(with_fingerprints(docs, ["doc_id"]), "simhash-search")
     asked = prints.filter("doc_id % 50 = 0")
-    found = near_fingerprints(asked, prints).groupBy("query").agg(
-        (F.count(F.lit(1)) - 1).alias("n_near"), F.min(F.when(F.col("distance") > 0, F.col("distance"))).alias("nearest")
-    )
-    return asked.join(found, asked["fingerprint"] == found["query"], "left").select("doc_id", "fingerprint", "n_near", "nearest")
+    found = near_fingerprints(asked, prints).select("query", F.col("fingerprint").alias("near_class"), "distance")
+    return asked.join(found, asked["fingerprint"] == found["query"], "left").select("doc_id", "fingerprint", "near_class", "distance")
+
+
+@query()
+def simhash_classes(spark, sf_dir):
+    """Documents and their class: the fingerprint, which equal texts share."""
+    from rollbook.llm.simhash import with_fingerprints
+
+    return with_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
 @query()

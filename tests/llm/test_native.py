@@ -208,6 +208,20 @@ def test_block_tables_find_all(spark):
     assert got.count() == len(found)
 
 
+def test_search_finds_copies(spark, tmp_path):
+    from rollbook.llm.queries import simhash_classes, simhash_search
+
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(50, text), (51, text), (52, text), (53, text.replace("word7 ", "other ")), (100, "some thing else " * 9)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    members = {r["doc_id"]: r["fingerprint"] for r in simhash_classes(spark, str(tmp_path)).collect()}
+    found = [(r["doc_id"], r["near_class"], r["distance"]) for r in simhash_search(spark, str(tmp_path)).collect()]
+    assert len(set(found)) == len(found) and (100, members[100], 0) in found
+    want = {members[i]: distance(members[50], members[i]) for i in members}
+    assert {c: d for q, c, d in found if q == 50} == {c: d for c, d in want.items() if d <= simhash.RADIUS}
+    assert {i for i in members for q, c, _ in found if q == 50 and c == members[i]} >= {50, 51, 52}
+
+
 # ---------------------------------------------------------------- chat
 
 
