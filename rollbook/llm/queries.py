@@ -254,3 +254,29 @@ def op1_html(spark, sf_dir):
     from rollbook.llm.html_crf import extract
 
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, and its text without their repeats."""
+    from rollbook.llm.common import let
+    from rollbook.llm.periodic import find_runs, with_repeats
+
+    found = find_runs(with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("q"))))
+    best = let(
+        longest,
+        lambda x: F.struct(
+            x["s"].alias("start"), (-x["l"]).alias("length"), x["q"].alias("period"),
+            F.floor(F.lit(-1000) * x["l"] / x["q"]).alias("exponent_milli"),
+        ),
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", "best.*", "runs_sha256", "collapsed_sha256")
