@@ -256,7 +256,59 @@ def op1_html(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-@query()
+_CRC_SQL = (
+    "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), "
+    "lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"
+)
+
+
+def _crc_of(number: str) -> str:
+    """crc32 of a number in decimal, with the column ``crc`` of _CRC_SQL at hand."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))"
+    fold = "lambda c, b: xor(c // 256, crc[CAST(xor(c % 256, b) AS INTEGER) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), {fold}), 4294967295)"
+
+
+# A run of period d is an island of places whose five words come again d words later.
+_RUNS_SQL = rf"""
+WITH step AS (
+    SELECT {_CRC_SQL} AS crc
+), given AS (
+    SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM (SELECT doc_id, {_WORDS} AS w, {_crc_of("doc_id")} AS h FROM documents, step) x
+), dealt AS (
+    SELECT *, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM given
+), worded AS (
+    SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: w[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % p END AS INTEGER) + 1]) ELSE w END AS w FROM dealt
+), grams AS (
+    SELECT doc_id, i, array_to_string(w[CAST(i AS INTEGER) + 1:CAST(i AS INTEGER) + 5], ' ') AS gram
+    FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS i FROM worded WHERE len(w) >= 6) x
+), again AS (
+    SELECT * FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1
+), pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS d FROM again x JOIN again y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i
+), islands AS (
+    SELECT doc_id, d, min(i) AS start, count(*) + 4 + d AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs) x GROUP BY doc_id, d, island
+), runs AS (
+    SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(min(d) AS BIGINT) AS period
+    FROM islands WHERE length >= greatest(6, 4 * d) GROUP BY ALL
+), told AS (
+    SELECT doc_id, count(*) AS n_runs, min({{'l': -length, 's': start, 'q': period}}) AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words
+    FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM worded WHERE doc_id IN (SELECT doc_id FROM told)) x
+    ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.q AS period, -best.l * 1000 // best.q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(CASE WHEN n_runs IS NULL THEN array_to_string(w, ' ') ELSE words END) AS collapsed_sha256
+FROM worded LEFT JOIN told USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query(_RUNS_SQL)
 def op12_periodic_runs(spark, sf_dir):
     """Periodic runs of words of every document, and its text without their repeats."""
     from rollbook.llm.common import let
@@ -280,3 +332,41 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     ).select("doc_id", "n_runs", "best.*", "runs_sha256", "collapsed_sha256")
+
+
+_TRIE_SQL = f"""
+WITH step AS (
+    SELECT {_CRC_SQL} AS crc
+), convs AS (
+    SELECT conv_id, list({{'role': r, 'text': t}} ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || t)) AS turns
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL) x GROUP BY conv_id
+), dealt AS (
+    SELECT conv_id, turns, {_crc_of("conv_id")} % 9 AS h FROM convs, step
+), rebuilt AS (
+    SELECT d.conv_id, list_concat(coalesce(b.turns[:CAST(h AS INTEGER)], []), d.turns[CAST(h AS INTEGER) + 1:]) AS turns
+    FROM dealt d LEFT JOIN convs b ON b.conv_id = d.conv_id - (d.conv_id % 5 + 5) % 5
+), members AS (
+    SELECT conv_id, d, turns[:CAST(d AS INTEGER)] AS path, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt) x
+), nodes AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids,
+           CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * octet_length(encode(path[d].text)) END AS saved
+    FROM members GROUP BY path, d
+), children AS (
+    SELECT path[:CAST(d - 1 AS INTEGER)] AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), whole AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.d = n.d AND c.path = n.path
+), below AS (
+    SELECT path[:CAST(up AS INTEGER)] AS path, up AS d, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+    FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM whole) x GROUP BY ALL
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, b.leaves AS n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.ids, '')) AS ends_sha256
+FROM whole w JOIN below b ON b.d = w.d AND b.path = w.path LEFT JOIN nodes p ON p.d = w.d - 1 AND p.path = w.path[:CAST(w.d - 1 AS INTEGER)]"""
+
+
+@query(_TRIE_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the trie of all conversations, each begun with turns of the first of its five."""
+    from rollbook.llm import turn_trie
+
+    return turn_trie.trie_nodes(turn_trie.with_openings(turn_trie.coded_turns(table(spark, sf_dir, "conversations"))))
