@@ -370,3 +370,15 @@ def op13_prefix_trie(spark, sf_dir):
     from rollbook.llm import turn_trie
 
     return turn_trie.trie_nodes(turn_trie.with_openings(turn_trie.coded_turns(table(spark, sf_dir, "conversations"))))
+
+
+@query()
+def op11_lm_score(spark, sf_dir):
+    """Log10 probability of every document by a model of those that are not held out."""
+    from rollbook.llm.ngram_lm import score_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return score_texts(docs, ~held_out).select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
