@@ -28,7 +28,7 @@ from rollbook.llm.sketch import text_bytes
 
 #: Words of an n-gram, occurrences that a shorter context counts for, and those added to every word.
 ORDER = 2
-MASS = 120.0
+MASS = 250.0
 ADD = 0.1
 #: Bytes of text to a block and to a shard of n-grams; both grow with the root of a corpus beyond 1 TB, to 8
 #: times as much, so that what a block has for a shard stays a row worth sending.
