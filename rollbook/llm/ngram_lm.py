@@ -32,7 +32,7 @@ MASS = 250.0
 ADD = 0.1
 #: Bytes of text to a block and to a shard of n-grams; both grow with the root of a corpus beyond 1 TB, to 8
 #: times as much, so that what a block has for a shard stays a row worth sending.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 SHARD_BYTES = 1 << 25
 #: Bits of an n-gram's hash beyond those that number the bytes of the corpus: one n-gram in a million meets another.
 SPARE_BITS = 20
