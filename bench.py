@@ -22,7 +22,7 @@ HEADLINE = (
     "parse_geocode",
     "snapshot_delta_nullsafe",
     "upsert_rows",
-    "upsert_rows_outer",
+    "upsert_rows_delta",
     "classify_changes",
     "cascade_reset",
     "enqueue",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rollbook.functions import fixed_values as fv
 from rollbook.functions.keys import key_kind, numeric_key
 from rollbook.operators.keyed import first_per_key, insert_ignore, update_by_key
+from rollbook.sources.scratch import staged
 
 # Rows of one batch that are ordered together in one task (by position in the batch).
 CHUNK = 65_536
@@ -185,9 +186,9 @@ def miss_runs(log: DataFrame, limit: int = fv.MISS_LIMIT, chunk: int = CHUNK) ->
     A batch of any size is worked on in chunks of positions; only one summary row per chunk is
     brought together by batch.
     """
-    state = _miss_state(log, chunk)
-    narrow = _miss_state(log.select("batch_id", "seq", "status"), chunk)
-    joined = state.join(_chunk_state(narrow, limit), ["batch_id", "_chunk"])
+    # Written once: rows and chunk summaries both come from it, the log is read and shuffled once.
+    state = staged(_miss_state(log, chunk), "miss-state")
+    joined = state.join(_chunk_state(state, limit), ["batch_id", "_chunk"])
     mark = F.coalesce(F.col("_misses_in") + F.col("_at_hit"), F.col("_mark_in"))
     runs = joined.where(~F.col("_stopped")).withColumn(
         "miss_run", (F.col("_misses_in") + F.col("_missed") - mark).cast("bigint")

@@ -127,23 +127,27 @@ INPUTS = {
                CASE WHEN toxic = 1 THEN 'zz' WHEN quality = 1 THEN 'k' ELSE 'M' END AS code FROM {labels}
         UNION ALL
         SELECT lpad(CAST(doc_id AS STRING), 8, '0') AS cr_no, CASE WHEN toxic = 1 THEN 'g' ELSE 'G' END AS code FROM {labels} WHERE doc_id % 5 = 0""",
-    # Name-prefix search answers: up to a page of names for each prefix of one to three characters.
+    # Names to search by prefix; a tenth share their first words, some are null, some go on with a blank.
+    "search_names": """
+        SELECT lpad(CAST(p_partkey AS STRING), 8, '0') AS cr_no,
+               CASE WHEN p_partkey % 97 = 0 THEN NULL
+                    WHEN p_partkey % 10 = 3 THEN 'MEGA TRADING ' || CAST(p_partkey AS STRING)
+                    ELSE substr(upper(p_name), 1, 1) || reverse(CAST(p_partkey AS STRING)) || ' ' || upper(p_name) END AS name_en
+        FROM {part}""",
+    # Answers of a search that went down to four characters: up to a page of names for each prefix.
     "prefix_answers": """
-        SELECT prefix, CAST(length(prefix) - 1 AS INT) AS depth,
-               ascii(substr(prefix, 1, 1)) * 1000000 + ascii(substr(prefix || ' ', 2, 1)) * 1000 + ascii(substr(prefix || '  ', 3, 1)) AS prefix_ord,
-               CAST(pos AS BIGINT) AS pos, cr_no, name_en
+        SELECT prefix, CAST(length(prefix) - 1 AS INT) AS depth, CAST(pos AS BIGINT) AS pos, cr_no, name_en
         FROM (
-            SELECT prefix, cr_no, name_en, row_number() OVER (PARTITION BY prefix ORDER BY cr_no, name_en) AS pos
+            SELECT prefix, cr_no, name_en, row_number() OVER (PARTITION BY prefix ORDER BY cr_no) AS pos
             FROM (
-                SELECT substr(upper(p_name), 1, 1) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
-                UNION ALL
-                SELECT substr(upper(p_name), 1, 2) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
-                UNION ALL
-                SELECT substr(upper(p_name), 1, 3) AS prefix, CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lpad(CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS STRING), 8, '0') END AS cr_no, p_name AS name_en FROM {part}
+                SELECT substr(name_en, 1, 1) AS prefix, cr_no, name_en FROM {search_names} WHERE name_en IS NOT NULL
+                UNION ALL SELECT substr(name_en, 1, 2) AS prefix, cr_no, name_en FROM {search_names} WHERE length(name_en) >= 2
+                UNION ALL SELECT substr(name_en, 1, 3) AS prefix, cr_no, name_en FROM {search_names} WHERE length(name_en) >= 3
+                UNION ALL SELECT substr(name_en, 1, 4) AS prefix, cr_no, name_en FROM {search_names} WHERE length(name_en) >= 4
             ) every_prefix
         ) ranked
-        WHERE pos <= 100""",
-    # The same without a page limit: every name under each of its prefixes.
+        WHERE pos <= 20""",
+    # Every name under each of its prefixes, without a page limit.
     "prefix_keys": """
         SELECT prefix, CAST(length(prefix) - 1 AS INT) AS depth,
                ascii(substr(prefix, 1, 1)) * 1000000 + ascii(substr(prefix || ' ', 2, 1)) * 1000 + ascii(substr(prefix || '  ', 3, 1)) AS prefix_ord,

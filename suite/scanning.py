@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rollbook.functions.keys import key_kind as kind_of
-from rollbook.operators import scan
+from rollbook.operators import prefixes, scan
 from suite.inputs import frame
 from suite.registry import query
 
@@ -147,12 +147,16 @@ def batch_running_totals(spark, sf):
     return scan.running_totals(stats, "batch_no", chunk=16)
 
 
-_COUNTS = """counts AS (SELECT prefix, depth, count(*) AS n, count(*) >= 100 AS saturated, count(*) >= 100 AND depth < 2 AS expanded,
-           count(*) >= 100 AND depth >= 2 AS truncated FROM {prefix_answers} GROUP BY prefix, depth)"""
+def _counts_sql(answers, limit, depth):
+    return f"""counts AS (SELECT prefix, depth, count(*) AS n, count(*) >= {limit} AS saturated, count(*) >= {limit} AND depth < {depth} AS expanded,
+           count(*) >= {limit} AND depth >= {depth} AS truncated FROM {{{answers}}} GROUP BY prefix, depth)"""
 
 
-def _prefix_counts(spark, sf, answers="prefix_answers"):
-    return scan.prefix_counts(frame(spark, sf, answers), page_limit=100, max_depth=2)
+_COUNTS = _counts_sql("prefix_answers", 20, 3)
+
+
+def _prefix_counts(spark, sf):
+    return scan.prefix_counts(frame(spark, sf, "prefix_answers"), page_limit=20, max_depth=3)
 
 
 @query(f"WITH {_COUNTS} SELECT * FROM counts")
@@ -173,26 +177,77 @@ def prefix_frontier(spark, sf):
     return scan.prefix_frontier(_prefix_counts(spark, sf), queried, letters_and_digits)
 
 
-# An extended prefix goes if all its extensions were queried.
-_ASSEMBLED = (
-    "SELECT p.* FROM {prefix_answers} p WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.prefix = p.prefix AND c.expanded "
-    "AND (SELECT count(*) FROM counts k WHERE length(k.prefix) = length(c.prefix) + 1 AND starts_with(k.prefix, c.prefix) "
-    "AND regexp_matches(right(k.prefix, 1), '[A-G]')) = 7)"
-)
+def _assembled_sql(answers, last, n):
+    """An extended prefix goes if all its extensions were queried."""
+    return (
+        f"SELECT p.* FROM {{{answers}}} p WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.prefix = p.prefix AND c.expanded "
+        "AND (SELECT count(*) FROM counts k WHERE length(k.prefix) = length(c.prefix) + 1 AND left(k.prefix, length(c.prefix)) = c.prefix "
+        f"AND regexp_matches(right(k.prefix, 1), '{last}')) = {n})"
+    )
 
 
-def _assembled(spark, sf, answers="prefix_answers"):
-    counts = _prefix_counts(spark, sf, answers)
-    return scan.assemble_prefixes(frame(spark, sf, answers), counts, keep_parent_rows=False, characters="ABCDEFG")
+@query(f"WITH {_COUNTS} {_assembled_sql('prefix_answers', '[0-9]', 10)}")
+def prefix_assemble(spark, sf):
+    answers = frame(spark, sf, "prefix_answers")
+    return scan.assemble_prefixes(answers, _prefix_counts(spark, sf), keep_parent_rows=False, characters="0123456789")
 
 
-@query(f"WITH {_COUNTS} {_ASSEMBLED}")
-def prefix_assemble(spark, sf):
-    return _assembled(spark, sf)
+# --- prefix search to its end ---
+
+_SEARCH = dict(page_limit=20, max_depth=4, characters=scan.expansion_characters()[:36])
+# A prefix is asked if the one before it is full; all its characters are in the alphabet.
+_SEARCHED = """every AS (SELECT cr_no, name_en, left(name_en, k) AS prefix, CAST(k - 1 AS INTEGER) AS depth
+  FROM (SELECT *, unnest(range(1, 6)) AS k FROM {search_names}) x WHERE length(name_en) >= k AND regexp_full_match(left(name_en, k), '[A-Z0-9]+')),
+whole AS (SELECT prefix, depth, count(*) AS m FROM every GROUP BY prefix, depth),
+asked AS (SELECT w.* FROM whole w LEFT JOIN whole p ON p.prefix = left(w.prefix, length(w.prefix) - 1) WHERE w.depth = 0 OR p.m >= 20),
+prefixes AS (SELECT prefix, depth, least(m, 20) AS n, m >= 20 AS saturated, m >= 20 AND depth < 4 AS expanded, m >= 20 AND depth >= 4 AS truncated FROM asked),
+pages AS (SELECT prefix, depth, CAST(row_number() OVER (PARTITION BY prefix ORDER BY cr_no) - 1 AS INTEGER) AS pos, cr_no, name_en
+  FROM every SEMI JOIN asked USING (prefix) QUALIFY pos < 20)"""
+
+
+def _searched(spark, sf):
+    return prefixes.search_to_end(frame(spark, sf, "search_names"), **_SEARCH)
+
+
+@query(f"WITH {_SEARCHED} SELECT * FROM prefixes")
+def prefix_search(spark, sf):
+    """Every prefix asked for, level by level, and the truncated ones."""
+    return _searched(spark, sf).prefixes
+
+
+@query(f"WITH {_SEARCHED} SELECT * FROM pages ANTI JOIN (SELECT prefix FROM prefixes WHERE expanded) e USING (prefix)")
+def prefix_search_records(spark, sf):
+    return _searched(spark, sf).records()
+
+
+@query(
+    f"""WITH {_SEARCHED}
+SELECT depth, asked, count(n) AS answered, count(*) FILTER (saturated) AS saturated, count(*) FILTER (truncated) AS truncated,
+  CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows
+FROM (SELECT 0 AS depth, 36 AS asked UNION ALL SELECT depth + 1, 36 * count(*) FROM prefixes WHERE expanded GROUP BY depth) d
+LEFT JOIN prefixes USING (depth) GROUP BY depth, asked"""
+)
+def prefix_search_levels(spark, sf):
+    return _searched(spark, sf).levels
+
+
+@query(
+    f"""WITH {_SEARCHED} SELECT cr_no, name_en, min(prefix) AS prefix FROM pages
+GROUP BY cr_no, name_en"""
+)
+def prefix_search_companies(spark, sf):
+    """Each company found, with the first prefix of the alphabet's order that showed it (here: the shortest)."""
+    found = _searched(spark, sf).records(keep_parent_rows=True)
+    order = prefixes.prefix_order(F.col("prefix"), _SEARCH["characters"])
+    return scan.first_by_key(found.withColumn("prefix_ord", order)).select("cr_no", "name_en", "prefix")
 
 
 # First of key is taken of all names, without the page limit of a search.
-_WHOLE_COUNTS, _WHOLE_ASSEMBLED = (x.replace("{prefix_answers}", "{prefix_keys}") for x in (_COUNTS, _ASSEMBLED))
+_WHOLE_COUNTS, _WHOLE_ASSEMBLED = _counts_sql("prefix_keys", 100, 2), _assembled_sql("prefix_keys", "[A-G]", 7)
+
+
+def _whole_counts(spark, sf):
+    return scan.prefix_counts(frame(spark, sf, "prefix_keys"), page_limit=100, max_depth=2)
 
 
 @query(
@@ -201,7 +256,10 @@ SELECT cr_no, name_en, prefix FROM (SELECT *, row_number() OVER (PARTITION BY cr
 WHERE rn = 1 OR cr_no = ''"""
 )
 def first_by_key(spark, sf):
-    return scan.first_by_key(_assembled(spark, sf, "prefix_keys")).select("cr_no", "name_en", "prefix")
+    whole = scan.assemble_prefixes(
+        frame(spark, sf, "prefix_keys"), _whole_counts(spark, sf), keep_parent_rows=False, characters="ABCDEFG"
+    )
+    return scan.first_by_key(whole).select("cr_no", "name_en", "prefix")
 
 
 @query(
@@ -210,7 +268,7 @@ WHERE rn = 1 OR cr_no = ''"""
 )
 def first_by_key_with_parents(spark, sf):
     whole = scan.assemble_prefixes(
-        frame(spark, sf, "prefix_keys"), _prefix_counts(spark, sf, "prefix_keys"), keep_parent_rows=True
+        frame(spark, sf, "prefix_keys"), _whole_counts(spark, sf), keep_parent_rows=True
     )
     return scan.first_by_key(whole).select("cr_no", "name_en", "prefix")
 

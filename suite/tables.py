@@ -35,9 +35,10 @@ def snapshot_delta_nullsafe(spark, sf):
     return keyed.snapshot_delta(frame(spark, sf, "day2"), frame(spark, sf, "day1"), null_safe=True)
 
 
-@query("SELECT cr_no, name_en FROM {day2} d WHERE NOT EXISTS (SELECT 1 FROM {master} m WHERE m.cr_no = d.cr_no)")
+@query("SELECT cr_no, name_en FROM {day2} d WHERE NOT EXISTS (SELECT 1 FROM {day1} m WHERE m.cr_no = d.cr_no)")
 def checkpoint_skip(spark, sf):
-    todo = keyed.without_keys(frame(spark, sf, "day2"), frame(spark, sf, "master"))
+    """The second day's companies against a master built on the first day."""
+    todo = keyed.without_keys(frame(spark, sf, "day2"), frame(spark, sf, "day1"))
     return todo.select("cr_no", "name_en")
 
 
@@ -89,8 +90,8 @@ def upsert_rows(spark, sf):
 
 
 @query(_UPSERTED)
-def upsert_rows_outer(spark, sf):
-    return keyed.upsert(frame(spark, sf, "day1"), _batch(spark, sf), "cr_no", order_by=["ver"], form="outer")
+def upsert_rows_delta(spark, sf):
+    return keyed.upsert(frame(spark, sf, "day1"), _batch(spark, sf), "cr_no", order_by=["ver"], form="delta")
 
 
 @query(

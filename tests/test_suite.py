@@ -7,10 +7,6 @@ from suite.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
-# No prefix has a full page at this size, so neither side has rows; at sf0.01 both have.
-WITHOUT_ROWS = {"prefix_frontier"}
-
-
 @pytest.fixture(scope="module")
 def con():
     return connect(SF)
@@ -18,11 +14,11 @@ def con():
 
 @pytest.mark.parametrize("name", list(all_queries()))
 def test_query_agrees_with_its_sql(spark, con, name):
-    assert compare(spark, con, name, SF) == ("no rows" if name in WITHOUT_ROWS else "")
+    assert compare(spark, con, name, SF) == ""
 
 
 def test_entry_points(spark):
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) == set(all_queries()) and set(entry.oracle_sql()) == set(all_checks())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_checks()) <= set(entry.oracle_sql())
     assert entry.entry(spark).count() > 0
