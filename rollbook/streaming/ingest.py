@@ -19,6 +19,7 @@ from rollbook import schemas
 from rollbook.operators import columns, geocode, keyed, scan
 from rollbook.plans.registry import Registry
 from rollbook.sources.paths import folder_names, is_complete
+from rollbook.streaming.runs import miss_run_stream
 
 BatchHook = Callable[[DataFrame, int], None]
 
@@ -40,13 +41,17 @@ def run_available(
 
 
 def ingest_outcomes(
-    outcomes: DataFrame, log_base: str, checkpoint: str, on_hit: BatchHook | None = None
+    outcomes: DataFrame, log_base: str, checkpoint: str, on_hit: BatchHook | None = None, miss_limit: int | None = None
 ) -> StreamingQuery:
     """Per micro-batch: raw backup, then status changes, then raw rows.
 
     ``outcomes`` is a stream of ``brn, status, queried_at, batch_id`` and the record fields. Rows
-    still pending reach only the backup. ``on_hit`` is called with the hit rows of each batch.
+    still pending reach only the backup. ``on_hit`` is called with the hit rows of each batch. With
+    ``miss_limit`` a batch ends at the row where its run of misses reaches it (``outcomes`` then has a
+    position ``seq``): what lands after that is not recorded.
     """
+    if miss_limit is not None:
+        outcomes = miss_run_stream(outcomes, miss_limit)
 
     def land(batch: DataFrame, epoch: int) -> None:
         backup = _epoch_path(log_base, "backup", epoch)
@@ -137,3 +142,52 @@ def geocode_stream(
         built.write.mode("overwrite").parquet(_epoch_path(log_base, "master", epoch))
 
     return run_available(raw, land, checkpoint)
+
+
+def late_geocode_stream(
+    raw: DataFrame,
+    answers: DataFrame,
+    log_base: str,
+    checkpoint: str,
+    wait: str = "1 hour",
+    keep: str = "1 hour",
+    delay: str = "10 minutes",
+    **cleaning,
+) -> StreamingQuery:
+    """Raw rows joined with geocoder answers that land before or after them, as two streams.
+
+    ``answers`` has ``address_hash, als_json, answered_at``. A row takes the answers of its address given up
+    to ``wait`` after its ``fetched_at`` or up to ``keep`` before it; both streams may be ``delay`` out of order.
+    Once no such answer can come any more, a row without one goes to the ``pending`` log; rows with one go to
+    the ``master`` log, stamped with the time of the answer, so that ``fold`` keeps the latest. Rows and answers
+    behind the watermark are in neither; ``unanswered`` finds such rows, and those that still wait, again.
+    """
+    rows = geocode.with_clean_address(raw, **cleaning).withWatermark("fetched_at", delay)
+    told = answers.select(F.col("address_hash").alias("answer_hash"), "als_json", "answered_at").withWatermark("answered_at", delay)
+    near = (
+        (F.col("address_hash") == F.col("answer_hash"))
+        & (F.col("answered_at") >= F.col("fetched_at") - F.expr(f"INTERVAL {keep}"))
+        & (F.col("answered_at") <= F.col("fetched_at") + F.expr(f"INTERVAL {wait}"))
+    )
+    joined = rows.join(told, near, "left_outer")
+    fields = [f.name for f in schemas.COMPANIES_RAW.fields]
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        place = _epoch_path(log_base, "joined", epoch)
+        batch.write.mode("overwrite").parquet(place)
+        landed = batch.sparkSession.read.schema(batch.schema).parquet(place)
+        answered = geocode.parse_answers(landed.where(F.col("answer_hash").isNotNull()))
+        reviewed = answered.withColumn("manual_review", geocode.needs_review(F.col("score")))
+        built = geocode.build_master(reviewed, F.col("answered_at"))
+        built.write.mode("overwrite").parquet(_epoch_path(log_base, "master", epoch))
+        waiting = landed.where(F.col("answer_hash").isNull()).select(*fields)
+        waiting.write.mode("overwrite").parquet(_epoch_path(log_base, "pending", epoch))
+
+    return run_available(joined, land, checkpoint)
+
+
+def unanswered(raw: DataFrame, log_base: str) -> DataFrame:
+    """Rows of ``raw`` no landed master row exists for: those without an answer in time, those that still wait
+    and those too late for the stream. They are what ``geocode_pending`` works off."""
+    built = landed_log(raw.sparkSession, log_base, "master", schemas.MASTER)
+    return keyed.without_keys(raw, built, "cr_no")

@@ -14,6 +14,7 @@ from rollbook.plans import registry as flows
 from rollbook.session import scratch_dir
 from rollbook.sources import landed
 from rollbook.streaming import ingest
+from rollbook.streaming.runs import miss_run_stream
 from suite.address import RUN_TS, clean_sql
 from suite.inputs import frame
 from suite.registry import query
@@ -158,6 +159,63 @@ def _landed(df, spark, name, files=4):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(folder)
 
 
+def _in_order(df, spark, name, column, parts=4):
+    """The frame as files of a stream source that land one after the other, ranges of ``column`` in order; a
+    step lands the files of one half (0 or 1) and gives the stream."""
+    folder = scratch_dir(spark, name) + "/in"
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    number = F.floor((F.col(column) - F.lit(low)) * F.lit(parts) / (high - low + 1))
+
+    def land(half):
+        for part in range(half * parts // 2, (half + 1) * parts // 2):
+            df.where(number == part).coalesce(1).write.mode("append").parquet(folder)
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+    return land
+
+
+def _runs_of_stream(spark, sf):
+    """Outcomes counted by a query that ends half way and goes on from its checkpoint."""
+    land, base = _in_order(frame(spark, sf, "outcomes"), spark, "runs", "seq"), scratch_dir(spark, "runs-out")
+    for half in (0, 1):
+        counted = miss_run_stream(land(half), MISS_LIMIT)
+        (
+            counted.writeStream.format("parquet").option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        )
+    return spark.read.schema(counted.schema).parquet(f"{base}/out")
+
+
+@query(f"WITH {_RUNS} SELECT * FROM counted")
+def stream_miss_runs(spark, sf):
+    return _runs_of_stream(spark, sf).drop("queried_at")
+
+
+@query(f"WITH {_RUNS} SELECT * FROM stats")
+def stream_batch_stats(spark, sf):
+    return scan.batch_stats(_runs_of_stream(spark, sf))
+
+
+@query(
+    f"""WITH {_RUNS} SELECT o.brn, coalesce(c.status, 'pending') AS status, c.batch_id FROM {{outcomes}} o
+LEFT JOIN (SELECT * FROM counted WHERE status <> 'pending') c ON c.brn = o.brn"""
+)
+def stream_scan_queue(spark, sf):
+    """The queue after a streamed scan whose batches stop at the miss limit: what came later stays pending."""
+    rows = frame(spark, sf, "outcomes").withColumn("queried_at", F.col("queried_at").cast("timestamp"))
+    land, base = _in_order(rows, spark, "scan-stream", "seq"), scratch_dir(spark, "scan-out")
+    reg = flows.Registry.at(spark, base)
+    reg.queue.write(scan.enqueue(reg.queue.read(), rows))
+    hits = []
+    for half in (0, 1):
+        ingest.ingest_outcomes(
+            land(half), f"{base}/log", f"{base}/checkpoint", lambda df, epoch: hits.append(epoch), miss_limit=MISS_LIMIT
+        ).awaitTermination()
+        ingest.fold(reg, f"{base}/log")
+    assert hits == sorted(set(hits))
+    return reg.queue.read().select("brn", "status", "batch_id")
+
+
 def _stream_ingest(spark, sf):
     rows = frame(spark, sf, "outcomes").select(
         F.expr("lpad(CAST(seq div 25 AS STRING), 8, '0')").alias("brn"), "status",
@@ -243,3 +301,46 @@ def stream_master(spark, sf):
     ingest.fold(reg, log)
     ingest.fold(reg, log)
     return reg.master.read().select(*_SHOWN)
+
+
+# Row k is fetched k seconds after the start; an answer comes 200 to 800 seconds after its address was first met
+# (hex digits of the hash), or 1000 before. Answers count from 300 seconds before a row to 500 after it.
+_LATE = """cleaned AS (SELECT *, nullif(sha1(address_clean), sha1('')) AS address_hash, CAST(cr_no AS BIGINT) AS second
+    FROM (SELECT *, {clean} AS address_clean FROM {{companies}}) c),
+answered AS (SELECT address_hash, min(second) + CASE WHEN substr(address_hash, 4, 1) = '7' THEN -1000 ELSE 200 + 100 * (ascii(substr(address_hash, 4, 1)) % 7) END AS told
+    FROM cleaned WHERE substr(address_hash, 1, 1) <= '9' GROUP BY address_hash)""".format(clean=clean_sql("address_raw"))
+
+
+def _late_rows(spark, sf):
+    second = lambda n: (F.lit(RUN_TS).cast("timestamp").cast("long") + n).cast("timestamp")
+    rows = frame(spark, sf, "companies").withColumn("at", F.col("cr_no").cast("bigint"))
+    rows = rows.withColumn("fetched_at", second(F.col("at")))
+    met = rows.withColumn("address_hash", text_hash(clean_address(F.col("address_raw")))).groupBy("address_hash").agg(F.min("at").alias("met"))
+    digit = F.substring("address_hash", 4, 1)
+    later = F.when(digit == "7", -1000).otherwise(200 + 100 * (F.ascii(digit) % 7))
+    told = _answers(rows).join(met, "address_hash").withColumn("told", F.col("met") + later)
+    return rows, told.withColumn("answered_at", second(F.col("told"))).drop("met")
+
+
+@query(
+    f"""WITH {_LATE}
+SELECT c.cr_no, CASE WHEN a.told IS NOT NULL THEN 'G' || substr(c.address_hash, 1, 6) END AS geo_address,
+  CASE WHEN a.told IS NOT NULL THEN CAST(ascii(substr(c.address_hash, 2, 1)) AS DOUBLE) END AS confidence, a.told IS NULL AS pending
+FROM cleaned c LEFT JOIN answered a ON a.address_hash = c.address_hash AND a.told BETWEEN c.second - 300 AND c.second + 500"""
+)
+def stream_late_answers(spark, sf):
+    """Rows and answers as two streams, ended half way and resumed; rows without an answer in time are pending."""
+    rows, told = _late_rows(spark, sf)
+    land_rows, land_answers = _in_order(rows, spark, "late-rows", "at"), _in_order(told, spark, "late-answers", "told")
+    base = scratch_dir(spark, "late")
+    reg, log = flows.Registry.at(spark, base), f"{base}/log"
+    for half in (0, 1):
+        raw, answers = land_rows(half), land_answers(half)
+        query_ = ingest.late_geocode_stream(
+            raw.drop("at"), answers.drop("told"), log, f"{base}/checkpoint", wait="500 seconds", keep="300 seconds", delay="100000 seconds"
+        )
+        query_.awaitTermination()
+    ingest.fold(reg, log)
+    found = reg.master.read().select("cr_no", "geo_address", "confidence", F.lit(False).alias("pending"))
+    rest = ingest.unanswered(rows, log)
+    return found.unionByName(rest.select("cr_no", F.lit(None).cast("string").alias("geo_address"), F.lit(None).cast("double").alias("confidence"), F.lit(True).alias("pending")))
