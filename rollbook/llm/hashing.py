@@ -46,11 +46,11 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data[:0], offsets.astype(np.int64) - int(offsets[0])
 
 
-def blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most BLOCK_BYTES, or of one row."""
+def blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes, or of one row."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + BLOCK_BYTES, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1
         hi = min(max(hi, lo + 1), n)
         yield lo, hi
         lo = hi

@@ -9,16 +9,17 @@ of the best piece first, on the same edges.
 
 from __future__ import annotations
 
-import re
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from rollbook.llm.common import let, text_or_empty, written
+from rollbook.llm.hashing import blocks, column_bytes
 
 SPACE = "▁"
 #: Cut before a run of spaces and around line ends; no piece has a space after another character.
@@ -30,8 +31,8 @@ MOST_FOLDED = 60
 BROADCAST_SEGMENTS = 300_000
 #: Rare segments whose encodings a task remembers.
 CACHE = 50_000
-#: Texts that a task encodes or decodes at once.
-SLICE = 500
+#: Bytes of text that a task encodes at once.
+SLICE_BYTES = 1 << 22
 _TOP_COUNT = 4096
 LOW = -1e9
 
@@ -242,19 +243,28 @@ def with_decoded(coded: DataFrame, pieces: DataFrame, model: dict, name: str, st
     table = {r["id"]: r["piece"].replace(SPACE, " ").encode() for r in pieces.select("id", "piece").collect()}
     if model["byte_base"] is not None:
         table |= {model["byte_base"] + b: bytes([b]) for b in range(256)}
-    shared = coded.sparkSession.sparkContext.broadcast(table)
+    # By id; the last one stands for ids that the model has not.
+    n = max(table, default=-1) + 1
+    shared = coded.sparkSession.sparkContext.broadcast([table.get(i, b"") for i in range(n)] + [b""])
     place = coded.columns.index("ids")
 
     def put(batches):
-        bytes_of = shared.value
+        pieces_by_id = pa.array(shared.value, pa.binary())
         for whole in batches:
-            for lo in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(lo, SLICE)
-                texts = []
-                for ids in batch.column(place):
-                    raw = b"".join([bytes_of.get(i, b"") for i in ids.as_py() or ()])
-                    texts.append((raw[1:] if strip and raw[:1] == b" " else raw).decode(errors="replace"))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name])
+            lists = whole.column(place)
+            size = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
+            for lo, hi in blocks(np.concatenate([[0], np.cumsum(size, dtype=np.int64)]) * 4):
+                batch = whole.slice(lo, hi - lo)
+                part = batch.column(place)
+                ids = part.flatten().fill_null(n).to_numpy(zero_copy_only=False)  # null lists have no ids
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+                found = pieces_by_id.take(pa.array(np.where((ids >= 0) & (ids < n), ids, n)))
+                cuts = np.frombuffer(found.buffers()[1], np.int32)[: len(found) + 1]
+                raw = found.buffers()[2].to_pybytes() if len(found) and cuts[-1] else b""
+                at = np.concatenate([[0], cuts[ends] if len(found) else np.zeros(len(ends), np.int64)]).tolist()
+                texts = [raw[a + 1 : b] if strip and raw[a : min(a + 1, b)] == b" " else raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+                texts = pa.array([t.decode(errors="replace") for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
 
     return coded.mapInArrow(put, StructType([*coded.schema.fields, StructField(name, StringType())]))
 
@@ -264,6 +274,29 @@ def decode(coded: DataFrame, pieces: DataFrame, model: dict, key: str, strip: bo
     return with_decoded(coded.select(key, "ids"), pieces, model, "text", strip)
 
 
+def _cut(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The segments of a block of texts, spaces as such, in a row; and where those of each text end. A space is
+    put before every text that has a character. New segments begin at a run of spaces, at a run of line ends
+    and after one (SEGMENT)."""
+    if pc.any(pc.match_substring(texts, SPACE)).as_py():
+        texts = pc.replace_substring(texts, SPACE, " ")
+    data, offsets = column_bytes(texts)
+    filled = np.diff(offsets) > 0
+    shift = np.cumsum(filled)
+    starts = offsets[:-1] + shift - filled  # where texts begin, with the spaces before them
+    given = np.ones(len(data) + int(shift[-1]) if len(shift) else 0, bool)
+    given[starts[filled]] = False
+    out = np.full(len(given), 32, np.uint8)
+    out[given] = data
+    blank, line = out == 32, out == 10
+    new = ~given
+    new[1:] |= (blank[1:] & ~blank[:-1]) | (line[1:] & ~line[:-1]) | (line[:-1] & ~blank[1:] & ~line[1:])
+    begins = np.flatnonzero(new)
+    cuts = np.append(begins, len(out)).astype(np.int32)
+    column = pa.StringArray.from_buffers(len(begins), pa.py_buffer(cuts), pa.py_buffer(out))
+    return column.dictionary_encode(), np.searchsorted(begins, np.append(starts[1:], len(out)))
+
+
 def _floor_of_frequent(words: DataFrame) -> int:
     """The least ``n`` that at most BROADCAST_SEGMENTS rows of ``words`` reach."""
     # Frequencies beyond _TOP_COUNT by powers of two: a few thousand rows at most.
@@ -300,24 +333,43 @@ def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "
 
     def put(batches):
         coded, ranks, ids, about = shared.value
-        known = dict(zip(coded.column("segment").to_pylist(), coded.column("ids").to_pylist(), strict=True))
+        lists = coded.column("ids").combine_chunks()
+        usual = {s.replace(SPACE, " "): i for i, s in enumerate(coded.column("segment").to_pylist())}
+        flat, cuts = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
         rare: dict[str, list[int]] = {}
-        pattern = re.compile(SEGMENT)
+
+        def merged(s: str) -> list[int]:
+            of = rare.get(s)
+            if of is None:
+                if len(rare) >= CACHE:
+                    rare.clear()
+                of = rare[s] = merge_long(s.replace(" ", SPACE), ranks, ids, about)
+            return of
+
         for whole in batches:
-            for lo in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(lo, SLICE)
-                flat, ends = array("i"), [0]
-                for text in batch.column(place).to_pylist():
-                    for s in pattern.findall(SPACE + text.replace(" ", SPACE)) if text else ():
-                        of = known.get(s) or rare.get(s)
-                        if of is None:
-                            if len(rare) >= CACHE:
-                                rare.clear()
-                            of = rare[s] = merge_long(s, ranks, ids, about)
-                        flat.extend(of)
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "ids"])
+            texts = whole.column(place)
+            _, offsets = column_bytes(texts)
+            for lo, hi in blocks(offsets, SLICE_BYTES):
+                segment, ends = _cut(texts.slice(lo, hi - lo))
+                # A segment is looked up once a block, its ids are dealt to all its places.
+                names = segment.dictionary.to_pylist()
+                number = np.array([usual.get(s, -1) for s in names], np.int64)
+                others = [merged(names[i]) for i in np.flatnonzero(number < 0)]
+                size = np.zeros(len(number), np.int64)
+                size[number < 0] = [len(o) for o in others]
+                size[number >= 0] = np.diff(cuts)[number[number >= 0]]
+                begin = np.zeros(len(number), np.int64)
+                begin[number >= 0] = cuts[number[number >= 0]]
+                begin[number < 0] = len(flat) + np.cumsum(size[number < 0]) - size[number < 0]
+                every = np.concatenate([flat, np.fromiter(chain.from_iterable(others), np.int32)])
+                at = segment.indices.to_numpy()
+                n, start = size[at], begin[at]
+                upto = np.cumsum(n)
+                values = every[np.repeat(start - (upto - n), n) + np.arange(int(upto[-1]) if len(upto) else 0)]
+                stops = np.concatenate([[0], upto])[np.concatenate([[0], ends])]
+                batch = whole.slice(lo, hi - lo)
+                coded_texts = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(values, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, coded_texts], [*batch.schema.names, "ids"])
 
     given = docs.select(*kept)
     return given.mapInArrow(put, StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
@@ -346,70 +398,3 @@ def _encode_joined(docs: DataFrame, pieces: DataFrame, model: dict, text_column:
     return named.join(whole.withColumnRenamed("th", "ids_of"), F.col("ids_th") == F.col("ids_of"), "left").select(
         *kept, F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
     )
-
-
-def token_digests(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
-    """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_segments, n_tokens, ids_sum, exact``.
-
-    ``ids_sum`` is the sum over segments of a 40-bit hash of place and ids; ``exact`` tells whether decoding
-    gives the text back. The most frequent segments go through the lattice once and are broadcast; byte-pair
-    models merge the others in the task that holds them, which spares a shuffle of their every occurrence
-    (unigram models send them through the lattice and a join). Sums need no order, so a text's segments
-    shrink to a row before they are shuffled. Repeated rows (one doc_id and text) are counted together and
-    given back one by one. Null and empty texts have no tokens.
-    """
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    placed = docs.select("doc_id", "th", F.posexplode_outer(segments(F.col("text"))).alias("place", "segment"))
-    words = placed.filter("segment IS NOT NULL").groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
-    words = written(words, "pieces-segments", compression="zstd")
-    floor = _floor_of_frequent(words)
-    back = docs.sparkSession.sparkContext.broadcast({r["id"]: r["piece"] for r in pieces.select("id", "piece").collect()})
-    base = model["byte_base"]
-
-    def told(rows: DataFrame) -> DataFrame:
-        """``ids`` (last but one column: ``segment``) as count, hash, and whether they decode."""
-        kept = [c for c in rows.columns if c not in ("segment", "ids")]
-        fields = [rows.schema[c] for c in (*kept, "segment", "ids")]
-
-        def check(batches):
-            table = {i: p.replace(SPACE, " ").encode() for i, p in back.value.items()}
-            if base is not None:
-                table |= {base + b: bytes([b]) for b in range(256)}
-            for batch in batches:
-                n = batch.num_columns
-                exact = [
-                    b"".join([table.get(i, b"") for i in ids]) == s.replace(SPACE, " ").encode()
-                    for s, ids in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(exact, pa.bool_())], [*batch.schema.names, "exact"])
-
-        checked = rows.select(*kept, "segment", "ids").mapInArrow(check, StructType([*fields, StructField("exact", BooleanType())]))
-        return checked.select(*kept, "segment", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "exact")
-
-    often = written(told(encode_segments(words.filter(F.col("n") >= floor).select("segment"), pieces, model)), "pieces-often")
-    often = F.broadcast(often)  # BROADCAST_SEGMENTS rows at most
-
-    def summed(rows: DataFrame) -> DataFrame:
-        h = F.pmod(F.xxhash64("place", "ids_hash"), F.lit(1 << 40))
-        return rows.groupBy("doc_id", "th").agg(
-            F.sum(F.when(F.coalesce("place", F.lit(0)) == 0, 1).otherwise(0)).alias("copies"),
-            F.count("segment").alias("n_segments"),
-            F.coalesce(F.sum("n_ids"), F.lit(0)).alias("n_tokens"),
-            F.coalesce(F.sum(h), F.lit(0)).alias("ids_sum"),
-            F.coalesce(F.min("exact"), F.lit(True)).alias("exact"),
-        )
-
-    frequent = summed(placed.join(often, "segment", "left").filter("segment IS NULL OR n_ids IS NOT NULL"))
-    rare = placed.join(often.select("segment"), "segment", "left_anti").filter("segment IS NOT NULL").select("doc_id", "th", "place", "segment")
-    if model["kind"] == "bpe":
-        rare = told(merge_segments(rare, pieces, model))
-    else:
-        rare = rare.join(told(encode_segments(words.filter(F.col("n") < floor).select("segment"), pieces, model)), "segment")
-    every = frequent.unionByName(summed(rare)).groupBy("doc_id", "th").agg(
-        *[F.sum(c).alias(c) for c in ("copies", "n_segments", "n_tokens", "ids_sum")], F.min("exact").alias("exact")
-    )
-    part = lambda c: F.floor(F.col(c) / F.col("copies")).cast("long").alias(c)
-    return every.select(
-        "doc_id", part("n_segments"), part("n_tokens"), F.floor(F.col("ids_sum").cast("decimal(38,0)") / F.col("copies")).cast("long").alias("ids_sum"), "exact",
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")

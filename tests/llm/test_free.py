@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -240,16 +241,36 @@ def test_ids_equal_the_library_and_decode(spark):
     assert back == {i: (t or "").replace("▁", " ") for i, t in enumerate(texts)}
 
 
-def test_digests_count_every_row(spark, monkeypatch):
+def test_ids_by_lattice_or_merges_and_in_small_blocks(spark, monkeypatch):
     lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=TOKENIZER)
     pieces, model = sentencepiece.piece_table(spark, TOKENIZER)
     rows = list(enumerate(TEXTS)) + [(0, "a b"), (7, None), (None, "a b")]
-    want = Counter((i, len(lib.encode(t or ""))) for i, t in rows)
-    for most in (150_000, 5):
+    want = Counter((i, *lib.encode(t or "")) for i, t in rows)
+    for most, size in ((150_000, 1 << 22), (5, 1 << 22), (5, 7)):
         monkeypatch.setattr(sentencepiece, "BROADCAST_SEGMENTS", most)
-        got = sentencepiece.token_digests(frame(spark, rows), pieces, model).collect()
-        assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == want and all(r["exact"] for r in got)
-    assert sentencepiece.token_digests(frame(spark, []), pieces, model).count() == 0
+        monkeypatch.setattr(sentencepiece, "SLICE_BYTES", size)
+        coded = sentencepiece.encode(frame(spark, rows), pieces, model)
+        assert Counter((r["doc_id"], *r["ids"]) for r in coded.collect()) == want
+        back = sentencepiece.with_decoded(coded, pieces, model, "back").collect()
+        assert all(r["back"] == (r["text"] or "").replace("▁", " ") for r in back)
+    assert sentencepiece.encode(frame(spark, []), pieces, model).count() == 0
+
+
+def test_segments_cut_in_tasks_are_those_of_the_expression(spark):
+    rng = random.Random(9)
+    texts = TEXTS + ["".join(rng.choice("a é\n▁日") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    want = [r[0] for r in frame(spark, list(enumerate(texts))).orderBy("doc_id").select(sentencepiece.segments(F.col("text"))).collect()]
+    column, ends = sentencepiece._cut(pa.array(texts, pa.string()))
+    flat = [s.replace(" ", "▁") for s in column.to_pylist()]
+    starts = [0, *ends.tolist()]
+    assert [flat[x:y] for x, y in zip(starts, starts[1:], strict=False)] == want
+
+
+def test_decode_of_null_lists_and_unknown_ids(spark):
+    pieces, model = sentencepiece.piece_table(spark, TOKENIZER)
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [-5, 10**9]), (4, [300, 301])], "k int, ids array<int>")
+    got = {r["k"]: r["text"] for r in sentencepiece.decode(rows, pieces, model, "k").collect()}
+    assert got[1] == got[2] == got[3] == "" and got[4]
 
 
 def test_query_gives_ids_that_decode(spark, tmp_path):
