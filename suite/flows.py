@@ -337,7 +337,7 @@ def stream_late_answers(spark, sf):
     for half in (0, 1):
         raw, answers = land_rows(half), land_answers(half)
         query_ = ingest.late_geocode_stream(
-            raw.drop("at"), answers.drop("told"), log, f"{base}/checkpoint", wait="500 seconds", keep="300 seconds", delay="100000 seconds"
+            raw.drop("at"), answers.drop("told"), log, f"{base}/checkpoint", wait="500 seconds", keep="300 seconds", delay="60 seconds"
         )
         query_.awaitTermination()
     ingest.fold(reg, log)

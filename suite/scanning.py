@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rollbook.functions.keys import key_kind as kind_of
-from rollbook.operators import prefixes, scan
+from rollbook.operators import bitmaps, prefixes, scan
 from suite.inputs import frame
 from suite.registry import query
 
@@ -273,6 +273,39 @@ def first_by_key_with_parents(spark, sf):
     return scan.first_by_key(whole).select("cr_no", "name_en", "prefix")
 
 
+# --- the queue as bitmaps ---
+
+_QUEUED = """queued AS (SELECT brn, status FROM {queue} UNION ALL SELECT printf('%08d', k), 'pending' FROM
+(SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 501)) AS k FROM {orders}) r
+WHERE NOT EXISTS (SELECT 1 FROM {queue} q WHERE q.brn = printf('%08d', k)))"""
+_LATEST = "(SELECT brn, status FROM {outcomes} WHERE status <> 'pending')"
+
+
+def _bitmap_queue(spark, sf):
+    low, high = _key_bounds(spark, sf)
+    more = bitmaps.range_bits(spark, low, high)
+    return bitmaps.BitmapQueue.of(frame(spark, sf, "queue")).enqueue(more).enqueue(more)
+
+
+@query(f"WITH {_QUEUED} SELECT * FROM queued")
+def bitmap_enqueue(spark, sf):
+    return _bitmap_queue(spark, sf).rows()
+
+
+@query(
+    f"""WITH {_QUEUED} SELECT count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'hit') AS hit,
+count(*) FILTER (status = 'miss') AS miss FROM (SELECT q.brn, coalesce(o.status, q.status) AS status FROM queued q LEFT JOIN {_LATEST} o ON o.brn = q.brn) s"""
+)
+def bitmap_progress(spark, sf):
+    """Counts by status after the outcomes of a scan."""
+    return _bitmap_queue(spark, sf).apply(frame(spark, sf, "outcomes")).progress()
+
+
+@query(f"WITH {_QUEUED} SELECT brn FROM queued WHERE status = 'pending' ORDER BY brn LIMIT 2000")
+def bitmap_next_pending(spark, sf):
+    return _bitmap_queue(spark, sf).next_pending(2000)
+
+
 @query(
     "SELECT brn, CASE WHEN regexp_full_match(brn, '\\d+') THEN 'numeric' ELSE 'alpha' END AS kind FROM {queue}"
 )
