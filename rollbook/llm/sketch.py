@@ -15,6 +15,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.common import written
+
 LEAST_BITS, MOST_BITS = 20, 29
 CHUNK_BITS = 22
 #: Positions gathered by a task before they are given out.
@@ -47,7 +49,7 @@ def positions(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def shared_bits(
     docs: DataFrame, rows_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, levels: tuple[int, ...] = (2,)
-) -> list[np.ndarray]:
+) -> list[bytearray]:
     """For each level the packed bit table of positions that so many rows of ``docs`` hit (255 at most);
     ``rows_of`` gives the item hashes of each row of a batch. Levels after the first are few positions: their
     tables have a bit for eight of them, so three bits less."""
@@ -99,18 +101,20 @@ def shared_bits(
 
     parts = docs.mapInArrow(gather, _SCHEMA)
     n_parts = max(1, 1 << max(0, bits - CHUNK_BITS))
-    merged = parts.repartition(min(n_parts, 128), "chunk").mapInArrow(merge, "chunk int, bits binary")
+    merged = written(parts.repartition(min(n_parts, 128), "chunk").mapInArrow(merge, "chunk int, bits binary"), "bits", "uncompressed")
     width = (1 << min(CHUNK_BITS, bits)) // 8
     widths = [width // 8 if k else width for k in range(len(levels))]
-    out = [np.zeros((1 << bits) // 8 * w // width, np.uint8) for w in widths]
-    for row in merged.collect():  # at most 2 ** MOST_BITS bits a level in all
+    out = [bytearray((1 << bits) // 8 * w // width) for w in widths]
+    # At most 2 ** MOST_BITS bits a level in all; a few chunks at a time pass through the driver's JVM.
+    for row in merged.coalesce(16).toLocalIterator():
         at = 0
         for table, w in zip(out, widths, strict=True):
-            table[row["chunk"] * w : (row["chunk"] + 1) * w] = np.frombuffer(row["bits"], np.uint8, w, at)
+            table[row["chunk"] * w : (row["chunk"] + 1) * w] = row["bits"][at : at + w]
             at += w
     return out
 
 
-def is_shared(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+def is_shared(table: bytearray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    table = np.frombuffer(table, np.uint8)
     place = positions(hashes, bits)
     return (table[place >> np.uint32(3)] >> (np.uint8(7) - (place & np.uint32(7)).astype(np.uint8))) & np.uint8(1) == 1

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -32,6 +33,8 @@ MOST_BITS = 28
 SHARD_BYTES = 150_000
 #: Anchors that more rows have are hot: their pieces shrink to distinct ones before they meet.
 HOT_ROWS = 200
+#: Places of a form that meet its answer in one group.
+SALT_ROWS = 2000
 _U = np.uint64
 
 
@@ -65,10 +68,9 @@ def _row_anchors(window: int, run: int):
     return rows_of
 
 
-def _pieces(docs: DataFrame, window: int, run: int, tables: tuple, bits: int, hot: bool) -> DataFrame:
+def _pieces(docs: DataFrame, window: int, run: int, shared: Broadcast, bits: int, hot: bool) -> DataFrame:
     """``anchor, piece, doc_id, th, start``: maximal runs of windows with one anchor that may be shared; the
     words of a piece are joined by single spaces, ``start`` is its first word. Of hot anchors or the others."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def cut(batches):
         of_anchor, hot_anchor = shared.value
@@ -222,29 +224,33 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     documents by an aggregate, and the answers are joined back."""
     n_bytes = text_bytes(docs)
     bits = table_bits(n_bytes, per_byte=0.3, most=MOST_BITS)
-    tables = tuple(shared_bits(docs, _row_anchors(window, run), bits, (2, HOT_ROWS)))
+    tables = docs.sparkSession.sparkContext.broadcast(tuple(shared_bits(docs, _row_anchors(window, run), bits, (2, HOT_ROWS))))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(1 + n_bytes // SHARD_BYTES)).cast("int").alias("shard")
 
     def answer(part: pa.Table) -> pa.Table:
         keys, pieces, ids, ths, starts = (part.column(c).to_pylist() for c in ("anchor", "piece", "doc_id", "th", "start"))
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [])
         for first, doc, th, start in zip(_first_documents(keys, pieces, ids, window), ids, ths, starts, strict=True):
-            for at, n in _spans(first, doc):
-                for values, x in zip(out, (doc, th, start + at, n), strict=True):
+            spans = [{"at": start + at, "n": n} for at, n in _spans(first, doc)]
+            if spans:
+                for values, x in zip(out, (doc, th, spans), strict=True):
                     values.append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "th", "at", "n"])
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())])))
+        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "th", "spans"])
 
     # Within a shard half the anchor's bits tell anchors apart; should two share them, they share an automaton.
     usual = _pieces(docs, window, run, tables, bits, False).select(
         shard, F.shiftright("anchor", 32).cast("int").alias("anchor"), "doc_id", "th", "start", "piece"
     )
-    told = usual.groupBy("shard").applyInArrow(answer, "doc_id long, th long, at int, n int")
+    told = usual.groupBy("shard").applyInArrow(answer, "doc_id long, th long, spans array<struct<at: int, n: int>>")
 
     crowded = written(_pieces(docs, window, run, tables, bits, True).withColumn("form", F.xxhash64("piece")), "substring-hot", "zstd")
     # An anchor may have a form for every document, so they never meet in one task: the least document of a
     # window is an aggregate over the windows of all forms (equal windows have equal anchors).
-    distinct = written(crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id")), "substring-forms", "zstd")
+    distinct = written(
+        crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_places")),
+        "substring-forms", "zstd",
+    )
     in_form = lambda w: F.transform(
         F.sequence(F.lit(0), F.size(w) - window), lambda i: F.array_join(F.slice(w, i + 1, F.lit(window)), " ")
     )
@@ -258,16 +264,26 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
         .groupBy("anchor", "form").agg(F.sort_array(F.collect_list(F.struct("place", "least"))).alias("p"))
         .select("anchor", "form", F.transform("p", lambda x: x["least"]).alias("first"))
     )
-    found = crowded.select("anchor", "form", "doc_id", "th", "start").join(resolved, ["anchor", "form"])
-    # All windows of a piece at once where each begins earlier, else one by one.
-    span = lambda at, n: F.struct(at.cast("int").alias("at"), n.cast("int").alias("n"))
-    single = F.transform("first", lambda d, i: F.when(d < F.col("doc_id"), span(F.col("start") + i, F.lit(1))))
-    spans = F.when(F.array_max("first") < F.col("doc_id"), F.array(span(F.col("start"), F.size("first")))).otherwise(
-        F.filter(single, lambda x: x.isNotNull())
-    )
-    hot_spans = found.select("doc_id", "th", F.inline(spans))
+    # A form may stand in a third of all texts: its places are dealt over salts, its answer is repeated once a salt.
+    salts = distinct.groupBy("anchor", "form").agg((F.lit(1) + F.floor(F.sum("n_places") / SALT_ROWS)).cast("int").alias("n_salts"))
+    many = salts.filter("n_salts > 1")
+    repeated = resolved.join(many, ["anchor", "form"], "left").withColumn("n_salts", F.coalesce("n_salts", F.lit(1)))
+    repeated = repeated.select("anchor", "form", "first", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"))
+    # A form is frequent at SALT_ROWS places, so there are few such: less than the places over SALT_ROWS.
+    placed = crowded.select("anchor", "form", "doc_id", "th", "start").join(many, ["anchor", "form"], "left")
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.coalesce("n_salts", F.lit(1))).cast("int")
+    found = placed.withColumn("salt", salt).join(repeated, ["anchor", "form", "salt"])
+    # Runs of windows that begin earlier, from their first and last windows.
+    earlier = lambda i: F.coalesce(F.get("first", i) < F.col("doc_id"), F.lit(False))
+    places = F.sequence(F.lit(0), F.size("first") - 1)
+    begins = F.filter(places, lambda i: earlier(i) & ~earlier(i - 1))
+    ends = F.filter(places, lambda i: earlier(i) & ~earlier(i + 1))
+    spans = F.zip_with(begins, ends, lambda x, y: F.struct((F.col("start") + x).cast("int").alias("at"), (y - x + 1).cast("int").alias("n")))
+    hot_spans = found.select("doc_id", "th", spans.alias("spans")).filter(F.size("spans") > 0)
     every = told.unionByName(hot_spans).repartition("doc_id", "th")
-    return every.groupBy("doc_id", "th").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    out = written(every.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "substring-spans")
+    tables.destroy()
+    return out
 
 
 def without_repeats(
