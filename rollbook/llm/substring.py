@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -33,8 +33,8 @@ MOST_BITS = 28
 SHARD_BYTES = 150_000
 #: Anchors that more rows have are hot: their pieces shrink to distinct ones before they meet.
 HOT_ROWS = 200
-#: Places of a form that meet its answer in one group.
-SALT_ROWS = 2000
+#: Hot places to a salt: so many of one form at most, by a hash, meet its answer in one group.
+SALT_ROWS = 20_000
 _U = np.uint64
 
 
@@ -215,13 +215,8 @@ def _spans(first: list[int], doc: int) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
-    """``doc_id, th, spans``: (first window, number of windows) that an earlier document has too, of the rows
-    of ``docs`` (``doc_id, text, th``) that have any; ``th`` is a hash of the text.
-
-    Pieces go to the shard of their anchor as they are, and a shard tells each its spans. Hot anchors would
-    bring too many rows together: their pieces are made distinct first, the windows of those get their first
-    documents by an aggregate, and the answers are joined back."""
+def _found_spans(docs: DataFrame, window: int, run: int) -> tuple[DataFrame, Broadcast]:
+    """``repeated_spans`` before it is written, and the bit tables that it needs until then."""
     n_bytes = text_bytes(docs)
     bits = table_bits(n_bytes, per_byte=0.3, most=MOST_BITS)
     tables = docs.sparkSession.sparkContext.broadcast(tuple(shared_bits(docs, _row_anchors(window, run), bits, (2, HOT_ROWS))))
@@ -247,10 +242,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     crowded = written(_pieces(docs, window, run, tables, bits, True).withColumn("form", F.xxhash64("piece")), "substring-hot", "zstd")
     # An anchor may have a form for every document, so they never meet in one task: the least document of a
     # window is an aggregate over the windows of all forms (equal windows have equal anchors).
-    distinct = written(
-        crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_places")),
-        "substring-forms", "zstd",
-    )
+    distinct = written(crowded.groupBy("anchor", "form", "piece").agg(F.min("doc_id").alias("doc_id")), "substring-forms", "zstd")
     in_form = lambda w: F.transform(
         F.sequence(F.lit(0), F.size(w) - window), lambda i: F.array_join(F.slice(w, i + 1, F.lit(window)), " ")
     )
@@ -264,26 +256,35 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
         .groupBy("anchor", "form").agg(F.sort_array(F.collect_list(F.struct("place", "least"))).alias("p"))
         .select("anchor", "form", F.transform("p", lambda x: x["least"]).alias("first"))
     )
-    # A form may stand in a third of all texts: its places are dealt over salts, its answer is repeated once a salt.
-    salts = distinct.groupBy("anchor", "form").agg((F.lit(1) + F.floor(F.sum("n_places") / SALT_ROWS)).cast("int").alias("n_salts"))
-    many = salts.filter("n_salts > 1")
-    repeated = resolved.join(many, ["anchor", "form"], "left").withColumn("n_salts", F.coalesce("n_salts", F.lit(1)))
-    repeated = repeated.select("anchor", "form", "first", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"))
-    # A form is frequent at SALT_ROWS places, so there are few such: less than the places over SALT_ROWS.
-    placed = crowded.select("anchor", "form", "doc_id", "th", "start").join(many, ["anchor", "form"], "left")
-    salt = F.pmod(F.xxhash64("doc_id", "start"), F.coalesce("n_salts", F.lit(1))).cast("int")
-    found = placed.withColumn("salt", salt).join(repeated, ["anchor", "form", "salt"])
+    # A form may stand in a third of all texts: its places are dealt over salts, and each salt that has any gets
+    # the form's answer, which is given to them in a window.
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(1 + crowded.count() // SALT_ROWS)).alias("salt")
+    places = crowded.select("anchor", "form", salt, "doc_id", "th", "start")
+    given = resolved.join(places.select("anchor", "form", "salt").distinct(), ["anchor", "form"])
+    together = Window.partitionBy("anchor", "form", "salt")
+    found = places.unionByName(given, allowMissingColumns=True).withColumn("first", F.max("first").over(together)).filter("start IS NOT NULL")
     # Runs of windows that begin earlier, from their first and last windows.
     earlier = lambda i: F.coalesce(F.get("first", i) < F.col("doc_id"), F.lit(False))
-    places = F.sequence(F.lit(0), F.size("first") - 1)
-    begins = F.filter(places, lambda i: earlier(i) & ~earlier(i - 1))
-    ends = F.filter(places, lambda i: earlier(i) & ~earlier(i + 1))
+    every = F.sequence(F.lit(0), F.size("first") - 1)
+    begins = F.filter(every, lambda i: earlier(i) & ~earlier(i - 1))
+    ends = F.filter(every, lambda i: earlier(i) & ~earlier(i + 1))
     spans = F.zip_with(begins, ends, lambda x, y: F.struct((F.col("start") + x).cast("int").alias("at"), (y - x + 1).cast("int").alias("n")))
     hot_spans = found.select("doc_id", "th", spans.alias("spans")).filter(F.size("spans") > 0)
-    every = told.unionByName(hot_spans).repartition("doc_id", "th")
-    out = written(every.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "substring-spans")
+    whole = told.unionByName(hot_spans).repartition("doc_id", "th")
+    return whole.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), tables
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
+    """``doc_id, th, spans``: (first window, number of windows) that an earlier document has too, of the rows
+    of ``docs`` (``doc_id, text, th``) that have any; ``th`` is a hash of the text.
+
+    Pieces go to the shard of their anchor as they are, and a shard tells each its spans. Hot anchors would
+    bring too many rows together: their pieces are made distinct first, the windows of those get their first
+    documents by an aggregate, and the answers are joined back."""
+    found, tables = _found_spans(docs, window, run)
+    spans = written(found, "substring-spans")
     tables.destroy()
-    return out
+    return spans
 
 
 def without_repeats(

@@ -150,7 +150,7 @@ def test_forms_of_a_hot_anchor_meet_in_no_task(spark, monkeypatch):
     passage = " ".join(f"p{i}" for i in range(15))
     rows = [(i, " ".join(f"a{i}x{j}" for j in range(9)) + f" {passage} " + " ".join(f"b{i}x{j}" for j in range(9))) for i in range(30)]
     docs = frame(spark, rows).withColumn("th", F.xxhash64("text"))
-    spans = substring.repeated_spans(docs)
+    spans, _ = substring._found_spans(docs, substring.WINDOW, substring.RUN)
     # Only the pieces of usual anchors are handed to Python by group.
     assert spans._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow") == 1
     got = {r["doc_id"]: sum(s["n"] for s in r["spans"]) for r in spans.collect()}
