@@ -3,7 +3,8 @@
 A word's vector is the mean of the vectors of its character n-grams, so an unseen spelling shares the
 vectors of its parts. The vectors of a stretch of words are averaged and go into a linear softmax; both are
 trained jointly. Whole texts are cut into overlapping stretches and the highest score of a stretch is the
-text's, so that a few words count as much in a long text as in a short one.
+text's, so that a few words count as much in a long text as in a short one. The mean is over all words of a
+stretch; one that comes again within a half of it has no vector the second time.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rollbook.llm.common import text_or_empty
+from rollbook.llm.common import text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes, mixed, word_hashes
 
 #: Character n-grams of a word between its marks, and the rows of the embedding table.
@@ -26,9 +27,12 @@ BUCKETS = 1 << 17
 WIDTH = 4
 #: Words of half a stretch; a stretch is two halves, the next begins after one. A word counts once a half.
 HALF = 20
-#: Labelled rows of each class that the model is fitted on, and words read of each of them at most.
+#: A stretch's mean counts so many times in the logit: what its words would add if it were full.
+FULL = 2.0 * HALF
+#: Labelled rows of each class that the model is fitted on, their whole texts.
 MOST_ROWS = 1500
-MOST_WORDS = 400
+#: A clean stretch counts as so many toxic ones.
+CLEAN = 4
 EPOCHS = 30
 THRESHOLD = 0.3
 
@@ -62,11 +66,12 @@ def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
 def cells(hashes: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Half stretches: which words count (each once per half stretch), the half stretch of every word, and
-    the first half stretch of every row (one more at the end). Each row has at least one."""
-    n = np.maximum(1, -(-np.diff(row_starts) // HALF))
+    the first half stretch of every row (one more at the end). Each row has at least one; words that fill no
+    half are in the last one."""
+    n = np.maximum(1, np.diff(row_starts) // HALF)
     first = np.append(0, np.cumsum(n))
     row = np.repeat(np.arange(len(n)), np.diff(row_starts))
-    cell = first[row] + (np.arange(len(hashes)) - row_starts[row]) // HALF
+    cell = first[row] + np.minimum((np.arange(len(hashes)) - row_starts[row]) // HALF, n[row] - 1)
     order = np.lexsort((hashes, cell))
     new = np.ones(len(order), bool)
     new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (cell[order][1:] != cell[order][:-1])
@@ -100,22 +105,17 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
     data, offsets = column_bytes(column)
     h, starts, ends, at = word_hashes(data, offsets)
     del texts
-    # Words beyond the first MOST_WORDS of a text are left out of the sample.
-    row = np.repeat(np.arange(n_docs), np.diff(at))
-    near = np.arange(len(h)) - at[row] < MOST_WORDS
-    h, starts, ends, row = h[near], starts[near], ends[near], row[near]
-    at = np.searchsorted(row, np.arange(n_docs + 1))
     counts, cell, first = cells(h, at)
     _, index, cell_word = np.unique(h[counts], return_index=True, return_inverse=True)
     gram, gram_word = word_grams(data, starts[counts][index], ends[counts][index])
-    cell_stretch = cell[counts]
+    cell_stretch, in_half = cell[counts], np.bincount(cell, minlength=int(first[-1]))
     n_words, n_stretch = len(index), int(first[-1])
     doc_of = np.repeat(np.arange(n_docs), np.diff(first))
     used, gram = np.unique(gram, return_inverse=True)
     # The arrays below are the bulk of what training holds: four bytes each.
     gram, gram_word = gram.astype(np.int32), gram_word.astype(np.int32)
     cell_word, cell_stretch = cell_word.astype(np.int32), cell_stretch.astype(np.int32)
-    del data, offsets, h, starts, ends, row, near, counts, cell, column
+    del data, offsets, h, starts, ends, counts, cell, column
     per_word = np.maximum(np.bincount(gram_word, minlength=n_words), 1).astype(np.float32)[:, None]
     to_word, to_gram = _Sum(gram_word, n_words), _Sum(gram, len(used))
     to_stretch, back = _Sum(cell_stretch, n_stretch), _Sum(cell_word, n_words)
@@ -124,6 +124,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
     # Two classes: the difference of the two rows of the softmax is what counts.
     weight, bias = (rng.standard_normal(WIDTH) * 0.5).astype(np.float32), np.float32(-2.0)
     inner = np.append(doc_of[1:] == doc_of[:-1], False).astype(np.float32)[:, None]
+    in_stretch = in_half + np.append(in_half[1:], 0) * inner[:, 0]
+    scale = (FULL / np.maximum(in_stretch, 1)).astype(np.float32)[:, None]
     toxic = labels[doc_of].astype(np.float32)
     n_of = np.maximum(np.bincount(doc_of, minlength=n_docs), 1)
     share = (1.0 / n_of)[doc_of].astype(np.float32)
@@ -133,19 +135,19 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
         half = to_stretch(word[cell_word])
         # A stretch is a half and the one after it in the same text.
         follow = np.append(half[1:], np.zeros((1, WIDTH), np.float32), axis=0) * inner
-        mean = half + follow
+        mean = (half + follow) * scale
         logit = mean @ weight + bias
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        use = np.where(toxic > 0, share, 2 * np.maximum(share, 0.2))
+        use = np.where(toxic > 0, share, CLEAN * np.maximum(share, 0.2))
         if epoch > epochs // 3:
             best = np.zeros(n_stretch, np.float32)
             order = np.lexsort((-logit, doc_of))
             top = order[np.append(True, doc_of[order][1:] != doc_of[order][:-1])] if n_stretch else order
             best[top] = 1
-            use = np.where(toxic > 0, best, 2 * np.maximum(share, best))
+            use = np.where(toxic > 0, best, CLEAN * np.maximum(share, best))
         wrong = (use * (p - toxic) / n_docs).astype(np.float32)
         g_weight = np.append(mean.T @ wrong, wrong.sum())
-        g_mean = wrong[:, None] * weight
+        g_mean = wrong[:, None] * weight * scale
         g_mean[1:] += (g_mean * inner)[:-1]
         g_word = back(g_mean[cell_stretch]) / per_word
         g_table = to_gram(g_word[gram_word]) + 1e-7 * table
@@ -178,8 +180,11 @@ def scores(model: dict, column: pa.Array) -> np.ndarray:
         n_words = len(index)
         each = np.bincount(gram_word, adds[gram], n_words) / np.maximum(np.bincount(gram_word, minlength=n_words), 1)
         half = np.bincount(cell[counts], each[word], int(first[-1]))
-        stretch = half + np.append(half[1:], 0.0) * np.append(np.diff(np.repeat(np.arange(hi - lo), np.diff(first))) == 0, False)
-        out.append(np.maximum.reduceat(stretch, first[:-1]))
+        in_half = np.bincount(cell, minlength=int(first[-1]))
+        follows = np.append(np.diff(np.repeat(np.arange(hi - lo), np.diff(first))) == 0, False)
+        stretch = half + np.append(half[1:], 0.0) * follows
+        in_stretch = in_half + np.append(in_half[1:], 0) * follows
+        out.append(np.maximum.reduceat(stretch * FULL / np.maximum(in_stretch, 1), first[:-1]))
     logit = np.concatenate(out) if out else np.zeros(0)
     return 1 / (1 + np.exp(-np.clip(logit + model["bias"], -30, 30)))
 
@@ -194,10 +199,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, lab
         keys.append(of.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     chosen = keys[0].unionByName(keys[1]).groupBy("doc_id").agg(F.max("label").alias("label"))
     text = docs.select(F.col("doc_id").cast("long"), text_or_empty(F.col("text")).alias("text"))
-    # At most 2 * most keys of two numbers: small enough to broadcast. Long texts are cut as fit() reads them.
+    # At most 2 * most keys of two numbers: small enough to broadcast.
     joined = text.join(F.broadcast(chosen), "doc_id")
-    short = F.substring("text", 1, MOST_WORDS * 12)
-    return joined.groupBy("doc_id").agg(F.max(short).alias("text"), F.max("label").alias("label"))
+    return joined.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
 
 
 def held_out():
@@ -205,12 +209,25 @@ def held_out():
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> dict:
-    """Fit on the bounded training sample; without toxic or clean rows the model scores every text 0.05."""
-    rows = sorted(training_rows(docs, labels, most).collect(), key=lambda r: r["doc_id"])
-    target = np.array([r["label"] for r in rows])
-    if len(set(target.tolist())) < 2:
+    """Fit on the bounded training sample, in one task; without toxic or clean rows the model scores every
+    text 0.05. Only the model comes to the driver."""
+
+    def fitted(part: pa.Table) -> pa.Table:
+        rows = sorted(part.to_pylist(), key=lambda r: r["doc_id"])
+        target = np.array([r["label"] for r in rows])
+        if len(set(target.tolist())) < 2:
+            return part.select([]).slice(0, 0).append_column("model", pa.array([], pa.binary()))
+        model = fit([r["text"] for r in rows], target)
+        blob = model["table"].astype("<f4").tobytes() + np.append(model["weight"], model["bias"]).astype("<f4").tobytes()
+        return pa.table({"model": pa.array([blob], pa.binary())})
+
+    rows = training_rows(docs, labels, most).withColumn("all", F.lit(0))
+    found = written(rows.groupBy("all").applyInArrow(fitted, "model binary"), "toxicity-model").first()
+    if found is None:
         return {"table": np.zeros((BUCKETS, WIDTH), np.float32), "weight": np.zeros(WIDTH, np.float32), "bias": float(np.log(0.05 / 0.95))}
-    return fit([r["text"] for r in rows], target)
+    values = np.frombuffer(found["model"], "<f4")
+    table, rest = values[: BUCKETS * WIDTH].reshape(BUCKETS, WIDTH), values[BUCKETS * WIDTH :]
+    return {"table": table, "weight": rest[:WIDTH], "bias": float(rest[WIDTH])}
 
 
 def score(docs: DataFrame, model: dict, text_column: str = "text", name: str = "score") -> DataFrame:

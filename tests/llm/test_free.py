@@ -207,6 +207,38 @@ def test_unseen_spellings_are_caught(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_scores_are_those_of_plain_python():
+    """The highest mean over two halves of a text, each n-gram bag and mean spelled out."""
+    from rollbook.llm.hashing import mixed
+
+    rng = np.random.default_rng(3)
+    model = {"adds": rng.standard_normal(toxicity.BUCKETS), "bias": -0.4}
+
+    def word_logit(w):
+        line, found = [ord("<"), *w.encode(), ord(">")], []
+        for n in toxicity.GRAMS:
+            for k in range(len(line) - n + 1):
+                v = 0
+                for c in line[k : k + n]:
+                    v = (v * 257 + c) % 2**64
+                found.append(int(mixed(np.array([(v * 8 + n) % 2**64], np.uint64))[0]) % toxicity.BUCKETS)
+        return sum(model["adds"][g] for g in found) / max(1, len(found))
+
+    def plain(text):
+        w = text.split()
+        n = max(1, len(w) // toxicity.HALF)
+        halves = [w[k * toxicity.HALF : (k + 1) * toxicity.HALF if k < n - 1 else None] for k in range(n)]
+        adds = [sum(word_logit(x) for x in set(h)) for h in halves]
+        best = max(
+            (adds[k] + (adds[k + 1] if k + 1 < n else 0)) * toxicity.FULL / max(1, len(halves[k]) + (len(halves[k + 1]) if k + 1 < n else 0))
+            for k in range(n)
+        )
+        return 1 / (1 + np.exp(-np.clip(best + model["bias"], -30, 30)))
+
+    texts = ["", "a", "bad bad", " ".join(f"w{k % 17}é" for k in range(39)), " ".join(f"x{k}" for k in range(40)), " ".join(f"y{k % 50}" for k in range(131))]
+    assert toxicity.scores(model, pa.array(texts)) == pytest.approx([plain(t) for t in texts], rel=1e-9)
+
+
 def test_held_out_rows_are_never_trained_on(spark):
     import zlib
 
