@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import groupby
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,136 +10,31 @@ from rollbook.functions import fixed_values as fv
 from rollbook.functions.keys import full_name
 from rollbook.operators.columns import conform
 from rollbook.operators.keyed import update_by_key
-from rollbook.sources.rules import collect_rules
+from rollbook.operators.matching import best_match
 
-# Beyond this many keywords rules stay data and are joined instead of compiled; the result is the same.
-MAX_COMPILED_KEYWORDS = 1_000
 # Section tables of up to this many rows are broadcast.
 MAX_BROADCAST_SECTIONS = 10_000
 
-_MATCH = "struct<section: string, keyword: string>"
-
-
-def _java_literal(text: str) -> str:
-    return "".join(c if c.isalnum() or ord(c) > 127 else "\\" + c for c in text)
-
-
-def _ordered(rules: DataFrame, limit: int) -> list | None:
-    rows = collect_rules(rules.where(F.col("keyword") != ""), limit)
-    return rows and sorted(rows, key=lambda r: (r["section_ord"], r["kw_ord"], r["keyword"]))
-
-
-def _pattern(keywords: list[str], word_boundary: bool, ignore_case: bool) -> str:
-    body = "|".join(map(_java_literal, keywords))
-    return ("(?iu)" if ignore_case else "") + (rf"(?U)\b(?:{body})\b" if word_boundary else body)
-
-
 def _if_any(value: Column) -> Column:
     """One element, or none for null. Exploding it keeps the rows with a value and computes the value
     once; a filter on it would be pushed down and compute it twice."""
     return F.array_compact(F.array(value))
 
 
-def section_of(name: Column, rules: list, word_boundary: bool = False, ignore_case: bool = False) -> Column:
-    """First section, in section order, one of whose keywords occurs in the name; else null.
-
-    One regular expression per section, in a CASE that stops at the first match.
-    """
-    out = F.lit(None).cast("string")
-    blocks = [(s, [r["keyword"] for r in rows]) for s, rows in groupby(rules, key=lambda r: r["section"])]
-    for section, keywords in reversed(blocks):
-        hit = name.rlike(_pattern(keywords, word_boundary, ignore_case))
-        out = F.when(hit, F.lit(section)).otherwise(out)
-    return out
-
-
-def match_of(
-    name: Column,
-    rules: list,
-    word_boundary: bool = False,
-    ignore_case: bool = False,
-    longest_match: bool = False,
-) -> Column:
-    """Section and keyword of the first match, or of the longest keyword that matches."""
-    ordered = sorted(rules, key=lambda r: len(r["keyword"]), reverse=True) if longest_match else rules
-
-    def hit(keyword: str) -> Column:
-        if word_boundary or ignore_case:
-            return name.rlike(_pattern([keyword], word_boundary, ignore_case))
-        return F.contains(name, F.lit(keyword))
-
-    candidates = [
-        F.when(hit(r["keyword"]), F.struct(F.lit(r["section"]).alias("section"), F.lit(r["keyword"]).alias("keyword")))
-        for r in ordered
-    ]
-    return F.coalesce(*candidates, F.lit(None).cast(_MATCH))
-
-
-def _quoted(keyword: Column) -> Column:
-    return F.concat(F.lit("\\Q"), F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-
-
-def name_matches(
-    names: DataFrame,
-    rules: DataFrame,
-    word_boundary: bool = False,
-    ignore_case: bool = False,
-    longest_match: bool = False,
-) -> DataFrame:
-    """Best match of each distinct ``name``, by an equality join: ``name, section, keyword``.
-
-    For rule tables of any size. Each name is cut into its distinct substrings of the lengths that
-    keywords have, and these are joined to the keywords, so nothing but real matches is paired; whether
-    one stands at word borders is looked at afterwards, on the pairs.
-    """
-    usable = rules.where(F.col("keyword") != "").withColumn("part", F.lower("keyword") if ignore_case else F.col("keyword"))
-    lengths = sorted(r[0] for r in usable.select(F.length("part")).distinct().collect())
-    text = F.lower("name") if ignore_case else F.col("name")
-    parts = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)) for n in lengths]
-    pieces = F.array_distinct(F.concat(*parts)) if parts else F.array().cast("array<string>")
-    pairs = names.select("name").distinct().select("name", F.explode(pieces).alias("part")).join(usable, "part")
-    if word_boundary:
-        flags = "(?iuU)" if ignore_case else "(?U)"
-        pairs = pairs.where(F.regexp("name", F.concat(F.lit(flags + "\\b(?:"), _quoted(F.col("keyword")), F.lit(")\\b"))))
-    rank = ["section_ord", "kw_ord", "keyword", "section"]
-    if longest_match:
-        rank = [(-F.length("keyword")).alias("shorter"), *rank]
-    return pairs.groupBy("name").agg(F.min(F.struct(*rank)).alias("m")).select("name", "m.section", "m.keyword")
-
-
-def _with_matches(names: DataFrame, rules: DataFrame, how: str, **options) -> DataFrame:
-    """``names`` with ``section, keyword`` of its matches, joined back on the full name."""
-    named = names.withColumn("_name", full_name(F.col("name_zh"), F.col("name_en")))
-    matches = name_matches(named.select(F.col("_name").alias("name")), rules, **options)
-    return named.join(matches.withColumnRenamed("name", "_name"), "_name", how).drop("_name")
-
-
-def keyword_matches(names: DataFrame, rules: DataFrame, key: str = "cr_no", **options) -> DataFrame:
-    """``key, section, keyword`` of every row that matches, by the join form."""
-    return _with_matches(names, rules, "inner", **options).select(key, "section", "keyword")
+def _matched(names: DataFrame, rules: DataFrame, **options) -> DataFrame:
+    """``names`` with ``_match``; the options are those of ``matching.best_match``."""
+    return names.withColumn("_match", best_match(full_name(F.col("name_zh"), F.col("name_en")), rules, **options))
 
 
 def tag_explain(names: DataFrame, rules: DataFrame, key: str = "cr_no", **options) -> DataFrame:
-    """``key, section, keyword`` of every row that matches; few rules compile, many are joined."""
-    compiled = _ordered(rules, MAX_COMPILED_KEYWORDS)
-    if compiled is None:
-        return keyword_matches(names, rules, key, **options)
-    match = match_of(full_name(F.col("name_zh"), F.col("name_en")), compiled, **options)
-    return names.select(key, F.inline(_if_any(match)))
+    """``key, section, keyword`` of every row that matches."""
+    found = _matched(names.select(key, "name_zh", "name_en"), rules, **options)
+    return found.select(key, F.inline(_if_any(F.col("_match")))).select(key, "section", "keyword")
 
 
-def with_keyword_section(
-    names: DataFrame, rules: DataFrame, key: str = "cr_no", longest_match: bool = False, **options
-) -> DataFrame:
+def with_keyword_section(names: DataFrame, rules: DataFrame, **options) -> DataFrame:
     """Adds ``section``, null where no keyword matches."""
-    compiled = _ordered(rules, MAX_COMPILED_KEYWORDS)
-    if compiled is None:
-        matched = _with_matches(names, rules, "left", longest_match=longest_match, **options)
-        return matched.select(*names.columns, "section")
-    name = full_name(F.col("name_zh"), F.col("name_en"))
-    if longest_match:
-        return names.withColumn("section", match_of(name, compiled, longest_match=True, **options)["section"])
-    return names.withColumn("section", section_of(name, compiled, **options))
+    return _matched(names, rules, **options).withColumn("section", F.col("_match.section")).drop("_match")
 
 
 def _small(sections: DataFrame) -> DataFrame:

@@ -83,8 +83,12 @@ def tag_explain(spark, sf):
 
 @query(_EXPLAINED)
 def tag_explain_join(spark, sf):
-    """The form for keyword tables of any size."""
-    return tagging.keyword_matches(frame(spark, sf, "names"), keywords(spark))
+    """With a keyword for every order besides, which no name holds."""
+    more = frame(spark, sf, "orders").select(
+        F.lit("Z").alias("section"), F.lit(99).alias("section_ord"), F.col("o_orderkey").cast("int").alias("kw_ord"),
+        F.format_string("Order %d Ltd", F.col("o_orderkey")).alias("keyword"),
+    )
+    return tagging.tag_explain(frame(spark, sf, "names"), keywords(spark).unionByName(more))
 
 
 _TWO_TIER = f"""usable AS (SELECT cr_no, max(upper(code)) AS label FROM {{tag_labels}} WHERE upper(code) BETWEEN 'A' AND 'S' AND length(code) = 1 GROUP BY cr_no),

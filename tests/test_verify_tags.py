@@ -1,10 +1,12 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.operators import reports, tagging, verify
+from rollbook.operators import matching, reports, tagging, verify
 from rollbook.sources import rules as rule_source
 from tests.conftest import as_set
 
@@ -75,16 +77,59 @@ def test_first_section_in_order(names, keywords):
     assert sections(tagging.with_keyword_section(names, keywords)) == {n[0]: n[3] for n in NAMES}
 
 
-def test_case_form_and_join_form_agree(names, keywords, monkeypatch):
-    compiled = as_set(tagging.tag_explain(names, keywords))
-    assert ("3", "J", "IT") in compiled and ("5", "F", "工程") in compiled
-    assert as_set(tagging.keyword_matches(names, keywords)) == compiled
-    twice = names.unionByName(names.limit(3))
-    options = [{}, {"ignore_case": True}, {"word_boundary": True}, {"longest_match": True}, {"ignore_case": True, "word_boundary": True, "longest_match": True}]
-    want = [(as_set(tagging.tag_explain(twice, keywords, **o)), as_set(tagging.with_keyword_section(twice, keywords, **o))) for o in options]
-    monkeypatch.setattr(tagging, "MAX_COMPILED_KEYWORDS", 3)
-    got = [(as_set(tagging.tag_explain(twice, keywords, **o)), as_set(tagging.with_keyword_section(twice, keywords, **o))) for o in options]
-    assert got == want
+def plain_fold(text):
+    """As java.util.regex compares characters without case: to upper, then to lower, one by one."""
+    out = []
+    for c in text:
+        c = c.upper() if len(c.upper()) == 1 else c
+        out.append("i" if c == "İ" else c.lower() if len(c.lower()) == 1 else c)
+    return "".join(out)
+
+
+def plain_match(name, rules, word_boundary=False, ignore_case=False, longest_match=False):
+    """Rules (section, section_ord, kw_ord, keyword) tried one after the other."""
+    order = (lambda r: (-len(r[3]), r[1:])) if longest_match else (lambda r: r[1:])
+    for section, _, _, keyword in sorted((r for r in rules if r[3]), key=order):
+        text, word = (plain_fold(name), plain_fold(keyword)) if ignore_case else (name, keyword)
+        if word in text and (not word_boundary or re.search(rf"\b{re.escape(word)}\b", text)):
+            return section, keyword
+    return None
+
+
+OPTIONS = [{}, {"ignore_case": True}, {"word_boundary": True, "longest_match": True}, {"word_boundary": True, "ignore_case": True}]
+
+
+@pytest.mark.parametrize("n_rules", [10, 5000])
+def test_matches_against_plain_rules(spark, n_rules, monkeypatch):
+    draw = random.Random(n_rules)
+    text = lambda n: "".join(draw.choice("aAbB工行İiıIΣσςſsSKk #-_1") for _ in range(n))
+    rules = [(f"S{k % 7}", k % 7, k // 7, text(draw.randint(0, 4)) if n_rules == 10 else text(draw.randint(3, 6))) for k in range(n_rules)]
+    rules += [("T", 9, 0, "istanbul"), ("T", 9, 1, "οδοσ"), ("T", 9, 2, "STRASSE"), ("T", 9, 3, None), ("T", 9, 4, "C++ (x)|")]
+    names = ["İSTANBUL TRADING", "ΟΔΟΣ LTD", "ΟΔΟς LTD", "ſtraſſe", "xC++ (x)|", "", *[text(draw.randint(0, 30)) for _ in range(150)]]
+    rows = spark.createDataFrame([(str(i), "", n) for i, n in enumerate(names)] + [("null", None, None)], "cr_no string, name_zh string, name_en string")
+    table = spark.createDataFrame(rules, "section string, section_ord int, kw_ord int, keyword string")
+    for most in (500_000, n_rules // 3):  # one automaton, several
+        monkeypatch.setattr(matching, "MOST_KEYWORDS", most)
+        for options in OPTIONS if most > n_rules else OPTIONS[3:]:
+            want = {str(i): m for i, n in enumerate(names) if (m := plain_match(" " + n, rules, **options))}
+            if (m := plain_match(" ", rules, **options)) is not None:
+                want["null"] = m
+            got = {r["cr_no"]: (r["section"], r["keyword"]) for r in tagging.tag_explain(rows, table, **options).collect()}
+            assert got == want, options
+    folded = {r["cr_no"] for r in tagging.tag_explain(rows, table.where("section = 'T'"), ignore_case=True).collect()}
+    assert {"0", "1", "2", "3"} <= folded
+
+
+def test_no_rules(names, keywords):
+    assert tagging.tag_explain(names, keywords.limit(0)).isEmpty()
+    assert set(sections(tagging.with_keyword_section(names, keywords.limit(0))).values()) == {None}
+
+
+def test_a_hundred_thousand_keywords(spark, names, keywords):
+    more = spark.range(100_000).selectExpr("'Z' AS section", "99 AS section_ord", "CAST(id AS INT) AS kw_ord", "concat('no name ', id) AS keyword")
+    every = keywords.unionByName(more)
+    for options in OPTIONS[:2]:
+        assert as_set(tagging.tag_explain(names, every, **options)) == as_set(tagging.tag_explain(names, keywords, **options))
 
 
 def test_section_names_need_no_shuffle_by_code(spark, names):
