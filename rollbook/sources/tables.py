@@ -1,7 +1,8 @@
 """Keyed tables kept as numbered Parquet folders.
 
-A write makes the next folder and never touches one that is there: not one that may be being read, nor
-one that another writer has begun, which is an error. A folder counts once its success marker is there,
+A write claims the next number by creating a file, which only one writer can, and makes that folder; it never
+touches one that is there: not one that may be being read, nor one that another writer has begun, which is an
+error. A folder counts once its success marker is there,
 so a lost job leaves the previous version in force; the next write goes past its folder.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rollbook.operators.columns import conform
-from rollbook.sources.paths import folder_names, is_complete, remove_folder
+from rollbook.sources.paths import claim, file_names, folder_names, is_complete, remove_folder
 
 
 class KeyedTable:
@@ -41,10 +42,17 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._path(version))
 
+    def _claim(self, version: int) -> None:
+        """Take a version number before its folder is there; of two writers that chose one, one gets it."""
+        if not claim(self.spark, f"{self.base}/claim={version}"):
+            raise RuntimeError(f"another writer has begun version {version} of {self.base}")
+
     def write(self, df: DataFrame) -> DataFrame:
         """Store the frame as the next version and return it read back (lineage ends here)."""
         numbers = self._numbers()
-        target = numbers[-1] + 1 if numbers else 0
+        claimed = [int(n[6:]) for n in file_names(self.spark, self.base) if n.startswith("claim=") and n[6:].isdigit()]
+        target = max([-1, *numbers, *claimed]) + 1
+        self._claim(target)
         conform(df, self.schema).write.mode("errorifexists").parquet(self._path(target))
         if self.keep_versions is not None:
             done = [n for n in numbers if is_complete(self.spark, self._path(n))]

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from rollbook.functions import text
+from rollbook.functions.text import apply_corrections
 from rollbook.operators import columns, geocode, reports
 from rollbook.session import scratch_dir
+from rollbook.sources import rules as rule_source
 from suite.inputs import frame
 from suite.registry import query
 
@@ -218,3 +221,29 @@ FROM area"""
 def parse_geocode(spark, sf):
     parsed = geocode.parse_answers(frame(spark, sf, "geo_answers")).drop("als_json")
     return parsed.withColumn("manual_review", geocode.needs_review(F.col("score")))
+
+
+# Alias rules come after the built-in ones of their length; the comment and the key with letters are skipped.
+_ALIASES = {"_note": "x", "鰂漁涌站": "鰂魚涌港鐵站", "中環皇后": "皇后", "ABC": "y", "彌頓": "never", "皇后道": "皇后大道"}
+
+
+def _corrected(column, rules):
+    for wrong, right in rules:
+        column = f"replace({column}, '{wrong}', '{right}')"
+    return column
+
+
+@query(
+    "SELECT cr_no, "
+    + _corrected(
+        "address_zh",
+        [("九廣鐵路", ""), ("鰂漁涌站", "鰂魚涌港鐵站"), ("中環皇后", "皇后"), ("鰂漁涌", "鰂魚涌"), ("皇后道", "皇后大道"),
+         ("汪角", "旺角"), ("佐頓", "佐敦"), ("彌頓", "彌敦")],
+    )
+    + " AS address FROM {zh_addresses}"
+)
+def correct_zh_addresses(spark, sf):
+    """Built-in corrections and those of an alias document, longest wrong form first."""
+    document = spark.createDataFrame([(json.dumps(_ALIASES, ensure_ascii=False),)], "value string")
+    rules = rule_source.correction_rules(rule_source.alias_rules(document))
+    return frame(spark, sf, "zh_addresses").select("cr_no", apply_corrections(F.col("address_zh"), rules).alias("address"))

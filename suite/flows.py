@@ -107,22 +107,51 @@ def record_scan(spark, sf):
     return reg.queue.read().select("brn", "status", "batch_id")
 
 
-@query(
-    """WITH v AS (SELECT cr_no, trim(coalesce(name_zh, '')) AS name_zh, trim(coalesce(name_en, '')) AS name_en,
+_VERIFIED = """v AS (SELECT cr_no, trim(coalesce(name_zh, '')) AS name_zh, trim(coalesce(name_en, '')) AS name_en,
                          trim(coalesce(address_raw, '')) AS address_raw FROM {verify_answers} WHERE outcome_http = 'ok'),
 c AS (SELECT v.* FROM v LEFT JOIN {day1} r ON r.cr_no = v.cr_no WHERE r.cr_no IS NULL OR v.name_zh <> trim(coalesce(r.name_zh, ''))
-      OR v.name_en <> trim(coalesce(r.name_en, '')) OR v.address_raw <> trim(coalesce(r.address_raw, '')))
-SELECT cr_no, name_zh, name_en, address_raw, '2024-03-01 00:00:00' AS fetched_at FROM c
-UNION ALL SELECT cr_no, name_zh, name_en, address_raw, '2024-01-02 03:04:05' FROM {day1} d
-WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.cr_no = d.cr_no)"""
-)
-def verify_hits(spark, sf):
+      OR v.name_en <> trim(coalesce(r.name_en, '')) OR v.address_raw <> trim(coalesce(r.address_raw, '')))"""
+
+
+def _verified(spark, sf):
     reg, day1 = _registry(spark, "verify"), frame(spark, sf, "day1")
     reg.raw.write(columns.stamp(day1, RUN_TS))
     reg.master.write(day1)
     reg.queue.write(day1.select(F.col("cr_no").alias("brn"), F.lit("hit").alias("status")))
     flows.verify_hits(reg, frame(spark, sf, "verify_answers"), dt.datetime(2024, 3, 1))
-    return reg.raw.read().withColumn("fetched_at", F.col("fetched_at").cast("string"))
+    return reg
+
+
+@query(
+    f"""WITH {_VERIFIED}
+SELECT cr_no, name_zh, name_en, address_raw, '2024-03-01 00:00:00' AS fetched_at FROM c
+UNION ALL SELECT cr_no, name_zh, name_en, address_raw, '2024-01-02 03:04:05' FROM {{day1}} d
+WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.cr_no = d.cr_no)"""
+)
+def verify_hits(spark, sf):
+    return _verified(spark, sf).raw.read().withColumn("fetched_at", F.col("fetched_at").cast("string"))
+
+
+@query(
+    f"""WITH {_VERIFIED}
+SELECT d.cr_no, d.name_en, CASE WHEN c.cr_no IS NOT NULL THEN c.address_raw ELSE d.address_raw END AS address_raw,
+  CASE WHEN c.cr_no IS NOT NULL THEN CAST(0 AS DOUBLE) END AS confidence, CASE WHEN c.cr_no IS NOT NULL THEN TRUE END AS manual_review
+FROM {{day1}} d LEFT JOIN c ON c.cr_no = d.cr_no"""
+)
+def verify_hits_master(spark, sf):
+    """Master rows of updated companies have the new address and nothing that came from the old one."""
+    return _verified(spark, sf).master.read().select("cr_no", "name_en", "address_raw", "confidence", "manual_review")
+
+
+@query(
+    f"""WITH {_VERIFIED}
+SELECT d.cr_no AS brn, 'hit' AS status, CASE WHEN v.cr_no IS NOT NULL THEN '2024-03-01 00:00:00' END AS queried_at
+FROM {{day1}} d LEFT JOIN v ON v.cr_no = d.cr_no"""
+)
+def verify_hits_queue(spark, sf):
+    """Keys that were answered, changed or not, are queried anew."""
+    queue = _verified(spark, sf).queue.read()
+    return queue.select("brn", "status", F.col("queried_at").cast("string").alias("queried_at"))
 
 
 @query(
@@ -196,6 +225,20 @@ def stream_batch_stats(spark, sf):
     return scan.batch_stats(_runs_of_stream(spark, sf))
 
 
+@query("SELECT brn AS cr_no, CAST(queried_at AS VARCHAR) AS fetched_at FROM {outcomes} WHERE status = 'hit'")
+def stream_hits(spark, sf):
+    """The hit rows of every micro-batch as the hook gets them."""
+    rows = frame(spark, sf, "outcomes").withColumn("queried_at", F.col("queried_at").cast("timestamp")).withColumn("cr_no", F.col("brn"))
+    base = scratch_dir(spark, "hits")
+
+    def keep(hits, epoch):
+        hits.select("cr_no", "fetched_at").write.mode("overwrite").parquet(f"{base}/hits/epoch={epoch}")
+
+    ingest.ingest_outcomes(_landed(rows, spark, "hit-stream"), f"{base}/log", f"{base}/checkpoint", keep).awaitTermination()
+    hits = spark.read.schema("cr_no string, fetched_at timestamp").parquet(f"{base}/hits")
+    return hits.select("cr_no", F.col("fetched_at").cast("string").alias("fetched_at"))
+
+
 @query(
     f"""WITH {_RUNS} SELECT o.brn, coalesce(c.status, 'pending') AS status, c.batch_id FROM {{outcomes}} o
 LEFT JOIN (SELECT * FROM counted WHERE status <> 'pending') c ON c.brn = o.brn"""

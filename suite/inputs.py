@@ -38,6 +38,13 @@ INPUTS = {
         FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey""",
     # Those of the first day: some come on the second day only.
     "day1": "SELECT * FROM {companies} WHERE CAST(cr_no AS BIGINT) % 23 <> 0",
+    # zh addresses with wrong and old wording.
+    "zh_addresses": """
+        SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS cr_no,
+               CASE c_custkey % 6 WHEN 0 THEN '九龍汪角彌頓道' || CAST(c_custkey AS STRING) || '號'
+                    WHEN 1 THEN '佐頓九廣鐵路站' WHEN 2 THEN '鰂漁涌站' || c_mktsegment WHEN 3 THEN '鰂漁涌' || c_mktsegment || '佐頓'
+                    WHEN 4 THEN NULL ELSE '中環皇后道' || CAST(c_custkey AS STRING) END AS address_zh
+        FROM {customer}""",
     # The second day: some changed, some gone, some new, some with a name nulled.
     "day2": f"""
         SELECT lpad(CAST(c_custkey AS STRING), 8, '0') AS cr_no,

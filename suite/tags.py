@@ -246,6 +246,15 @@ def master_summary(spark, sf):
     return summary.drop("hit_rate_text", "avg_confidence_text")
 
 
+@query(
+    """SELECT printf('%.1f%%', 100 * (1 - count(*) FILTER (WHERE manual_review) / count(*))) AS hit_rate_text,
+  printf('%.1f', avg(confidence) FILTER (WHERE confidence > 0)) AS avg_confidence_text FROM {master}"""
+)
+def master_summary_text(spark, sf):
+    summary = reports.master_summary(frame(spark, sf, "master"), frame(spark, sf, "geo_answers"))
+    return summary.select("hit_rate_text", "avg_confidence_text")
+
+
 @query("SELECT region, district, count(*) AS n FROM {master} GROUP BY region, district")
 def district_counts(spark, sf):
     return reports.district_counts(frame(spark, sf, "master"))
