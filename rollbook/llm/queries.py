@@ -134,10 +134,9 @@ def simhash_search(spark, sf_dir):
     """For each document whose id 50 divides, the classes of equal fingerprints within the Hamming radius, its
     own at distance 0 included; ``simhash_classes`` tells the documents of a class."""
     from rollbook.llm.common import written
-    from rollbook.llm.simhash import near_fingerprints, with_fingerprints
+    from rollbook.llm.simhash import document_fingerprints, near_fingerprints
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    prints = written(with_fingerprints(docs, ["doc_id"]), "simhash-search")
+    prints = written(document_fingerprints(table(spark, sf_dir, "documents")), "simhash-search")
     asked = prints.filter("doc_id % 50 = 0")
     found = near_fingerprints(asked, prints).select("query", F.col("fingerprint").alias("near_class"), "distance")
     return asked.join(found, asked["fingerprint"] == found["query"], "left").select("doc_id", "fingerprint", "near_class", "distance")
@@ -146,9 +145,9 @@ def simhash_search(spark, sf_dir):
 @query()
 def simhash_classes(spark, sf_dir):
     """Documents and their class: the fingerprint, which equal texts share."""
-    from rollbook.llm.simhash import with_fingerprints
+    from rollbook.llm.simhash import document_fingerprints
 
-    return with_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return document_fingerprints(table(spark, sf_dir, "documents"))
 
 
 @query()

@@ -76,6 +76,15 @@ def with_fingerprints(rows: DataFrame, keys: list[str], text_column: str = "text
     return summed.select(*keys, F.lower(F.concat(*parts)).alias("fingerprint"))
 
 
+def document_fingerprints(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint`` of every row of ``docs`` (``doc_id, text``), in rows of their own however often an
+    id comes, null ids too: a fingerprint is that of a text, found once for each text of an id."""
+    rows = docs.select("doc_id", "text", F.sha2(text_or_empty(F.col("text")), 256).alias("th"))
+    texts = rows.groupBy("doc_id", "th").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    printed = with_fingerprints(texts, ["doc_id", "th", "copies"])
+    return printed.select("doc_id", "fingerprint", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+
+
 def _halves(fingerprint: Column) -> list[Column]:
     return [F.conv(F.substring(fingerprint, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(BITS // 32)]
 

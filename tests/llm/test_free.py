@@ -430,3 +430,8 @@ def test_extract(spark, model):
     want = "The title\n\nFirst text, with é and more words in it.\n\nSecond one, longer than that."
     assert len(got) == 5 and texts[1] == (want, len(want)) and texts[2] == texts[3] == texts[4] == ("", 0)
     assert html_crf.extract(frame(spark, [], "page_id long, url string, html string"), model).count() == 0
+
+
+def test_formulas_and_fallbacks_of_an_article_are_text():
+    page = "<article><p>The area is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in this case.</p><object><p>A film of it.</p></object></article>"
+    assert [b.text for b in blocks(page)] == ["The area is x=2 in this case.", "A film of it."]

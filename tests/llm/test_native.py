@@ -278,3 +278,29 @@ def test_chat_of_odd_rows(spark):
     assert got[1]["n_turns"] == 3 and got[1]["formatted"].startswith("<|im_start|>assistant\nfirst<|im_end|>")
     assert got[None]["formatted"] == "<|im_start|>\n<|im_end|>\n"
     assert chat.format_log(chat.message_events(spark.createDataFrame([], schema))).count() == 0
+
+
+def test_fingerprint_bits_and_repeated_ids(spark):
+    """Bits against votes counted one by one; rows of one id stay rows."""
+    texts = ["a b c d", "x y z w", "a b c d", "", None, "longer words decide here more than short ones do", "a b c d"]
+    ids = [1, 1, 1, 2, 3, None, None]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").withColumn("th", F.lit("clash"))
+    got = sorted(((r["doc_id"], r["fingerprint"]) for r in simhash.document_fingerprints(docs).collect()), key=str)
+    assert len(got) == 7
+    words = {t: (t or "").split() for t in set(texts)}
+    terms = sorted({(*w[k : k + 3], *[None] * (3 - len(w[k : k + 3]))) for w in words.values() for k in range(len(w))}, key=str)
+    rows = spark.createDataFrame([(k, *t) for k, t in enumerate(terms)], "k int, a string, b string, c string")
+    hashes = {terms[r["k"]]: (r["h0"], r["h1"]) for r in rows.select("k", F.xxhash64("a", "b", "c").alias("h0"), F.xxhash64(F.lit(1), "a", "b", "c").alias("h1")).collect()}
+
+    def plain(text):
+        w, votes, total = words[text], [0] * 128, 0
+        for k in range(len(w)):
+            t = (*w[k : k + 3], *[None] * (3 - len(w[k : k + 3])))
+            weight = 1 + sum(len(w[k]) >= n for n in simhash.WEIGHT_STEPS)
+            total += weight
+            for j, h in enumerate(hashes[t]):
+                for i in range(64):
+                    votes[64 * j + 63 - i] += weight * (h >> i & 1)
+        return f"{int(''.join('1' if 2 * v > total else '0' for v in votes), 2):032x}"
+
+    assert got == sorted(((i, plain(t)) for i, t in zip(ids, texts, strict=True)), key=str)
