@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.operators import columns, keyed, verify
+from rollbook.operators import columns, digests, keyed, verify
 from rollbook.session import scratch_dir
 from rollbook.sources import landed, snapshots
 from rollbook.sources.tables import KeyedTable
@@ -35,6 +35,24 @@ def snapshot_delta_nullsafe(spark, sf):
     return keyed.snapshot_delta(frame(spark, sf, "day2"), frame(spark, sf, "day1"), null_safe=True)
 
 
+def _ranged(spark, sf, null_safe):
+    base = scratch_dir(spark, "ranged")
+    for day in ("day1", "day2"):
+        digests.write_ranged(frame(spark, sf, day), f"{base}/{day}")
+    return digests.ranged_delta(spark, f"{base}/day2", f"{base}/day1", null_safe=null_safe)
+
+
+@query(_delta_sql("="))
+def snapshot_delta_ranges(spark, sf):
+    """Both days stored by key ranges; only ranges whose digests differ are compared."""
+    return _ranged(spark, sf, False)
+
+
+@query(_delta_sql("IS NOT DISTINCT FROM"))
+def snapshot_delta_ranges_nullsafe(spark, sf):
+    return _ranged(spark, sf, True)
+
+
 @query("SELECT cr_no, name_en FROM {day2} d WHERE NOT EXISTS (SELECT 1 FROM {day1} m WHERE m.cr_no = d.cr_no)")
 def checkpoint_skip(spark, sf):
     """The second day's companies against a master built on the first day."""
