@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,15 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back_memory() -> None:
+    """Return what a finished piece of work has freed to the system: workers are used again, and their share of
+    an executor's memory should not stay at the most that any task before took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def free_name(wanted: str, taken: list[str]) -> str:
     """``wanted``, or the first of wanted_1, wanted_2 ... that no column has (case ignored)."""
     low = {c.lower() for c in taken}

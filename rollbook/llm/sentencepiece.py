@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from rollbook.llm.common import let, text_or_empty, written
+from rollbook.llm.common import give_back_memory, let, text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes
 
 SPACE = "▁"
@@ -370,6 +370,7 @@ def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "
                 batch = whole.slice(lo, hi - lo)
                 coded_texts = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(values, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, coded_texts], [*batch.schema.names, "ids"])
+        give_back_memory()
 
     given = docs.select(*kept)
     return given.mapInArrow(put, StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType()))]))

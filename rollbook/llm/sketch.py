@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import written
+from rollbook.llm.common import give_back_memory, written
 
 LEAST_BITS, MOST_BITS = 20, 29
 CHUNK_BITS = 22
@@ -84,6 +84,7 @@ def shared_bits(
                     n = 0
         if held:
             yield given()
+        give_back_memory()
 
     def merge(batches):
         seen: dict[int, np.ndarray] = {}
@@ -98,6 +99,8 @@ def shared_bits(
             packed = [np.packbits(table >= n) for n in levels]
             packed = b"".join((np.packbits(p > 0) if k else p).tobytes() for k, p in enumerate(packed))
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([packed], pa.binary())], ["chunk", "bits"])
+        seen.clear()
+        give_back_memory()
 
     parts = docs.mapInArrow(gather, _SCHEMA)
     n_parts = max(1, 1 << max(0, bits - CHUNK_BITS))

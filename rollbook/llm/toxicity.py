@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rollbook.llm.common import text_or_empty, written
+from rollbook.llm.common import give_back_memory, text_or_empty, written
 from rollbook.llm.hashing import blocks, column_bytes, mixed, word_hashes
 
 #: Character n-grams of a word between its marks, and the rows of the embedding table.
@@ -219,6 +219,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> dict:
             return part.select([]).slice(0, 0).append_column("model", pa.array([], pa.binary()))
         model = fit([r["text"] for r in rows], target)
         blob = model["table"].astype("<f4").tobytes() + np.append(model["weight"], model["bias"]).astype("<f4").tobytes()
+        del rows, model
+        give_back_memory()
         return pa.table({"model": pa.array([blob], pa.binary())})
 
     rows = training_rows(docs, labels, most).withColumn("all", F.lit(0))
@@ -242,6 +244,7 @@ def score(docs: DataFrame, model: dict, text_column: str = "text", name: str = "
         for batch in batches:
             values = scores(shared.value, pc.utf8_lower(batch.column(place).fill_null("")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, name])
+        give_back_memory()
 
     schema = StructType([*kept.schema.fields, StructField(name, DoubleType())])
     return kept.mapInArrow(run, schema)
