@@ -88,6 +88,13 @@ def _marked(updates: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     return latest.select(key, F.lit(True).alias("_given"), *renamed)
 
 
+def _applies(newer_by: str | None) -> Column:
+    """Whether a row has an update that is not older than itself."""
+    if newer_by is None:
+        return F.col("_given")
+    return F.col("_given") & ~F.coalesce(F.col(newer_by) > F.col(f"_new_{newer_by}"), F.lit(False))
+
+
 def upsert(
     base: DataFrame,
     updates: DataFrame,
@@ -95,11 +102,13 @@ def upsert(
     update_cols: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
     form: str = "outer",
+    newer_by: str | None = None,
 ) -> DataFrame:
     """Update known keys, insert unknown ones; the result has the columns of ``base``.
 
     ``update_cols`` (default: all that ``updates`` has) are overwritten for known keys, by nulls too.
-    Of several updates of a key the latest by ``order_by`` counts. Rows without a key are left out.
+    Of several updates of a key the latest by ``order_by`` counts. Rows without a key are left out. With
+    ``newer_by``, a column of both, a known key whose row has a later value keeps its row.
 
     ``form='outer'`` is one full outer join, each side evaluated and shuffled once. ``form='delta'`` is
     for updates that are written already and much smaller than the base: they may be broadcast to both
@@ -120,7 +129,7 @@ def upsert(
             return F.col(key)
         if column not in updatable:
             return F.col(column)
-        return F.when(F.col("_given"), given(column)).otherwise(F.col(column)).alias(column)
+        return F.when(_applies(newer_by), given(column)).otherwise(F.col(column)).alias(column)
 
     if form == "outer":
         both = base.withColumn("_known", F.lit(True)).join(new, key, "full_outer")
@@ -148,14 +157,15 @@ def update_by_key(
     key: str,
     update_cols: Sequence[str] | None = None,
     order_by: Sequence[str] = (),
+    newer_by: str | None = None,
 ) -> DataFrame:
-    """Overwrite columns of known keys; unknown keys are ignored."""
+    """Overwrite columns of known keys; unknown keys are ignored, and with ``newer_by`` updates older than the row."""
     offered = [c for c in updates.columns if c != key and c in base.columns]
     chosen = offered if update_cols is None else list(update_cols)
     new = _marked(updates, key, order_by)
     return base.join(new, key, "left").select(
         *[
-            F.when(F.col("_given"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            F.when(_applies(newer_by), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in chosen
             else F.col(c)
             for c in base.columns

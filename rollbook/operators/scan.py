@@ -99,10 +99,12 @@ def decided(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("status").isin("hit", "miss"))
 
 
-def apply_outcomes(queue: DataFrame, outcomes: DataFrame, order_by: Sequence[str] = ("queried_at",)) -> DataFrame:
+def apply_outcomes(
+    queue: DataFrame, outcomes: DataFrame, order_by: Sequence[str] = ("queried_at",), newer_by: str | None = None
+) -> DataFrame:
     """The queue with decided outcomes written in; undecided keys stay as they are."""
     return update_by_key(
-        queue, decided(outcomes), "brn", ["status", "queried_at", "batch_id"], order_by
+        queue, decided(outcomes), "brn", ["status", "queried_at", "batch_id"], order_by, newer_by
     )
 
 

@@ -85,20 +85,13 @@ def landed_log(
     return spark.read.schema(with_epoch).option("basePath", base).parquet(*done)
 
 
-def _not_older(updates: DataFrame, base: DataFrame, key: str, time: str) -> DataFrame:
-    """Updates but those the table has a later row for."""
-    stored = base.select(key, F.col(time).alias("_stored"))
-    late = stored.join(updates.select(key, time), key).where(F.col("_stored") > F.col(time))
-    return updates.join(late.select(key, time), [key, time], "left_anti")
-
-
 def fold(registry: Registry, log_base: str, after: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Merge landed micro-batches into queue, raw table and master; returns queue and raw table.
 
     Of several outcomes of a key, those in the tables included, the one queried last counts, in
     whatever order they landed; so folding the same micro-batches again changes nothing. The registry
     remembers the last number folded of each log and leaves those before it unread; ``after`` overrides
-    that.
+    that. Each table is joined once with what has landed for it; one that nothing landed for is not written.
     """
     spark = registry.spark
     queue, table, master = registry.queue.read(), registry.raw.read(), registry.master.read()
@@ -110,12 +103,12 @@ def fold(registry: Registry, log_base: str, after: int | None = None) -> tuple[D
     raw = landed_log(spark, log_base, "raw", schemas.COMPANIES_RAW, after)
     built = landed_log(spark, log_base, "master", schemas.MASTER, after)
     until = status.select("epoch").union(raw.select("epoch")).union(built.select("epoch")).agg(F.max("epoch")).first()[0]
-    status = _not_older(status, queue, "brn", "queried_at")
-    raw = _not_older(raw, table, "cr_no", "fetched_at")
-    built = _not_older(built, master, "cr_no", "last_updated")
-    queue = registry.queue.write(scan.apply_outcomes(queue, status, order_by=("queried_at", "epoch")))
-    table = registry.raw.write(keyed.upsert(table, raw, "cr_no", order_by=("fetched_at", "epoch")))
-    registry.master.write(keyed.upsert(master, built, "cr_no", order_by=("last_updated", "epoch")))
+    if not status.isEmpty():
+        queue = registry.queue.write(scan.apply_outcomes(queue, status, ("queried_at", "epoch"), newer_by="queried_at"))
+    if not raw.isEmpty():
+        table = registry.raw.write(keyed.upsert(table, raw, "cr_no", order_by=("fetched_at", "epoch"), newer_by="fetched_at"))
+    if not built.isEmpty():
+        registry.master.write(keyed.upsert(master, built, "cr_no", order_by=("last_updated", "epoch"), newer_by="last_updated"))
     if until is not None:
         done = spark.createDataFrame([(log_base, max(until, after))], folded.schema)
         registry.folds.write(keyed.upsert(folded, done, "log_base"))

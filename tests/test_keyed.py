@@ -109,3 +109,12 @@ def test_conform_casts_pads_and_drops(rows):
     got = columns.conform(df, schemas.SCAN_QUEUE)
     assert got.schema.names == ["brn", "status", "queried_at", "batch_id"]
     assert [(r["brn"], r["queried_at"] is None, r["status"]) for r in got.collect()] == [("x", False, None), ("y", True, None)]
+
+
+def test_updates_older_than_the_row_are_left_out(rows):
+    base = rows([("a", 5, "x"), ("b", None, "x"), ("c", 5, "x"), ("d", 5, "x")], "k string, t int, v string")
+    new = rows([("a", 4, "y"), ("b", 1, "y"), ("c", 5, "y"), ("d", None, "y"), ("e", 1, "y"), ("a", 3, "z")], "k string, t int, v string")
+    want = [("a", 5, "x"), ("b", 1, "y"), ("c", 5, "y"), ("d", None, "y")]
+    for form in ("outer", "delta"):
+        assert as_set(keyed.upsert(base, new, "k", order_by=["t"], form=form, newer_by="t")) == [*want, ("e", 1, "y")]
+    assert as_set(keyed.update_by_key(base, new, "k", order_by=["t"], newer_by="t")) == want
