@@ -42,22 +42,26 @@ def unescape_role(role: Column) -> Column:
 
 
 def message_events(messages: DataFrame) -> DataFrame:
-    """Messages (``conv_id, turn, role, text``) as a log that streams each text in two deltas.
+    """Messages (``conv_id, turn, role, text``) as a log that comes to each text by every kind of event.
 
-    Rows of a conversation are ordered by turn (null first), then role and text, so repeated rows are
-    messages of their own. Null text is empty.
+    A message starts and streams a draft; the next one starts on it; a regeneration throws both away; a wrong
+    delta follows, an edit puts the first half in its place, and the second half is streamed. Rows of a
+    conversation are ordered by turn (null first), then role and text, so repeated rows are messages of their
+    own. Null text is empty. Messages have even numbers, those thrown away the odd one after.
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     text = F.coalesce("text", F.lit(""))
     half = F.floor(F.char_length(text) / 2).cast("int")
     first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text))
-    event = lambda n, kind, t: F.struct(F.lit(n).alias("n"), F.lit(kind).alias("event"), t.alias("text"))
-    numbered = messages.select("conv_id", "role", "text", F.row_number().over(order).cast("long").alias("msg"))
-    logged = numbered.select(
-        "conv_id", "role", "msg",
-        F.explode(F.array(event(0, "start", F.lit("")), event(1, "delta", first), event(2, "delta", second))).alias("e"),
-    )
-    return logged.select("conv_id", (F.col("msg") * 3 + F.col("e.n")).alias("seq"), "e.event", "msg", "role", "e.text")
+    steps = [
+        ("start", 0, F.lit("")), ("delta", 0, second), ("start", 1, F.lit("")), ("delta", 1, F.lit("draft")),
+        ("regenerate", 0, F.lit("")), ("delta", 0, F.lit("wrong")), ("edit", 0, first), ("delta", 0, second),
+    ]
+    event = lambda n, kind, k, t: F.struct(F.lit(n).alias("n"), F.lit(kind).alias("event"), F.lit(k).alias("k"), t.alias("text"))
+    numbered = messages.select("conv_id", "role", "text", (F.row_number().over(order) * 2).cast("long").alias("msg"))
+    logged = numbered.select("conv_id", "role", "msg", F.explode(F.array(*[event(n, *s) for n, s in enumerate(steps)])).alias("e"))
+    seq = F.col("msg") * len(steps) + F.col("e.n")
+    return logged.select("conv_id", seq.alias("seq"), "e.event", (F.col("msg") + F.col("e.k")).alias("msg"), "role", "e.text")
 
 
 def fold_messages(log: DataFrame) -> DataFrame:
