@@ -40,7 +40,13 @@ class KeyedTable:
         version = self.latest()
         if version is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._path(version))
+        return self._load(self._path(version))
+
+    def _load(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def _store(self, df: DataFrame, path: str) -> None:
+        df.write.mode("errorifexists").parquet(path)
 
     def _claim(self, version: int) -> None:
         """Take a version number before its folder is there; of two writers that chose one, one gets it."""
@@ -53,7 +59,7 @@ class KeyedTable:
         claimed = [int(n[6:]) for n in file_names(self.spark, self.base) if n.startswith("claim=") and n[6:].isdigit()]
         target = max([-1, *numbers, *claimed]) + 1
         self._claim(target)
-        conform(df, self.schema).write.mode("errorifexists").parquet(self._path(target))
+        self._store(conform(df, self.schema), self._path(target))
         if self.keep_versions is not None:
             done = [n for n in numbers if is_complete(self.spark, self._path(n))]
             for old in done[: max(0, len(done) + 1 - self.keep_versions)]:

@@ -10,6 +10,7 @@ from rollbook import schemas
 from rollbook.operators import columns, digests, keyed, verify
 from rollbook.session import scratch_dir
 from rollbook.sources import landed, snapshots
+from rollbook.sources.bucketed import BucketedTable
 from rollbook.sources.tables import KeyedTable
 from suite.inputs import frame
 from suite.registry import query
@@ -53,6 +54,24 @@ def snapshot_delta_ranges_nullsafe(spark, sf):
     return _ranged(spark, sf, True)
 
 
+def _bucketed(spark, sf, day):
+    rows = frame(spark, sf, day)
+    table = BucketedTable(spark, scratch_dir(spark, "bucketed"), rows.schema, "cr_no", 16)
+    table.write(rows)
+    return table
+
+
+@query(_delta_sql("="))
+def snapshot_delta_bucketed(spark, sf):
+    """Both days stored in buckets of the key, compared without a shuffle."""
+    return _bucketed(spark, sf, "day1").delta(_bucketed(spark, sf, "day2").read())
+
+
+@query(_delta_sql("IS NOT DISTINCT FROM"))
+def snapshot_delta_bucketed_nullsafe(spark, sf):
+    return _bucketed(spark, sf, "day1").delta(_bucketed(spark, sf, "day2").read(), null_safe=True)
+
+
 @query("SELECT cr_no, name_en FROM {day2} d WHERE NOT EXISTS (SELECT 1 FROM {day1} m WHERE m.cr_no = d.cr_no)")
 def checkpoint_skip(spark, sf):
     """The second day's companies against a master built on the first day."""
@@ -127,12 +146,26 @@ def upsert_narrow(spark, sf):
     )
 
 
-@query(
+@query(_UPSERTED)
+def upsert_bucketed(spark, sf):
+    """The next version of a table in buckets, written by the tasks that merged it."""
+    return _bucketed(spark, sf, "day1").upsert(_batch(spark, sf), order_by=["ver"])
+
+
+_UPDATED = (
     f"""WITH {_BATCH}
 SELECT b.cr_no, CASE WHEN u.cr_no IS NOT NULL THEN u.name_zh ELSE b.name_zh END AS name_zh, b.name_en,
        CASE WHEN u.cr_no IS NOT NULL THEN u.address_raw ELSE b.address_raw END AS address_raw
 FROM {{day1}} b LEFT JOIN last u ON b.cr_no = u.cr_no"""
 )
+
+
+@query(_UPDATED)
+def update_bucketed(spark, sf):
+    return _bucketed(spark, sf, "day1").update(_batch(spark, sf), ["name_zh", "address_raw"], order_by=["ver"])
+
+
+@query(_UPDATED)
 def update_by_key(spark, sf):
     return keyed.update_by_key(
         frame(spark, sf, "day1"), _batch(spark, sf), "cr_no", ["name_zh", "address_raw"], ["ver"]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.terms import bigrams, english_words
-from rollbook.operators import mining, reports, tagging
+from rollbook.operators import mining, reports, tagging, top_terms, trigrams
 from rollbook.plans.registry import enrich_keywords as enrich
 from rollbook.session import scratch_dir
 from rollbook.sources import rules as rule_source
@@ -174,6 +176,31 @@ def top_words(spark, sf):
     return mining.top_terms(mining.word_counts(frame(spark, sf, "documents"), "text"), 50)
 
 
+def _by_day(spark, counted, name, size):
+    """Counts of each day's rows stored one day after the other; ``counted`` gives a day's."""
+    base = scratch_dir(spark, name)
+    for day in range(5):
+        top_terms.write_day(counted(day), base, str(day), size)
+    return base
+
+
+@query("WITH " + _WORDS.format(column="text", table="documents") + " SELECT term, n FROM words ORDER BY n DESC, term LIMIT 100")
+def top_words_by_day(spark, sf):
+    """Documents come in five lots; the first terms of all are kept up to date by their small tables."""
+    docs = frame(spark, sf, "documents")
+    base = _by_day(spark, lambda day: mining.word_counts(docs.where(F.col("doc_id") % 5 == day), "text"), "words", top_terms.SIZE)
+    return top_terms.top_terms(spark, base, 100)
+
+
+@query("WITH " + _BIGRAMS.format(column="name_zh", table="names") + " SELECT term, n FROM bigrams ORDER BY n DESC, term LIMIT 60")
+def top_bigrams_by_day(spark, sf):
+    """Small tables too small to tell: the days' counts are read again down to a share of the border."""
+    names = frame(spark, sf, "names")
+    lot = F.col("cr_no").cast("bigint") % 5
+    base = _by_day(spark, lambda day: mining.bigram_counts(names.where(lot == day)), "bigrams", 20)
+    return top_terms.top_terms(spark, base, 60)
+
+
 @query(
     "SELECT cr_no, upper(w[1]) || lower(w[2:]) AS word FROM (SELECT cr_no, unnest(regexp_extract_all(name_en, '[A-Za-z]{3,}')) AS w FROM {names}) t"
 )
@@ -275,6 +302,22 @@ def name_search(spark, sf):
     return reports.name_search(frame(spark, sf, "master"), "MACH")
 
 
+_PATTERNS = ("TRADING 12", "7", "MEGA", "D AN", "99 ", "no such")
+
+
+@query(
+    "SELECT pattern, cr_no, name_en FROM {search_names}, (SELECT unnest(["
+    + ", ".join(f"'{p}'" for p in _PATTERNS)
+    + "]) AS pattern) p WHERE contains(name_en, pattern)"
+)
+def name_search_index(spark, sf):
+    """All names that hold a pattern, by an index of trigrams."""
+    path = scratch_dir(spark, "trigrams") + "/index"
+    trigrams.write_index(frame(spark, sf, "search_names"), path, "name_en")
+    found = [trigrams.search(spark, path, p, "name_en").select(F.lit(p).alias("pattern"), "cr_no", "name_en") for p in _PATTERNS]
+    return reduce(DataFrame.unionAll, found)
+
+
 @query("SELECT cr_no, name_zh, district, latitude, longitude FROM {master} WHERE district = 'NATION_7'")
 def district_slice(spark, sf):
     return reports.in_district(frame(spark, sf, "master"), "NATION_7", ["cr_no", "name_zh", "district", "latitude", "longitude"])
