@@ -83,6 +83,37 @@ def test_similar_sets_lose_no_link(spark, gram, threshold, seed):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, gram, threshold)
 
 
+@pytest.mark.parametrize("block", [256, 3])
+def test_similar_sets_count_every_link(spark, monkeypatch, block):
+    """Links inside a component as well, copies and near copies of near copies."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    near = [(100 + i, " ".join(base[:k] + [f"v{i}"] + base[k + 1 :])) for i, k in enumerate([0, 0, 1, 2, 20, 40, 58, 59, 59])]
+    rows = synthetic(3, 60) + near + [(i + 50, t) for i, t in near[:4]] + [(1, None), (2, "one two"), (3, "ONE  two")]
+    rng.shuffle(rows)
+    low = lambda b: bytes(c + 32 if 65 <= c <= 90 else c for c in b)
+    sets = {}
+    for i, t in rows:
+        w = [low(x) for x in words_of(t)]
+        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)} or ({tuple(w)} if w else set())
+    links = dict.fromkeys(sets, 0)
+    for a, b in itertools.permutations(sets, 2):
+        x, y = sets[a], sets[b]
+        links[a] += bool(x and y and 100 * len(x & y) >= 85 * len(x | y))
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.similar_sets(frame(spark, rows)).collect()}
+    assert got == links and max(links.values()) > 5
+
+
+def test_similar_sets_of_ids_with_several_texts(spark):
+    """Each text of an id is compared, and all count as linked through it."""
+    base = [f"w{i}" for i in range(80)]
+    one, two = " ".join(base), " ".join(f"u{i}" for i in range(80))
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " x"), (5, "a b c d e"), (7, "a b c d e"), (7, "k l m n o"), (6, "k l m n o")]
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.similar_sets(frame(spark, rows)).collect()}
+    assert {k[0]: v for k, v in got.items()} == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 7: 5}
+
+
 def test_chain_of_links_is_one_component(spark):
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(base[:k] + [f"v{k}"] + base[k + 1 :] if k else base)) for i, k in enumerate([0, 5, 20, 35, 50])]
