@@ -1,19 +1,21 @@
 """Address text as column expressions.
 
 All steps but one compile to built-in functions. Compatibility normalisation (NFKC) has no built-in;
-it runs as a pandas UDF that receives only the values holding a character NFKC could change, so plain
+it runs as an Arrow UDF that receives only the values holding a character NFKC could change, so plain
 ASCII and ordinary CJK text never leave the JVM. Text that is ASCII throughout (told by comparing two
 lengths) also takes shorter patterns without Unicode classes, at less than half the cost per row.
 """
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,10 @@ _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + "  "
 NFKC_STABLE = r"\x00-\x7F\u3001-\u3029\u3400-\u9FFF"
 
 
+# Bytes of normalised text that are gathered before they go into one Arrow array.
+NFKC_BLOCK = 1 << 22
+
+
 def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.char_length(text)
 
@@ -49,10 +55,32 @@ def _nfkc_udf(marks: bool):
     # (pyarrow's own utf8_normalize leaves composed letters decomposed and is of no use here.)
     table = str.maketrans(fv.CJK_MARKS, fv.CJK_MARKS_ASCII) if marks else {}
 
-    def normalise(values: pd.Series) -> pd.Series:
-        return values.str.normalize("NFKC").str.translate(table)
-
-    return F.pandas_udf(normalise, T.StringType())
+    def normalise(values: pa.Array) -> pa.Array:
+        # One value at a time is a Python string; the others stay bytes, however long the texts of a batch are.
+        done, blocks, size = [], [], 0
+        for value in values:
+            value = value.as_py()
+            if value is not None:
+                value = unicodedata.normalize("NFKC", value)
+                value = (value.translate(table) if table else value).encode()
+                size += len(value)
+            done.append(value)
+            if size >= NFKC_BLOCK:
+                blocks.append(pa.array(done, pa.binary()).cast(pa.string()))
+                done, size = [], 0
+        blocks.append(pa.array(done, pa.binary()).cast(pa.string()))
+        del done
+        found = pa.concat_arrays(blocks)
+        if found.nbytes >= NFKC_BLOCK:
+            del blocks
+            # Workers are used again: what a batch took should not stay with them.
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+        return found
+
+    return F.arrow_udf(normalise, T.StringType())
 
 
 def strip_blanks(text: Column) -> Column:

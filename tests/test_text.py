@@ -142,3 +142,21 @@ def test_any_number_of_corrections(spark):
     rules = [(f"w{i};", f"r{i};") for i in range(6000)] + [("xw7;", "long;")]
     df = spark.createDataFrame([("w0; w5999; w12;",), ("xw7; w77;",), (None,)], "t string")
     assert [r[0] for r in df.select(apply_corrections(F.col("t"), rules)).collect()] == ["r0; r5999; r12;", "long; r77;", None]
+
+
+def test_nfkc_holds_few_values_of_a_batch_at_once():
+    """The values of a batch are not all Python strings at a time: 64 MB as such here, 16 MB of text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["Ａ" * 49_999 + "é", None, ""] * 110)
+    normalise = text._nfkc_udf(False).func
+    tracemalloc.start()
+    try:
+        got = normalise(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.to_pylist()[:3] == ["A" * 49_999 + "é", None, ""] and len(got) == 330
+    assert peak < 6_000_000
