@@ -24,8 +24,12 @@ _EXACT = {
 def counted_rows(rows: pd.DataFrame, run: int, limit: int) -> tuple[pd.DataFrame, int, bool]:
     """Rows of one batch in order of ``seq``, up to the one at which ``limit`` misses in a row are reached,
     with the run at each; the run at the end, and whether it reached the limit. ``run`` misses go before."""
-    rows = rows.sort_values("seq", kind="stable")
-    miss, hit = (rows["status"] == "miss").to_numpy(), (rows["status"] == "hit").to_numpy()
+    # A micro-batch has many small batches: a sort and a copy are saved where rows are in order.
+    seq, status = rows["seq"].to_numpy(), rows["status"].to_numpy()
+    if (seq[1:] < seq[:-1]).any():
+        order = np.argsort(seq, kind="stable")
+        rows, status = rows.take(order), status[order]
+    miss, hit = status == "miss", status == "hit"
     misses = np.cumsum(miss)
     runs = misses - np.maximum.accumulate(np.where(hit, misses, -run))
     reached = np.flatnonzero(miss & (runs >= limit))
@@ -62,7 +66,8 @@ def miss_run_stream(outcomes: DataFrame, limit: int = fv.MISS_LIMIT, time: str |
             state.remove()
             return
         run, stopped = state.get if state.exists else (0, False)
-        landed = pd.concat(list(parts))
+        frames = list(parts)
+        landed = frames[0] if len(frames) == 1 else pd.concat(frames)
         if not stopped:
             rows, run, stopped = counted_rows(landed, run, limit)
             yield rows[names]

@@ -188,17 +188,31 @@ def _landed(df, spark, name, files=4):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(folder)
 
 
+# Files of a part that lands in order.
+FILES = 16
+
+
 def _in_order(df, spark, name, column, parts=4):
-    """The frame as files of a stream source that land one after the other, ranges of ``column`` in order; a
-    step lands the files of one half (0 or 1) and gives the stream."""
-    folder = scratch_dir(spark, name) + "/in"
-    low, high = df.agg(F.min(column), F.max(column)).first()
+    """The frame as files of a stream source that land in ``parts``, ranges of ``column`` in order, each as so many
+    files and taken by one micro-batch; a step lands those of one half (0 or 1) and gives the stream.
+
+    The frame is computed once, and many tasks write a part. A micro-batch takes a fixed number of files, so parts
+    have equally many; where one has too few rows to fill them, all are one file."""
+    staged, folder = scratch_dir(spark, name) + "/staged", scratch_dir(spark, name) + "/in"
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    low, high = rows.agg(F.min(column), F.max(column)).first()
     number = F.floor((F.col(column) - F.lit(low)) * F.lit(parts) / (high - low + 1))
+    place = F.pmod(F.xxhash64(column), F.lit(FILES)).cast("int")
+    filled = rows.groupBy(number.alias("part")).agg(F.count_distinct(place).alias("n")).where(F.col("n") == FILES).count()
+    files = FILES if filled == parts else 1
 
     def land(half):
         for part in range(half * parts // 2, (half + 1) * parts // 2):
-            df.where(number == part).coalesce(1).write.mode("append").parquet(folder)
-        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            here = rows.where(number == part)
+            here = here.repartitionById(files, place) if files > 1 else here.coalesce(1)
+            here.write.mode("append").parquet(folder)
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
     return land
 

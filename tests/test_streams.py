@@ -132,3 +132,19 @@ def test_ingest_ends_a_batch_at_the_limit(spark, rows, tmp_path):
     queue, raw = ingest.fold(reg, log)
     assert as_set(queue.groupBy("status").count()) == [("miss", 3), ("pending", 5)]
     assert raw.isEmpty() and sum(seen) == 0
+
+
+@pytest.mark.parametrize(("n", "files"), [(4000, 16), (40, 1)])
+def test_landed_parts_are_many_files_and_one_micro_batch_each(spark, tmp_path, n, files):
+    from suite.flows import _in_order
+
+    land = _in_order(spark.range(n).withColumnRenamed("id", "seq"), spark, "order-test", "seq")
+    met = []
+
+    def note(batch, _):
+        met.append((*batch.agg(F.min("seq"), F.max("seq"), F.count("*")).first(), batch.select(F.input_file_name()).distinct().count()))
+
+    for half in (0, 1):
+        ingest.run_available(land(half), note, str(tmp_path / "checkpoint")).awaitTermination()
+    step = n // 4
+    assert met == [(k * step, (k + 1) * step - 1, step, files) for k in range(4)]
