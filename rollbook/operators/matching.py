@@ -1,8 +1,9 @@
 """Keywords found in names by an Aho-Corasick automaton, one pass over each distinct name of a batch.
 
 The automaton (a trie of all keywords with failure links) is built in the task from a broadcast list, so the
-cost of a name does not depend on the number of keywords and there is one form for any number of them. Beyond
-MOST_KEYWORDS the rules are dealt over several automata by a hash, and a name takes the best of their finds.
+cost of a name does not depend on the number of keywords. Lists beyond MOST_KEYWORDS are not broadcast: the parts
+of a name that have the length of a keyword, and by a bit table of bounded size may be one, are joined with the
+keywords, and a name takes the best of its finds. Both forms fold case and find word borders by the same functions.
 
 Case is folded by one rule for keywords and names: each character to upper, then to lower case, where that is
 one character; so lengths stay, and the forms of a letter (sigma, long s, dotted i) meet.
@@ -13,12 +14,20 @@ from __future__ import annotations
 import unicodedata
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.sources.scratch import staged
+
 #: Keywords of one automaton: some 100 bytes each, broadcast to the tasks.
 MOST_KEYWORDS = 500_000
+#: log2 of the size of the bit table of longer lists; a keyword sets two of some 16 bits, fewer in very long lists.
+LEAST_BITS, MOST_BITS = 16, 28
+_BITMAP = 1 << 15  # bits of a row of Spark's bitmap aggregates
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 _FOUND = "struct<shorter: int, section_ord: int, kw_ord: int, keyword: string, section: string>"
 _FIELDS = ["shorter", "section_ord", "kw_ord", "keyword", "section"]
@@ -114,24 +123,113 @@ def _finder(shared, word_boundary: bool, ignore_case: bool):
     return find
 
 
-def best_match(
-    name: Column, rules: DataFrame, word_boundary: bool = False, ignore_case: bool = False, longest_match: bool = False
-) -> Column:
-    """``section, keyword`` (and their order) of the first rule whose keyword a name holds, by section and
-    keyword order, or with ``longest_match`` of the longest first; null where none does, and for null.
+def _usable(rules: DataFrame, longest_match: bool) -> DataFrame:
+    shorter = -F.char_length("keyword") if longest_match else F.lit(0)
+    return rules.where(F.col("keyword") != "").select(shorter.cast("int").alias("shorter"), *[F.col(c) for c in _FIELDS[1:]])
+
+
+def with_best_match(
+    names: DataFrame, column: str, name: Column, rules: DataFrame, word_boundary: bool = False, ignore_case: bool = False,
+    longest_match: bool = False,
+) -> DataFrame:
+    """``names`` with a struct ``column``: ``section, keyword`` (and their order) of the first rule whose keyword
+    the name holds, by section and keyword order, or with ``longest_match`` of the longest first; null where none
+    does, and for null.
 
     ``rules`` has ``section, section_ord, kw_ord, keyword``; empty and null keywords match nothing. With
     ``word_boundary`` a word begins or ends at both ends of the find."""
-    shorter = -F.char_length("keyword") if longest_match else F.lit(0)
-    usable = rules.where(F.col("keyword") != "").select(shorter.cast("int").alias("shorter"), *[F.col(c) for c in _FIELDS[1:]])
-    rows, spark = usable.limit(MOST_KEYWORDS + 1).collect(), rules.sparkSession
-    parts = [rows]
-    if len(rows) > MOST_KEYWORDS:
-        n = 1 + usable.count() // MOST_KEYWORDS
-        # A part is a hash's share, sent on before the next one is collected.
-        parts = (usable.where(F.pmod(F.xxhash64("keyword"), F.lit(n)) == part).collect() for part in range(n))
-    finds = []
-    for part in parts:
-        ranked = sorted((tuple(r) for r in part), key=lambda r: tuple((x is not None, x) for x in r))
-        finds.append(_finder(spark.sparkContext.broadcast(ranked), word_boundary, ignore_case)(name))
-    return finds[0] if len(finds) == 1 else F.least(*finds)
+    usable = _usable(rules, longest_match)
+    if usable.limit(MOST_KEYWORDS + 1).count() > MOST_KEYWORDS:
+        return _joined(names, column, name, usable, word_boundary, ignore_case)
+    ranked = sorted((tuple(r) for r in usable.collect()), key=lambda r: tuple((x is not None, x) for x in r))
+    return names.withColumn(column, _finder(rules.sparkSession.sparkContext.broadcast(ranked), word_boundary, ignore_case)(name))
+
+
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each text ends in the row of all their characters; sums of the characters, each times a power of
+    the base by its place, before each place; and the powers that shift a difference of sums to place 0."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    powers = np.cumprod(np.full(len(codes), _BASE), dtype=np.uint64)
+    back = np.cumprod(np.full(len(codes) + 1, _BACK), dtype=np.uint64)
+    return ends, np.concatenate([[np.uint64(0)], np.cumsum((codes + np.uint64(1)) * powers, dtype=np.uint64)]), back
+
+
+def _bit_places(sums: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a part of a text."""
+    mixed = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    mixed ^= mixed >> np.uint64(31)
+    return mixed >> np.uint64(64 - bits), mixed & np.uint64((1 << bits) - 1)
+
+
+def _bit_table(words: DataFrame, bits: int) -> np.ndarray:
+    """The bits of all spellings, of bounded size."""
+
+    def places(batches):
+        for batch in batches:
+            ends, sums, back = _letters(batch.column(0).to_pylist())
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            every = np.unique(np.concatenate(_bit_places((sums[ends] - sums[starts]) * back[starts], bits)))
+            yield pa.RecordBatch.from_arrays([pa.array(every.astype(np.int64))], ["place"])
+
+    place = F.col("place")
+    rows = words.select("spelling").mapInArrow(places, "place long").groupBy(F.floor(place / _BITMAP).alias("chunk"))
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    for row in rows.agg(F.bitmap_construct_agg(place % _BITMAP).alias("bits")).toLocalIterator():
+        table[row["chunk"] * _BITMAP // 8 : (row["chunk"] + 1) * _BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+    return table
+
+
+def _joined(names: DataFrame, column: str, name: Column, usable: DataFrame, word_boundary: bool, ignore_case: bool) -> DataFrame:
+    """``with_best_match`` for a list too long to be broadcast: an equality join of spellings, so exact whatever the
+    bit table lets through."""
+    spark = names.sparkSession
+
+    @F.arrow_udf("string")
+    def folded(keywords: pa.Array) -> pa.Array:
+        return pa.array([fold(k) for k in keywords.to_pylist()], pa.string())
+
+    spelling = folded("keyword") if ignore_case else F.col("keyword")
+    best = usable.withColumn("spelling", spelling).groupBy("spelling").agg(F.min(F.struct(*_FIELDS)).alias("found"))
+    words = staged(best, "keyword-spellings")
+    sizes = sorted(r["size"] for r in words.select(F.char_length("spelling").alias("size")).distinct().collect())
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * words.count()).bit_length()))
+    shared = spark.sparkContext.broadcast(_bit_table(words, bits))
+
+    def parts(batches):
+        table = shared.value
+        for batch in batches:
+            given = batch.column(0).to_pylist()
+            texts = [fold(t) if ignore_case else t for t in given]
+            ends, sums, back = _letters(texts)
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            owner = np.repeat(np.arange(len(texts)), ends - starts)
+            left = ends[owner] - np.arange(len(owner))  # characters from here to the end of the name
+            out: set[tuple[int, str]] = set()
+            for size in sizes:
+                at = np.flatnonzero(left >= size)
+                if not len(at):
+                    break
+                here = (sums[at + size] - sums[at]) * back[at]
+                one, two = _bit_places(here, bits)
+                is_set = lambda place: (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                held = is_set(one)
+                at, two = at[held], two[held]
+                at = at[is_set(two)]
+                for i in at.tolist():
+                    of = int(owner[i])
+                    start = i - int(starts[of])
+                    if not word_boundary or _at_borders(given[of], start, start + size):
+                        out.add((of, texts[of][start : start + size]))
+            rows = list(out)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.string())],
+                ["matched_name", "spelling"],
+            )
+
+    every = names.select(name.alias("matched_name")).where("matched_name IS NOT NULL").distinct()
+    found = every.mapInArrow(parts, "matched_name string, spelling string").join(words, "spelling")
+    found = staged(found.groupBy("matched_name").agg(F.min("found").alias(column)), "keyword-finds")
+    named = names.withColumn("name_to_match", name)
+    return named.join(found, F.col("name_to_match") == F.col("matched_name"), "left").drop("name_to_match", "matched_name")

@@ -10,7 +10,7 @@ from rollbook.functions import fixed_values as fv
 from rollbook.functions.keys import full_name
 from rollbook.operators.columns import conform
 from rollbook.operators.keyed import update_by_key
-from rollbook.operators.matching import best_match
+from rollbook.operators.matching import with_best_match
 
 # Section tables of up to this many rows are broadcast.
 MAX_BROADCAST_SECTIONS = 10_000
@@ -22,8 +22,8 @@ def _if_any(value: Column) -> Column:
 
 
 def _matched(names: DataFrame, rules: DataFrame, **options) -> DataFrame:
-    """``names`` with ``_match``; the options are those of ``matching.best_match``."""
-    return names.withColumn("_match", best_match(full_name(F.col("name_zh"), F.col("name_en")), rules, **options))
+    """``names`` with ``_match``; the options are those of ``matching.with_best_match``."""
+    return with_best_match(names, "_match", full_name(F.col("name_zh"), F.col("name_en")), rules, **options)
 
 
 def tag_explain(names: DataFrame, rules: DataFrame, key: str = "cr_no", **options) -> DataFrame:

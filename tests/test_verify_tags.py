@@ -132,6 +132,26 @@ def test_a_hundred_thousand_keywords(spark, names, keywords):
         assert as_set(tagging.tag_explain(names, every, **options)) == as_set(tagging.tag_explain(names, keywords, **options))
 
 
+def test_long_keyword_lists_are_joined_and_not_broadcast(spark, monkeypatch):
+    draw = random.Random(8)
+    text = lambda n: "".join(draw.choice("aAbB工İiς𝔸 #-_1") for _ in range(n))
+    rules = [(f"S{k % 7}", k % 7, k // 7, text(draw.randint(1, 5))) for k in range(900)] + [(None, 1, None, "zz"), ("U", 1, 3, "zz")]
+    names = [text(draw.randint(0, 30)) for _ in range(120)] + ["q zz", "zzz", ""] * 2
+    rows = spark.createDataFrame([(str(i), None, n) for i, n in enumerate(names)] + [("null", None, None)], "cr_no string, name_zh string, name_en string")
+    table = spark.createDataFrame(rules, "section string, section_ord int, kw_ord int, keyword string")
+    want = {str(o): as_set(tagging.tag_explain(rows, table, **o)) for o in OPTIONS}
+
+    def refused(*_):
+        raise AssertionError("the whole list went through the driver")
+
+    monkeypatch.setattr(matching, "MOST_KEYWORDS", 100)
+    monkeypatch.setattr(matching, "_finder", refused)
+    for options in OPTIONS:
+        assert as_set(tagging.tag_explain(rows, table, **options)) == want[str(options)]
+        marked = tagging.with_keyword_section(rows, table, **options)
+        assert marked.columns == [*rows.columns, "section"] and marked.count() == len(names) + 1
+
+
 def test_section_names_need_no_shuffle_by_code(spark, names):
     from rollbook.sources import rules as rule_source
 
