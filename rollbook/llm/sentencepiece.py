@@ -9,6 +9,7 @@ of the best piece first, on the same edges.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -34,6 +35,7 @@ CACHE = 50_000
 #: Bytes of text that a task encodes at once.
 SLICE_BYTES = 1 << 22
 _TOP_COUNT = 4096
+Batches = Iterator[pa.RecordBatch]
 LOW = -1e9
 
 
@@ -240,13 +242,18 @@ def with_decoded(coded: DataFrame, pieces: DataFrame, model: dict, name: str, st
 
     The space put before a text is taken off (``strip``). Ids that the model has not give nothing; the mark of
     a space in the source text comes back as a space. The vocabulary is broadcast."""
+    given = StructType([*coded.schema.fields, StructField(name, StringType())])
+    return coded.mapInArrow(_decoder(pieces, model, coded.columns.index("ids"), name, strip), given)
+
+
+def _decoder(pieces: DataFrame, model: dict, place: int, name: str, strip: bool = True) -> Callable[[Batches], Batches]:
+    """What ``with_decoded`` does to batches whose column number ``place`` has the ids."""
     table = {r["id"]: r["piece"].replace(SPACE, " ").encode() for r in pieces.select("id", "piece").collect()}
     if model["byte_base"] is not None:
         table |= {model["byte_base"] + b: bytes([b]) for b in range(256)}
     # By id; the last one stands for ids that the model has not.
     n = max(table, default=-1) + 1
-    shared = coded.sparkSession.sparkContext.broadcast([table.get(i, b"") for i in range(n)] + [b""])
-    place = coded.columns.index("ids")
+    shared = pieces.sparkSession.sparkContext.broadcast([table.get(i, b"") for i in range(n)] + [b""])
 
     def put(batches):
         pieces_by_id = pa.array(shared.value, pa.binary())
@@ -266,7 +273,7 @@ def with_decoded(coded: DataFrame, pieces: DataFrame, model: dict, name: str, st
                 texts = pa.array([t.decode(errors="replace") for t in texts], pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
 
-    return coded.mapInArrow(put, StructType([*coded.schema.fields, StructField(name, StringType())]))
+    return put
 
 
 def decode(coded: DataFrame, pieces: DataFrame, model: dict, key: str, strip: bool = True) -> DataFrame:
@@ -322,6 +329,13 @@ def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "
     kept = [c for c in docs.columns if c.lower() != "ids" or c == text_column]
     if model["kind"] != "bpe":
         return _encode_joined(docs, pieces, model, text_column, kept)
+    given = docs.select(*kept)
+    schema = StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType()))])
+    return given.mapInArrow(_encoder(docs, pieces, model, text_column, kept.index(text_column)), schema)
+
+
+def _encoder(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str, place: int) -> Callable[[Batches], Batches]:
+    """What ``encode`` does to batches of ``docs`` whose column number ``place`` has the texts, by a byte-pair model."""
     words = docs.select(F.explode(segments(F.col(text_column))).alias("segment")).groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
     words = written(words, "pieces-segments", compression="zstd")
     often = encode_segments(words.filter(F.col("n") >= _floor_of_frequent(words)).select("segment"), pieces, model)
@@ -329,7 +343,6 @@ def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "
     vocabulary = pieces.select("piece", "id", "rank").collect()
     tables = {r["piece"]: r["rank"] for r in vocabulary}, {r["piece"]: r["id"] for r in vocabulary}
     shared = docs.sparkSession.sparkContext.broadcast((found, *tables, model))
-    place = kept.index(text_column)
 
     def put(batches):
         coded, ranks, ids, about = shared.value
@@ -372,15 +385,21 @@ def encode(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str = "
                 yield pa.RecordBatch.from_arrays([*batch.columns, coded_texts], [*batch.schema.names, "ids"])
         give_back_memory()
 
-    given = docs.select(*kept)
-    return given.mapInArrow(put, StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+    return put
 
 
 def encoded_and_checked(docs: DataFrame, pieces: DataFrame, model: dict) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_tokens, ids, exact``; ``exact`` tells whether the
     ids decode to the text itself (null as empty). A text with the mark of a space in it does not."""
-    coded = encode(docs.select("doc_id", "text"), pieces, model)
-    return with_decoded(coded, pieces, model, "decoded").select(
+    given = docs.select("doc_id", "text")
+    if model["kind"] == "bpe":
+        # Coded and decoded by one worker: two of them would each hold tables and batches.
+        code, told = _encoder(given, pieces, model, "text", 1), _decoder(pieces, model, 2, "decoded")
+        schema = StructType([*given.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
+        decoded = given.mapInArrow(lambda batches: told(code(batches)), schema)
+    else:
+        decoded = with_decoded(encode(given, pieces, model), pieces, model, "decoded")
+    return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == text_or_empty(F.col("text"))).alias("exact")
     )
 

@@ -466,3 +466,12 @@ def test_extract(spark, model):
 def test_formulas_and_fallbacks_of_an_article_are_text():
     page = "<article><p>The area is <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in this case.</p><object><p>A film of it.</p></object></article>"
     assert [b.text for b in blocks(page)] == ["The area is x=2 in this case.", "A film of it."]
+
+
+def test_encoding_and_checking_take_one_worker_a_task(spark):
+    rows = [(1, None), (2, ""), (3, "Plain words,  twice words"), (4, "a▁b"), (5, "line\n\n two é")]
+    pieces, model = sentencepiece.piece_table(spark, TOKENIZER)
+    got = sentencepiece.encoded_and_checked(frame(spark, rows), pieces, model)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    coded = {r["doc_id"]: r["ids"] for r in sentencepiece.encode(frame(spark, rows), pieces, model).collect()}
+    assert {r["doc_id"]: (r["ids"], r["exact"]) for r in got.collect()} == {i: (coded[i], i != 4) for i, _ in rows}
