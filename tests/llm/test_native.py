@@ -208,6 +208,37 @@ def test_block_tables_find_all(spark):
     assert got.count() == len(found)
 
 
+@pytest.mark.parametrize("n", [5, 6, 9, 13])
+def test_blocks_of_any_width_find_all(spark, monkeypatch, n):
+    """Every layout of blocks gives all pairs within the radius once, those at the radius too."""
+    import random
+
+    rng, cuts, (each, more) = random.Random(n), [round(i * 128 / n) for i in range(n + 1)], divmod(simhash.RADIUS + 1, n)
+    layout = [(lo, hi, each - 1 + (i < more)) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    monkeypatch.setattr(simhash, "blocks_for", lambda *_: layout)
+    prints = set()
+    for b in [rng.getrandbits(128) for _ in range(8)] + [0, (1 << 128) - 1]:
+        prints |= {b} | {b ^ sum(1 << i for i in rng.sample(range(128), k)) for k in [*range(1, 15), 12, 12, 12, 13, 13]}
+    prints = [f"{x:032x}" for x in sorted(prints)]
+    asked = prints[::2]
+    frame = spark.createDataFrame([(p,) for p in prints], "fingerprint string")
+    got = simhash.near_fingerprints(spark.createDataFrame([(p,) for p in asked], "fingerprint string"), frame).collect()
+    assert len(got) == len({(r["query"], r["fingerprint"]) for r in got})
+    assert {(r["query"], r["fingerprint"]): r["distance"] for r in got} == {(q, p): d for q in asked for p in prints if (d := distance(q, p)) <= 12}
+
+
+def test_search_compares_few_pairs(spark):
+    """Pairs compared, a fingerprint: thirteen blocks of ten bits would make it 51 here and more as the table grows."""
+    n = 200_000
+    bits = F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), F.col("id"))), 16, "0") for k in range(2)])
+    rows = spark.range(n).select("id", F.lower(bits).alias("fingerprint"))
+    pairs, _ = simhash.candidates(rows.where("id % 50 = 0"), rows, simhash.RADIUS)
+    assert pairs.count() / n < 3
+    for n in (10**6, 10**7, 10**8):
+        met = sum(len(simhash._ball(hi - lo, most)) / 2 ** (hi - lo) for lo, hi, most in simhash.blocks_for(n // 50, n, simhash.RADIUS))
+        assert met * n / 50 < 50
+
+
 def test_search_finds_copies(spark, tmp_path):
     from rollbook.llm.queries import simhash_classes, simhash_search
 
