@@ -75,7 +75,9 @@ def _geocode_into_master(
     ``responses`` are landed geocoder answers ``address_hash, als_json``; an address without an
     answer stays unresolved. Master columns named in ``keep`` are not overwritten.
     """
-    cleaned = registry.stage(geocode.with_clean_address(rows, **cleaning), "cleaned")
+    # Cleaning is the costly step, and a snapshot may come as one file: its rows are dealt over the tasks first.
+    dealt = rows.repartition("cr_no", "address_raw")
+    cleaned = registry.stage(geocode.with_clean_address(dealt, **cleaning), "cleaned")
     addresses = registry.stage(geocode.distinct_addresses(cleaned), "addresses")
     missing = geocode.cache_misses(addresses, registry.cache.read())
     answered = missing.join(

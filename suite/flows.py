@@ -13,6 +13,7 @@ from rollbook.operators import columns, geocode, scan
 from rollbook.plans import registry as flows
 from rollbook.session import scratch_dir
 from rollbook.sources import landed
+from rollbook.sources.scratch import staged
 from rollbook.streaming import ingest
 from rollbook.streaming.runs import miss_run_stream
 from suite.address import RUN_TS, clean_sql
@@ -38,16 +39,25 @@ def _resolved(source: str) -> str:
 
 
 def _answers(*days):
-    """Landed answers by address hash."""
+    """Landed answers by address hash.
+
+    They land once, and each address is cleaned once: without its table the distinct would be dropped as one that
+    the later distinct makes needless, and every row be cleaned."""
     h = F.col("address_hash")
     body = F.concat(
         F.lit('{"SuggestedAddress":[{"Address":{"PremisesAddress":{"GeoAddress":"G'), F.substring(h, 1, 6),
         F.lit('","ChiPremisesAddress":{"ChiRegion":"R'), F.substring(h, 3, 1),
         F.lit('"}}},"ValidationInformation":{"Score":'), F.ascii(F.substring(h, 2, 1)).cast("string"), F.lit("}}]}"),
     )
-    rows = columns.union_all([d.select("address_raw") for d in days]).distinct()
+    rows = staged(columns.union_all([d.select("address_raw") for d in days]).distinct(), "addresses")
     hashed = rows.select(text_hash(clean_address(F.col("address_raw"))).alias("address_hash")).distinct()
-    return hashed.where(F.substring(h, 1, 1) <= "9").withColumn("als_json", body)
+    return staged(hashed, "hashes").where(F.substring(h, 1, 1) <= "9").withColumn("als_json", body)
+
+
+def _snapshot(spark, sf, name):
+    """A snapshot as it lands: computed once, in files that many tasks write and read."""
+    rows = frame(spark, sf, name)
+    return staged(rows.repartition("cr_no"), name)
 
 
 def _registry(spark, name):
@@ -56,7 +66,7 @@ def _registry(spark, name):
 
 @query(_resolved("{companies}"))
 def full_refresh(spark, sf):
-    reg, rows = _registry(spark, "full"), frame(spark, sf, "companies")
+    reg, rows = _registry(spark, "full"), _snapshot(spark, sf, "companies")
     flows.full_refresh(reg, rows, _answers(rows), RUN_TS)
     return reg.master.read().select(*_SHOWN)
 
@@ -71,7 +81,7 @@ SELECT m.*, CASE WHEN c.cr_no IS NOT NULL THEN 'T' || right(c.cr_no, 1) END AS c
 FROM ({_resolved('merged')}) m LEFT JOIN (SELECT DISTINCT cr_no FROM changed) c ON c.cr_no = m.cr_no"""
 )
 def delta_refresh(spark, sf):
-    reg, day1, day2 = _registry(spark, "delta"), frame(spark, sf, "day1"), frame(spark, sf, "day2")
+    reg, day1, day2 = _registry(spark, "delta"), _snapshot(spark, sf, "day1"), _snapshot(spark, sf, "day2")
     answers = _answers(day1, day2)
     flows.full_refresh(reg, day1, answers, RUN_TS)
     day2 = day2.withColumn("company_type", F.concat(F.lit("T"), F.substring("cr_no", -1, 1)))
@@ -85,7 +95,7 @@ def delta_refresh(spark, sf):
 )
 def geocode_pending(spark, sf):
     """Raw rows without a geo address are geocoded later, in a second run nothing is left to change."""
-    reg, day1 = _registry(spark, "pending"), frame(spark, sf, "companies")
+    reg, day1 = _registry(spark, "pending"), _snapshot(spark, sf, "companies")
     reg.raw.write(columns.stamp(day1, RUN_TS))
     answers = _answers(day1)
     flows.geocode_pending(reg, answers, RUN_TS)

@@ -55,6 +55,33 @@ def test_full_refresh(registry, day1):
     assert {r["fetched_at"] for r in registry.raw.read().collect()} == {DAY2}
 
 
+def test_rows_of_one_file_are_cleaned_by_many_tasks(registry, spark):
+    from rollbook.sources.paths import file_names, folder_names
+
+    numbers = spark.range(0, 400, 1, 1).select(F.col("id").cast("string").alias("cr_no"))
+    snapshot = numbers.select("cr_no", F.lit(None).cast("string").alias("name_zh"), F.lit("n").alias("name_en"), F.concat(F.lit("Flat "), "cr_no").alias("address_raw"))
+    # Few rows would be put together into one task whatever the plan says.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        flows._geocode_into_master(registry, columns.normalise_columns(snapshot), answers(snapshot), DAY1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    staging = f"{registry.base}/staging"
+    (folder,) = [n for n in folder_names(spark, staging) if n.startswith("cleaned-")]
+    assert len([n for n in file_names(spark, f"{staging}/{folder}") if n.endswith(".parquet")]) > 4
+    assert registry.master.read().count() == 400
+
+
+def test_answers_of_the_queries_land_once(rows):
+    from suite.flows import _answers
+
+    days = rows([("1", "Flat 1"), ("2", "Flat 1"), ("3", None)], "cr_no string, address_raw string")
+    told = _answers(days, days)
+    files = told.inputFiles()
+    assert files and all("hashes-" in f for f in files)
+    assert {r["address_hash"] for r in told.collect()} <= {r["h"] for r in days.select(text_hash(clean_address(F.col("address_raw"))).alias("h")).collect()}
+
+
 def test_delta_equals_full_for_changed_keys(registry, spark, tmp_path, day1, rows):
     day2 = rows([COMPANIES[0], ("2", "海景", "HARBOUR Trading", "沙田2號"), COMPANIES[2], ("6", None, None, "沙田2號")], FOUR)
     flows.full_refresh(registry, day1, answers(day1), DAY1)
