@@ -8,7 +8,11 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in blocks of so many bytes, so memory doesn't grow with the batch.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Words are hashed so many bytes at a time: each byte takes some fifty while it is hashed.
+SECTION_BYTES = 1 << 16
+#: Bytes of text in a batch that a task hands on.
+SLICE_BYTES = 1 << 21
 _U = np.uint64
 
 
@@ -56,6 +60,14 @@ def blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
+def sliced(batches: Iterator[pa.RecordBatch], place: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of at most ``most`` bytes of text (column number ``place``), or of one row."""
+    for batch in batches:
+        _, offsets = column_bytes(batch.column(place))
+        for lo, hi in blocks(offsets, most):
+            yield batch.slice(lo, hi - lo)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, ...]:
     """Hash, start and end byte of every word, and the word index at which each row begins (one more at
     the end). Words are cut at blanks and at row borders; ``lower`` takes A-Z as a-z."""
@@ -70,11 +82,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> t
     last = full.copy()
     last[:-1] &= ~full[1:] | edge[1:-1]
     ends = np.flatnonzero(last) + 1
-    places = np.flatnonzero(full)
     length = ends - starts
-    inside = np.arange(len(places)) - np.repeat(np.cumsum(length) - length, length)
-    value = (_LOWER if lower else _BYTE)[data[places]] * _powers(int(length.max()))[inside]
-    h = np.add.reduceat(value, np.cumsum(length) - length)
+    table, powers = _LOWER if lower else _BYTE, _powers(int(length.max()))
+    h = np.empty(len(starts), _U)
+    for lo, hi in blocks(np.append(starts, ends[-1]), SECTION_BYTES):
+        part = slice(starts[lo], ends[hi - 1])
+        places, own = np.flatnonzero(full[part]), length[lo:hi]
+        at = np.cumsum(own) - own
+        value = table[data[part][places]] * powers[np.arange(len(places)) - np.repeat(at, own)]
+        h[lo:hi] = np.add.reduceat(value, at)
     return mixed(h), starts, ends, np.searchsorted(starts, offsets)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.common import free_name, give_back_memory, text_or_empty, written
 from rollbook.llm.components import components
-from rollbook.llm.hashing import blocks, column_bytes, mixed, runs, word_hashes
+from rollbook.llm.hashing import blocks, column_bytes, mixed, runs, sliced, word_hashes
 from rollbook.llm.sketch import is_shared, shared_bits, table_bits, text_bytes
 
 GRAM = 4
@@ -72,7 +72,7 @@ def _signatures(docs: DataFrame, gram: int) -> DataFrame:
     """``doc_id, n, k1, k2, parts``: set size, two order-free hashes of the set, sizes of its parts."""
 
     def sign(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             n, k1, k2, parts = [], [], [], []
             for s in gram_sets(batch.column(1), gram):
                 n.append(len(s))
@@ -102,6 +102,7 @@ def _counts(docs: DataFrame, gram: int) -> np.ndarray:
                     np.add.at(total, (s & _U((1 << COUNT_BITS) - 1)).astype(np.int64), 1)
         places = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(total[places], pa.int64())], ["bucket", "n"])
+        give_back_memory()
 
     summed = docs.mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(1 << COUNT_BITS, np.int64)
@@ -122,7 +123,7 @@ def _prefixes(docs: DataFrame, gram: int, threshold: int, tables: Broadcast, bit
 
     def rows(batches):
         table, often = tables.value
-        for batch in batches:
+        for batch in sliced(batches, 1):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             out: list[list[np.ndarray]] = []
             for doc, s in zip(ids, gram_sets(batch.column(1), gram), strict=True):
@@ -141,6 +142,7 @@ def _prefixes(docs: DataFrame, gram: int, threshold: int, tables: Broadcast, bit
             if out:
                 columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "doc_id", "n", "k1", "k2", "place"])
+        give_back_memory()
 
     return docs.mapInArrow(rows, "token long, doc_id long, n long, k1 long, k2 long, place long")
 
@@ -159,6 +161,7 @@ def _alike(batches, gram: int, threshold: int):
             common = len(np.intersect1d(left_set, other, assume_unique=True))
             keep.append(100 * common >= threshold * (len(left_set) + len(other) - common))
         yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], ["a", "b"])
+    give_back_memory()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, gram: int, threshold: int, name: str) -> DataFrame:
@@ -179,7 +182,7 @@ def _sets_of(docs: DataFrame, gram: int) -> DataFrame:
     """``doc_id, n, k1, k2, grams``: the whole set of each text with words, as bytes."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in sliced(batches, 1):
             of = [(i, *_keys(s), s) for i, s in enumerate(gram_sets(batch.column(1), gram)) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array([r[0] for r in of], pa.int64())), pa.array([len(r[3]) for r in of], pa.int64()),

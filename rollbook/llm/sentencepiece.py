@@ -33,7 +33,7 @@ BROADCAST_SEGMENTS = 300_000
 #: Rare segments whose encodings a task remembers.
 CACHE = 50_000
 #: Bytes of text that a task encodes at once.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 _TOP_COUNT = 4096
 Batches = Iterator[pa.RecordBatch]
 LOW = -1e9
@@ -347,7 +347,7 @@ def _encoder(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str,
     def put(batches):
         coded, ranks, ids, about = shared.value
         lists = coded.column("ids").combine_chunks()
-        usual = {s.replace(SPACE, " "): i for i, s in enumerate(coded.column("segment").to_pylist())}
+        usual = pc.replace_substring(coded.column("segment").combine_chunks(), SPACE, " ")
         flat, cuts = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
         rare: dict[str, list[int]] = {}
 
@@ -365,9 +365,9 @@ def _encoder(docs: DataFrame, pieces: DataFrame, model: dict, text_column: str,
             for lo, hi in blocks(offsets, SLICE_BYTES):
                 segment, ends = _cut(texts.slice(lo, hi - lo))
                 # A segment is looked up once a block, its ids are dealt to all its places.
-                names = segment.dictionary.to_pylist()
-                number = np.array([usual.get(s, -1) for s in names], np.int64)
-                others = [merged(names[i]) for i in np.flatnonzero(number < 0)]
+                names = segment.dictionary
+                number = pc.index_in(names, value_set=usual).fill_null(-1).to_numpy().astype(np.int64)
+                others = [merged(s) for s in names.filter(pa.array(number < 0)).to_pylist()]
                 size = np.zeros(len(number), np.int64)
                 size[number < 0] = [len(o) for o in others]
                 size[number >= 0] = np.diff(cuts)[number[number >= 0]]

@@ -20,7 +20,7 @@ from rollbook.llm.common import give_back_memory, written
 LEAST_BITS, MOST_BITS = 20, 29
 CHUNK_BITS = 22
 #: Positions gathered by a task before they are given out.
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 _SCHEMA = "chunk int, once binary, more binary, counts binary"
 #: Counts end here.
 MOST_COUNT = 255
@@ -59,9 +59,11 @@ def shared_bits(
         n = 0
 
         def given():
-            every = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint32)
+            every = np.concatenate(held) if held else np.zeros(0, np.uint32)
+            held.clear()
+            every.sort()
             new = np.concatenate([every[:1] == every[:1], every[1:] != every[:-1]])
-            values, counts = every[new], np.diff(np.append(np.flatnonzero(new), len(every)))
+            values, counts = every[new], np.diff(np.flatnonzero(new).astype(np.int32), append=np.int32(len(every)))
             cuts = np.searchsorted(values, np.arange(0, (1 << bits) + 1, 1 << min(CHUNK_BITS, bits), dtype=np.uint64))
             rows = []
             for c, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -69,7 +71,6 @@ def shared_bits(
                     v, n_rows = values[lo:hi] & np.uint32((1 << CHUNK_BITS) - 1), counts[lo:hi]
                     more = n_rows > 1
                     rows.append((c, _pack(v[~more]), _pack(v[more]), np.minimum(n_rows[more], MOST_COUNT).astype(np.uint8).tobytes()))
-            held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
                 ["chunk", "once", "more", "counts"],

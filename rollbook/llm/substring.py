@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rollbook.llm.common import let, text_or_empty, written
-from rollbook.llm.hashing import blocks, column_bytes, runs, word_hashes
+from rollbook.llm.common import give_back_memory, let, text_or_empty, written
+from rollbook.llm.hashing import blocks, column_bytes, runs, sliced, word_hashes
 from rollbook.llm.sketch import is_shared, shared_bits, table_bits, text_bytes
 
 #: Words of a window, and of the runs whose least hash is its anchor.
@@ -74,7 +74,7 @@ def _pieces(docs: DataFrame, window: int, run: int, shared: Broadcast, bits: int
 
     def cut(batches):
         of_anchor, hot_anchor = shared.value
-        for batch in batches:
+        for batch in sliced(batches, 1):
             ids, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             data, offsets = column_bytes(batch.column(1))
             out = ([], [], [], [], [])
@@ -104,6 +104,7 @@ def _pieces(docs: DataFrame, window: int, run: int, shared: Broadcast, bits: int
                  pa.array(out[2], pa.int64()), pa.array(out[4], pa.int64()), pa.array(out[3], pa.int32())],
                 ["anchor", "piece", "doc_id", "th", "start"],
             )
+        give_back_memory()
 
     return docs.mapInArrow(cut, "anchor long, piece string, doc_id long, th long, start int")
 
@@ -319,7 +320,7 @@ def without_repeats(
     place = kept.index(text_column)
 
     def cut(batches):
-        for batch in batches:
+        for batch in sliced(batches, place):
             data, offsets = column_bytes(batch.column(place))
             spans_of, copy = batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()
             texts: list = batch.column(place).to_pylist()
@@ -352,6 +353,7 @@ def without_repeats(
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], [*kept, "n_words", "n_removed"]
             )
+        give_back_memory()
 
     fields = [docs.schema[c] for c in kept]
     schema = StructType([*fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rollbook.llm.common import give_back_memory, text_or_empty, written
-from rollbook.llm.hashing import blocks, column_bytes, mixed, word_hashes
+from rollbook.llm.hashing import blocks, column_bytes, mixed, sliced, word_hashes
 
 #: Character n-grams of a word between its marks, and the rows of the embedding table.
 GRAMS = (3, 4, 5)
@@ -42,7 +42,7 @@ def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     length = ends - starts
     at = np.cumsum(length + 2) - (length + 2)
     total = int((length + 2).sum())
-    owner = np.repeat(np.arange(len(starts)), length + 2)
+    owner = np.repeat(np.arange(len(starts), dtype=np.int32), length + 2)
     line = np.zeros(total, np.uint64)
     inside = np.ones(total, bool)
     inside[at] = inside[at + length + 1] = False
@@ -59,9 +59,9 @@ def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
         for j in range(n):
             v = v * np.uint64(257) + line[j : j + m]
         whole = np.flatnonzero(owner[:m] == owner[n - 1 :])
-        buckets.append((mixed(v[whole] * np.uint64(8) + np.uint64(n)) & np.uint64(BUCKETS - 1)).astype(np.int64))
+        buckets.append((mixed(v[whole] * np.uint64(8) + np.uint64(n)) & np.uint64(BUCKETS - 1)).astype(np.int32))
         words.append(owner[whole])
-    return np.concatenate([np.zeros(0, np.int64), *buckets]), np.concatenate([np.zeros(0, np.int64), *words])
+    return np.concatenate([np.zeros(0, np.int32), *buckets]), np.concatenate([np.zeros(0, np.int32), *words])
 
 
 def cells(hashes: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,10 +90,11 @@ class _Sum:
         self.starts = (np.cumsum(counts) - counts)[self.full]
         self.n = n
 
-    def __call__(self, rows: np.ndarray) -> np.ndarray:
+    def __call__(self, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Sums of ``rows[of]``, which are gathered once, in order."""
         out = np.zeros((self.n, *rows.shape[1:]), rows.dtype)
         if len(self.full):
-            out[self.full] = np.add.reduceat(rows[self.order], self.starts, axis=0)
+            out[self.full] = np.add.reduceat(rows[of[self.order]], self.starts, axis=0)
         return out
 
 
@@ -111,9 +112,10 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
     cell_stretch, in_half = cell[counts], np.bincount(cell, minlength=int(first[-1]))
     n_words, n_stretch = len(index), int(first[-1])
     doc_of = np.repeat(np.arange(n_docs), np.diff(first))
-    used, gram = np.unique(gram, return_inverse=True)
+    seen = np.zeros(BUCKETS, bool)
+    seen[gram] = True
+    used, gram = np.flatnonzero(seen), (np.cumsum(seen, dtype=np.int32) - 1)[gram]
     # The arrays below are the bulk of what training holds: four bytes each.
-    gram, gram_word = gram.astype(np.int32), gram_word.astype(np.int32)
     cell_word, cell_stretch = cell_word.astype(np.int32), cell_stretch.astype(np.int32)
     del data, offsets, h, starts, ends, counts, cell, column
     per_word = np.maximum(np.bincount(gram_word, minlength=n_words), 1).astype(np.float32)[:, None]
@@ -131,8 +133,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
     share = (1.0 / n_of)[doc_of].astype(np.float32)
     moment = [np.zeros_like(table), np.zeros_like(table), np.zeros(WIDTH + 1, np.float32), np.zeros(WIDTH + 1, np.float32)]
     for epoch in range(1, epochs + 1):
-        word = to_word(table[gram]) / per_word
-        half = to_stretch(word[cell_word])
+        word = to_word(table, gram) / per_word
+        half = to_stretch(word, cell_word)
         # A stretch is a half and the one after it in the same text.
         follow = np.append(half[1:], np.zeros((1, WIDTH), np.float32), axis=0) * inner
         mean = (half + follow) * scale
@@ -149,8 +151,8 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int =
         g_weight = np.append(mean.T @ wrong, wrong.sum())
         g_mean = wrong[:, None] * weight * scale
         g_mean[1:] += (g_mean * inner)[:-1]
-        g_word = back(g_mean[cell_stretch]) / per_word
-        g_table = to_gram(g_word[gram_word]) + 1e-7 * table
+        g_word = back(g_mean, cell_stretch) / per_word
+        g_table = to_gram(g_word, gram_word) + 1e-7 * table
         for (x, g, m, v, rate) in ((table, g_table, 0, 1, 0.08), (None, g_weight, 2, 3, 0.08)):
             moment[m] = 0.9 * moment[m] + 0.1 * g
             moment[v] = 0.99 * moment[v] + 0.01 * g * g
@@ -241,7 +243,7 @@ def score(docs: DataFrame, model: dict, text_column: str = "text", name: str = "
     place = kept.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, place):
             values = scores(shared.value, pc.utf8_lower(batch.column(place).fill_null("")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, name])
         give_back_memory()
