@@ -253,6 +253,63 @@ def test_search_finds_copies(spark, tmp_path):
     assert {i for i in members for q, c, _ in found if q == 50 and c == members[i]} >= {50, 51, 52}
 
 
+def test_search_asks_every_document(spark, tmp_path):
+    from rollbook.llm.queries import simhash_classes, simhash_search
+
+    text = " ".join(f"word{i}" for i in range(200))
+    near = text.replace("word7 ", "other ")
+    rows = [(1, text), (1, text), (1, near), (None, near), (None, None), (7, ""), (49, "some thing else " * 9), (50, text), (-3, near)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    members = [tuple(r) for r in simhash_classes(spark, str(tmp_path)).collect()]
+    assert len(members) == len(rows)
+    classes = {p for _, p in members}
+    assert sum(distance(p, q) <= simhash.RADIUS for p in classes for q in classes) > len(classes)
+    want = [(i, p, q, d) for i, p in members for q in classes if (d := distance(p, q)) <= simhash.RADIUS]
+    found = [tuple(r) for r in simhash_search(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+OWN_LAYOUTS = {
+    "own": None,
+    "uneven": [(0, 43, 2), (43, 46, 2), (46, 96, 2), (96, 124, 2), (124, 128, 2)],
+    "wide": [(0, 56, 2), (56, 112, 2), (112, 116, 2), (116, 120, 2), (120, 128, 2)],
+    "mixed": [(0, 23, 2), (23, 46, 2), (46, 69, 2), (69, 84, 0), (84, 99, 0), (99, 113, 0), (113, 128, 0)],
+    "narrow": [(i * 9, i * 9 + 9, 0) for i in range(13)],
+}
+
+
+@pytest.mark.parametrize("name", OWN_LAYOUTS)
+def test_search_of_a_table_in_itself_finds_all(spark, monkeypatch, name):
+    """Every layout of blocks gives both orders of all pairs within the radius once, and each fingerprint itself."""
+    import random
+
+    layout = OWN_LAYOUTS[name] or simhash.own_blocks(simhash.RADIUS)
+    assert sum(most + 1 for _, _, most in layout) > simhash.RADIUS
+    rng = random.Random(name)
+    monkeypatch.setattr(simhash, "own_blocks", lambda _: layout)
+    prints = set()
+    for b in [rng.getrandbits(128) for _ in range(8)] + [0, (1 << 128) - 1]:
+        prints |= {b} | {b ^ sum(1 << i for i in rng.sample(range(128), k)) for k in [*range(1, 15), 6, 6, 12, 12, 12, 13]}
+    prints = [f"{x:032x}" for x in sorted(prints)]
+    frame = spark.createDataFrame([(p,) for p in [*prints, *prints[:9], None]], "fingerprint string")
+    got = simhash.near_fingerprints(frame, frame).collect()
+    assert len(got) == len({(r["query"], r["fingerprint"]) for r in got})
+    want = {(q, p): d for q in prints for p in prints if (d := distance(q, p)) <= simhash.RADIUS}
+    assert {(r["query"], r["fingerprint"]): r["distance"] for r in got} == want
+
+
+def test_blocks_of_a_table_in_itself():
+    """The blocks cover every radius; of the radius used, keys are about a hundred and few fingerprints meet by chance."""
+    for radius in range(40):
+        blocks = simhash.own_blocks(radius)
+        assert sum(most + 1 for _, _, most in blocks) > radius
+        assert all(0 <= lo < hi <= simhash.BITS and hi - lo <= simhash.KEY_BITS for lo, hi, _ in blocks)
+        assert all(a[1] <= b[0] for a, b in zip(blocks, blocks[1:], strict=False))
+    keys = [(1 + (hi - lo) * (most > 0), hi - lo) for lo, hi, most in simhash.own_blocks(simhash.RADIUS)]
+    assert sum(k for k, _ in keys) < 120
+    assert sum(k * k / 2**width for k, width in keys) * 10**7 < 300
+
+
 # ---------------------------------------------------------------- chat
 
 
